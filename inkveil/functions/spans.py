@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 SPANS = "array<struct<start:int,end:int>>"
 FOUND = "array<struct<start:int,end:int,ord:bigint,status:string>>"
 # Stands for text that is already replaced; matches no name and is not a letter.
-BLANK = "\ue000"
+BLANK = "\ufdd2"
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -105,12 +105,19 @@ def touches(span: Column, kept: Column, rule: str = "overlap") -> Column:
     raise ValueError(f"unknown protection rule {rule!r}")
 
 
-def resolve(text: Column, entries: Column, kept: Column, rule: str = "overlap") -> Column:
+def resolve(
+    text: Column,
+    entries: Column,
+    kept: Column,
+    rule: str = "overlap",
+    report_kept: bool = False,
+) -> Column:
     """Apply entries in order, each leftmost first, on text not yet replaced.
 
     `entries` is an array of `struct<ord, keep, pattern>` sorted by `ord`. Entries with
     `keep` only add to the kept spans and must come first. The result holds the spans
-    found, sorted by start, with status `replaced` or `protected`.
+    found, sorted by start, with status `replaced` or `protected`; with `report_kept`
+    also those of kept entries, as `kept`.
     """
     start = F.struct(
         text.alias("text"), kept.alias("kept"), empty(FOUND).alias("found")
@@ -131,6 +138,17 @@ def resolve(text: Column, entries: Column, kept: Column, rule: str = "overlap")
                 ),
             )
 
+        def as_kept(spans: Column) -> Column:
+            return F.transform(
+                spans,
+                lambda s: F.struct(
+                    s["start"].alias("start"),
+                    s["end"].alias("end"),
+                    entry["ord"].alias("ord"),
+                    F.lit("kept").alias("status"),
+                ),
+            )
+
         def blank_out(judged: Column) -> Column:
             return F.aggregate(
                 judged,
@@ -153,7 +171,11 @@ def resolve(text: Column, entries: Column, kept: Column, rule: str = "overlap")
                 F.struct(
                     state["text"].alias("text"),
                     F.concat(state["kept"], spans).alias("kept"),
-                    state["found"].alias("found"),
+                    (
+                        F.concat(state["found"], as_kept(spans))
+                        if report_kept
+                        else state["found"]
+                    ).alias("found"),
                 ),
             )
             .otherwise(

@@ -15,13 +15,13 @@ list, which is measured, decides:
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkveil.functions import grammar, spans
-from inkveil.functions.spans import BLANK
 from inkveil.operators.people import word_key
 
 DIRECT_ENTRIES = 16
@@ -31,6 +31,8 @@ BROADCAST_CHARS = 64_000_000
 SALTS = 16
 LITERAL_CHARS = 20_000
 
+Resolve = Callable[[Column, Column, Column], Column]
+
 _ENTRY = "struct<ord:bigint,keep:boolean,pattern:string>"
 
 
@@ -93,31 +95,24 @@ def kept_literals_joined(blocks: DataFrame, keys: list[str], exprs: DataFrame) -
     Every place of a text is looked up by the first characters of the expressions, as
     many as the shortest one has.
     """
-    least = exprs.agg(F.min(F.length("expr"))).first()[0]
+    sizes = exprs.agg(
+        F.min(F.length("expr")).alias("least"), F.max(F.length("expr")).alias("most")
+    ).first()
+    least, most = sizes["least"], sizes["most"]
     heads = exprs.select(F.substring("expr", 1, least).alias("head"), "expr").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
-    places = blocks.select(
-        *keys,
-        "text",
-        F.explode(F.sequence(F.lit(0), F.length("text") - least)).alias("start"),
-    ).filter(F.length("text") >= least) if least else None
-    if places is None:
-        return blocks.select(*keys, spans.empty(spans.SPANS).alias("kept"))
-    longest = exprs.agg(F.max(F.length("expr"))).first()[0]
-    windows = places.select(
-        *keys,
-        "start",
-        F.col("text").substr(F.col("start") + 1, F.lit(longest)).alias("window"),
-    ).withColumn("head", F.substring("window", 1, least))
-    salted = windows.withColumn("salt", F.pmod(F.xxhash64(*keys, "start"), F.lit(SALTS)).cast("int"))
-    hits = salted.join(heads, ["head", "salt"]).filter(F.col("window").startswith(F.col("expr")))
+    places = (
+        blocks.filter(F.length("text") >= least)
+        .withColumn("start", F.explode(F.sequence(F.lit(0), F.length("text") - least)))
+        .select(*keys, "start", F.col("text").substr(F.col("start") + 1, F.lit(most)).alias("ahead"))
+        .withColumn("head", F.substring("ahead", 1, least))
+        .withColumn("salt", F.pmod(F.xxhash64(*keys, "start"), F.lit(SALTS)).cast("int"))
+    )
+    hits = places.join(heads, ["head", "salt"]).filter(F.col("ahead").startswith(F.col("expr")))
+    span = F.struct("start", (F.col("start") + F.length("expr")).alias("end"))
     return hits.groupBy(*keys).agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct("start", (F.col("start") + F.length("expr")).alias("end"))
-            )
-        ).cast(spans.SPANS).alias("kept")
+        F.sort_array(F.collect_list(span)).cast(spans.SPANS).alias("kept")
     )
 
 
@@ -136,9 +131,14 @@ def detect(
     gate: Column | None = None,
     rule: str = "overlap",
     plan: str | None = None,
+    report_kept: bool = False,
 ) -> DataFrame:
     """Blocks (`keys`, unique, and `text`) with `found`; blocks that fail the gate have
     none. `gate` replaces the test of the text itself, e.g. for pieces of blocks."""
+
+    def resolve(some_text: Column, some_entries: Column, kept_here: Column) -> Column:
+        return spans.resolve(some_text, some_entries, kept_here, rule, report_kept)
+
     text = F.col("text")
     gate = grammar.is_name_like(text) if gate is None else gate
     size = measure(entries)
@@ -157,13 +157,13 @@ def detect(
             kept = kept_literals(text, alternatives)
 
     if plan == "direct":
-        found = _direct(text, entries, kept, rule)
+        found = _direct(text, entries, kept, resolve, report_kept)
         out = blocks.withColumn("found", F.when(gate, found).otherwise(spans.empty(spans.FOUND)))
     elif plan == "inline":
-        found = _inline(text, entries, size, kept, rule)
+        found = _inline(text, entries, size, kept, resolve)
         out = blocks.withColumn("found", F.when(gate, found).otherwise(spans.empty(spans.FOUND)))
     elif plan == "joined":
-        out = _joined(blocks, keys, entries, size, kept, gate, rule)
+        out = _joined(blocks, keys, entries, size, kept, gate, resolve)
     else:
         raise ValueError(f"unknown plan {plan!r}")
     return out.drop("kept")
@@ -174,12 +174,14 @@ def _literal(rows: list[dict] | list, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), kind)
 
 
-def _direct(text: Column, entries: DataFrame, kept: Column, rule: str) -> Column:
+def _direct(
+    text: Column, entries: DataFrame, kept: Column, resolve: Resolve, report_kept: bool
+) -> Column:
     rows = sorted(
         (r.asDict() for r in entries.select("ord", "keep", "pattern", "anchor").collect()),
         key=lambda r: r["ord"],
     )
-    anchors = "|".join(r["anchor"] for r in rows if not r["keep"])
+    anchors = "|".join(r["anchor"] for r in rows if report_kept or not r["keep"])
     listed = _literal(
         [{k: r[k] for k in ("ord", "keep", "pattern")} for r in rows], f"array<{_ENTRY}>"
     )
@@ -187,7 +189,7 @@ def _direct(text: Column, entries: DataFrame, kept: Column, rule: str) -> Column
         return spans.empty(spans.FOUND)
     return F.when(
         text.rlike(f"{grammar.NOT_AFTER_LETTER}(?:{anchors}){grammar.NOT_BEFORE_LETTER}"),
-        spans.bind(kept, lambda k: spans.resolve(text, listed, k, rule)),
+        spans.bind(kept, lambda k: resolve(text, listed, k)),
     ).otherwise(spans.empty(spans.FOUND))
 
 
@@ -227,7 +229,7 @@ def _within(kept: Column, start: Column, length: Column) -> Column:
 
 
 def _inline(
-    text: Column, entries: DataFrame, size: Measure, kept: Column, rule: str
+    text: Column, entries: DataFrame, size: Measure, kept: Column, resolve: Resolve
 ) -> Column:
     # a hash table as a constant of the plan: bucket number -> keys with their entries
     count = 1 << max(size.keys - 1, 1).bit_length()
@@ -259,11 +261,10 @@ def _inline(
             candidates(keys_of(stretch["text"], size.widths)),
             lambda c: F.when(F.size(c) == 0, spans.empty(spans.FOUND)).otherwise(
                 spans.shift(
-                    spans.resolve(
+                    resolve(
                         stretch["text"],
                         c,
                         _within(kept_here, stretch["start"], F.length(stretch["text"])),
-                        rule,
                     ),
                     stretch["start"],
                 )
@@ -285,11 +286,15 @@ def _joined(
     size: Measure,
     kept: Column,
     gate: Column,
-    rule: str,
+    resolve: Resolve,
 ) -> DataFrame:
     parts = (
         blocks.filter(gate)
-        .select(*keys, kept.alias("kept"), F.explode(stretches(F.col("text"), size.stretch)).alias("s"))
+        .select(
+            *keys,
+            kept.alias("kept"),
+            F.explode(stretches(F.col("text"), size.stretch)).alias("s"),
+        )
         .select(
             *keys,
             "s.start",
@@ -316,7 +321,7 @@ def _joined(
         .select(
             *keys,
             spans.shift(
-                spans.resolve(F.col("stretch"), F.col("entries"), F.col("kept"), rule),
+                resolve(F.col("stretch"), F.col("entries"), F.col("kept")),
                 F.col("start"),
             ).alias("found"),
         )
@@ -327,17 +332,3 @@ def _joined(
         "found", F.coalesce("found", spans.empty(spans.FOUND))
     )
 
-
-__all__ = [
-    "BLANK",
-    "Measure",
-    "choose",
-    "detect",
-    "gated_blocks",
-    "kept_literals",
-    "kept_literals_joined",
-    "keys_of",
-    "literal_alternatives",
-    "measure",
-    "stretches",
-]

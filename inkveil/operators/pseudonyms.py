@@ -7,34 +7,57 @@ from pyspark.sql import functions as F
 
 from inkveil.functions.pseudonyms import ID_LETTERS, lettered_id
 
+HOT_ROWS = 1_000_000
+
 
 def lettered_ids(rows: DataFrame, order: list[str]) -> DataFrame:
-    """`dict_id, name_key, pseudonym` from rows with `entry_id, name_key` and the
-    columns `order` that fix where a nominative comes first.
+    """`name_key, dict_id, pseudonym, n` from rows with `entry_id, name_key` and the
+    columns `order` that fix where a nominative comes first; `n` counts its rows.
 
-    A nominative has one ID, that of the dictionary name that met it first. Only the
-    ranks that have a letter of their own are ranked; a filter on the row number lets
+    A nominative has one ID, that of the dictionary name it was first found with. Only
+    ranks that have a letter of their own are computed; a filter on the row number lets
     Spark drop the others before the shuffle, so a first name shared by very many
     nominatives fills no single task.
     """
-    first = rows.groupBy("entry_id", "name_key").agg(
-        F.min(F.struct(*order)).alias("first")
-    )
-    ranked = F.row_number().over(Window.partitionBy("entry_id").orderBy("first", "name_key"))
+    first = rows.groupBy("name_key").agg(
+        F.min(F.struct(*order, "entry_id")).alias("first"), F.count(F.lit(1)).alias("n")
+    ).withColumn("dict_id", F.col("first.entry_id"))
+    ranked = F.row_number().over(Window.partitionBy("dict_id").orderBy("first", "name_key"))
     own_letter = (
-        first.withColumn("rank", ranked)
+        first.select("dict_id", "first", "name_key")
+        .withColumn("rank", ranked)
         .filter(F.col("rank") < len(ID_LETTERS))
-        .select("entry_id", "name_key", "rank")
+        .select("name_key", "rank")
+    )
+    return first.join(own_letter, "name_key", "left").select(
+        "name_key",
+        "dict_id",
+        lettered_id(F.coalesce("rank", F.lit(len(ID_LETTERS))), F.col("dict_id")).alias(
+            "pseudonym"
+        ),
+        "n",
+    )
+
+
+def with_pseudonyms(rows: DataFrame, ids: DataFrame, spread_by: list[str]) -> DataFrame:
+    """Join rows with their `pseudonym` on `name_key`.
+
+    Nominatives with very many rows are broadcast (there are at most rows / HOT_ROWS of
+    them); their rows then take a scattered key through the join with all others.
+    """
+    hot = ids.filter(F.col("n") >= HOT_ROWS).select(
+        "name_key", F.col("pseudonym").alias("_hot")
+    )
+    rest = ids.filter(F.col("n") < HOT_ROWS).select(
+        F.col("name_key").alias("_key"), F.col("pseudonym").alias("_rest")
     )
+    scattered = F.concat(F.lit("#"), F.xxhash64(*spread_by).cast("string"))
     return (
-        first.join(own_letter, ["entry_id", "name_key"], "left")
-        .select(
-            F.col("entry_id").alias("dict_id"),
-            "name_key",
-            lettered_id(
-                F.coalesce("rank", F.lit(len(ID_LETTERS))), F.col("entry_id")
-            ).alias("pseudonym"),
-        )
+        rows.join(F.broadcast(hot), "name_key", "left")
+        .withColumn("_key", F.when(F.col("_hot").isNull(), F.col("name_key")).otherwise(scattered))
+        .join(rest, "_key", "left")
+        .withColumn("pseudonym", F.coalesce("_hot", "_rest"))
+        .drop("_hot", "_rest", "_key")
     )
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkveil.functions import pseudonyms, spans
+from inkveil.operators.assembly import PIECES_PER_CHUNK
+from inkveil.operators.pseudonyms import with_pseudonyms
 
 EDITS = "array<struct<start:int,end:int,ord:bigint,matched:string,name_key:string,replacement:string>>"
 
@@ -52,14 +54,11 @@ def with_edits(
 
 
 def with_lettered_edits(blocks: DataFrame, keys: list[str], ids: DataFrame) -> DataFrame:
-    """Add `edits` with the IDs of a table `dict_id, name_key, pseudonym`."""
+    """Add `edits` with the IDs of `lettered_ids`."""
     raw = with_edits(blocks, "lettered")
+    rows = edit_rows(raw, keys).drop("replacement").withColumnRenamed("entry_id", "ord")
     named = (
-        raw.filter(F.size("edits") > 0)
-        .select(*keys, F.explode("edits").alias("e"))
-        .select(*keys, "e.*")
-        .drop("replacement")
-        .join(ids.withColumnRenamed("dict_id", "ord"), ["ord", "name_key"])
+        with_pseudonyms(rows, ids, [*keys, "start"])
         .groupBy(*keys)
         .agg(
             F.sort_array(
@@ -176,8 +175,6 @@ def shifted_spans(kept: Column, changes: Column) -> Column:
 
 def piece_offsets(pieces: DataFrame, block_key: list[str], piece: str, length: Column) -> DataFrame:
     """Add `new_base`, the start of each piece in its rewritten block."""
-    from inkveil.operators.assembly import PIECES_PER_CHUNK
-
     chunked = pieces.withColumn("_len", length).withColumn(
         "_chunk", F.floor(F.col(piece) / PIECES_PER_CHUNK)
     )
