@@ -13,6 +13,7 @@ from inkveil.operators import assembly, protect, pseudonyms, reports, rewrite
 from inkveil.operators import detect as detection
 from inkveil.operators import people as persons
 from inkveil.plans.redaction import Redaction, redact
+from inkveil.session import constant
 from inkveil.sources import corpora, lists
 from inkveil.sources.corpora import table
 
@@ -34,8 +35,7 @@ SALT = 20260
 
 
 def _constant_lines(spark: SparkSession, lines: tuple[str, ...]) -> DataFrame:
-    rows = [(i + 1, line) for i, line in enumerate(lines)]
-    return spark.createDataFrame(rows, "line_no bigint, line string")
+    return constant(spark, line_no=list(range(1, len(lines) + 1)), line=list(lines))
 
 
 def list_lines(spark: SparkSession, d: str) -> DataFrame:

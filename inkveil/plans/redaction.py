@@ -47,7 +47,9 @@ def search_entries(
 ) -> tuple[DataFrame, bool]:
     """Entries to look for, and whether they come from the dictionary: without people to
     replace, the dictionary is used."""
-    listed = people if people is not None and not people.filter(~F.col("keep")).isEmpty() else None
+    listed = people
+    if people is not None and dictionary is not None and people.filter(~F.col("keep")).isEmpty():
+        listed = None
     kept = keep_people
     if people is not None:
         own = people.filter("keep")
@@ -87,6 +89,8 @@ def redact(
     `salt`). `order` sorts blocks where letters are given by first occurrence.
     """
     entries, automatic = search_entries(people, dictionary, keep_people)
+    # used to measure the list, to search and to report
+    entries = entries.persist()
     scheme = scheme or ("lettered" if automatic else "listed")
     if scheme not in SCHEMES:
         raise ValueError(f"unknown ID scheme {scheme!r}")

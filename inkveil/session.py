@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -21,6 +22,11 @@ def build(app: str, master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def constant(spark: SparkSession, **columns: list) -> DataFrame:
+    """A few rows known when the plan is made, as a local relation."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage in the folder the cluster names in `spark.checkpoint.dir`."""
     spark = df.sparkSession

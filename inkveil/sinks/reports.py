@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkveil.session import constant
+
 # --- fixed values -------------------------------------------------------------------
 FREQUENCY_HEADER = "FREQUENCIES:"
 ASSOCIATION_HEADER = "ASSOCIATIONS:"
@@ -20,7 +22,9 @@ def _lines(rows: DataFrame, key: str, value: str, order: list[Column], header: s
         F.col(key).alias("_key"),
         F.col(value).alias("_value"),
     )
-    top = rows.sparkSession.createDataFrame([(0, header)], "_body int, value string")
+    top = constant(rows.sparkSession, _body=[0], value=[header]).withColumn(
+        "_body", F.col("_body").cast("int")
+    )
     return (
         body.unionByName(top, allowMissingColumns=True)
         .orderBy("_body", *order)

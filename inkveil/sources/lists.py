@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkveil.functions.grammar import DEFAULT_KEEP_EXPRESSIONS, LIST_LINE, MAX_NAMES, WORD
+from inkveil.session import constant
 
 REPORTED_LINES = 20
 LINES_PER_CHUNK = 65536
@@ -103,7 +104,7 @@ def read_people(spark: SparkSession, path: str, keep: bool | None = False) -> Da
 
 def keep_expressions(lines: DataFrame | None, spark: SparkSession) -> DataFrame:
     """Defaults and user lines, each as written and in upper case: `expr`."""
-    defaults = spark.createDataFrame([(e,) for e in DEFAULT_KEEP_EXPRESSIONS], "line string")
+    defaults = constant(spark, line=list(DEFAULT_KEEP_EXPRESSIONS))
     both = defaults if lines is None else defaults.unionByName(lines.select("line"))
     trimmed = both.select(F.trim("line").alias("expr")).filter("expr <> ''")
     return trimmed.unionByName(trimmed.select(F.upper("expr").alias("expr"))).distinct()
