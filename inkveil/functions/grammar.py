@@ -39,28 +39,45 @@ DEFAULT_KEEP_EXPRESSIONS = (
 MAX_NAMES = 10
 # ----------------------------------------------------------------------------------
 
-NOT_AFTER_LETTER = f"(?<![{LETTERS}])"
-NOT_BEFORE_LETTER = f"(?![{LETTERS}])"
-WORD = f"[{LETTERS}]+"
-NAME = f"[A-Z][{LETTERS}]+"
+
+
+def _ranges(chars: str) -> str:
+    """Characters as ranges of neighbours."""
+    spans: list[list[str]] = []
+    for c in sorted(set(chars)):
+        if spans and ord(c) == ord(spans[-1][1]) + 1:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    return "".join(a if a == b else f"{a}-{b}" for a, b in spans)
+
+
+# The same letters for use in a character class. Java tries the members of a class one
+# by one; kept behind one range test, the rare letters cost nothing on ASCII text.
+LETTER = f"A-Za-z[À-ẞ&&[À-ÖØ-öø-ÿ{_ranges(EXTRA_LETTERS)}]]"
+
+NOT_AFTER_LETTER = f"(?<![{LETTER}])"
+NOT_BEFORE_LETTER = f"(?![{LETTER}])"
+WORD = f"[{LETTER}]+"
+NAME = f"[A-Z][{LETTER}]+"
 GLUE = f"[{APOSTROPHES}\\s]+"
-SURNAME_PREFIX = f"(?:[A-Z][{LETTERS}]*|(?i:{PARTICLES})){GLUE}"
+SURNAME_PREFIX = f"(?:[A-Z][{LETTER}]*|(?i:{PARTICLES})){GLUE}"
 SURNAME = f"(?:{SURNAME_PREFIX})?{NAME}"
 
 # Is there a nominative at all?  "Name Surname" and "Surname Name" with their optional
 # parts dropped come down to a capitalised word, white space, an optional surname
 # prefix and a second capitalised word.
-GATE = f"{NOT_AFTER_LETTER}{NAME}\\s+(?:{SURNAME_PREFIX})?[A-Z][{LETTERS}]"
+GATE = f"{NOT_AFTER_LETTER}{NAME}\\s+(?:{SURNAME_PREFIX})?[A-Z][{LETTER}]"
 
 # A stretch of text a match can lie in: any words ...
-STRETCH = f"[{LETTERS}][{LETTERS}{APOSTROPHES}\\s]*"
+STRETCH = f"[{LETTER}][{LETTER}{APOSTROPHES}\\s]*"
 # ... or, if every first name looked for is a capitalised word, only capitalised
 # words and particles.
-_CAPITAL_WORD = f"{NOT_AFTER_LETTER}(?:[A-Z][{LETTERS}]*|(?i:{PARTICLES})){NOT_BEFORE_LETTER}"
+_CAPITAL_WORD = f"{NOT_AFTER_LETTER}(?:[A-Z][{LETTER}]*|(?i:{PARTICLES})){NOT_BEFORE_LETTER}"
 CAPITAL_STRETCH = f"{_CAPITAL_WORD}(?:{GLUE}{_CAPITAL_WORD})+"
 
 # A text node ending like this may be followed by part of the same name.
-OPEN_END = f"[{LETTERS}{APOSTROPHES}\\s]$"
+OPEN_END = f"[{LETTER}{APOSTROPHES}\\s]$"
 
 
 def is_name_like(text: Column) -> Column:

@@ -14,6 +14,14 @@ SPANS = "array<struct<start:int,end:int>>"
 FOUND = "array<struct<start:int,end:int,ord:bigint,status:string>>"
 # Stands for text that is already replaced; matches no name and is not a letter.
 BLANK = "\ufdd2"
+# Put around matches; must not occur in a text that is searched.
+MARK = "\ufdd3"
+
+
+def searchable(text: Column) -> Column:
+    """The text without characters of special meaning here (none are valid text)."""
+    special = F.contains(text, F.lit(BLANK)) | F.contains(text, F.lit(MARK))
+    return F.when(special, F.translate(text, BLANK + MARK, "\ufffd\ufffd")).otherwise(text)
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -25,32 +33,32 @@ def empty(kind: str) -> Column:
     return F.array().cast(kind)
 
 
-def _lay_out(gaps: Column, hits: Column) -> Column:
-    """Offsets of hits from the text between them."""
-    steps = F.zip_with(
-        F.slice(gaps, 1, F.size(hits)),
-        hits,
-        lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("len")),
+def locate(text: Column, pattern: Column) -> Column:
+    """Offsets of all matches, leftmost first and not overlapping.
+
+    Each match is put between two marks; cut at the marks, the text falls into gaps and
+    matches by turns, whose lengths add up to the offsets.
+    """
+    marked = F.regexp_replace(text, pattern, F.lit(f"{MARK}$0{MARK}"))
+    start = F.struct(
+        F.lit(0).alias("pos"), F.lit(False).alias("hit"), empty(SPANS).alias("out")
     )
-    start = F.struct(F.lit(0).alias("pos"), empty(SPANS).alias("out"))
 
-    def add(state: Column, step: Column) -> Column:
-        begin = state["pos"] + step["gap"]
-        end = begin + step["len"]
-        span = F.struct(begin.alias("start"), end.alias("end"))
+    def add(state: Column, part: Column) -> Column:
+        end = state["pos"] + F.length(part)
+        span = F.struct(state["pos"].alias("start"), end.alias("end"))
         return F.struct(
-            end.alias("pos"), F.concat(state["out"], F.array(span)).alias("out")
+            end.alias("pos"),
+            (~state["hit"]).alias("hit"),
+            F.when(state["hit"], F.concat(state["out"], F.array(span)))
+            .otherwise(state["out"])
+            .alias("out"),
         )
 
-    return F.aggregate(steps, start, add, lambda state: state["out"])
-
-
-def locate(text: Column, pattern: Column) -> Column:
-    """Offsets of all matches, leftmost first and not overlapping."""
     return bind(
-        F.regexp_extract_all(text, pattern, F.lit(0)),
-        lambda hits: F.when(F.size(hits) == 0, empty(SPANS)).otherwise(
-            _lay_out(F.split(text, pattern, -1), hits)
+        F.split(marked, MARK, -1),
+        lambda parts: F.when(F.size(parts) == 1, empty(SPANS)).otherwise(
+            F.aggregate(parts, start, add, lambda state: state["out"])
         ),
     )
 

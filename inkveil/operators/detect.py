@@ -139,7 +139,7 @@ def detect(
     def resolve(some_text: Column, some_entries: Column, kept_here: Column) -> Column:
         return spans.resolve(some_text, some_entries, kept_here, rule, report_kept)
 
-    text = F.col("text")
+    text = spans.searchable(F.col("text"))
     gate = grammar.is_name_like(text) if gate is None else gate
     size = measure(entries)
     plan = plan or choose(size)
@@ -163,7 +163,7 @@ def detect(
         found = _inline(text, entries, size, kept, resolve)
         out = blocks.withColumn("found", F.when(gate, found).otherwise(spans.empty(spans.FOUND)))
     elif plan == "joined":
-        out = _joined(blocks, keys, entries, size, kept, gate, resolve)
+        out = _joined(blocks, keys, text, entries, size, kept, gate, resolve)
     else:
         raise ValueError(f"unknown plan {plan!r}")
     return out.drop("kept")
@@ -282,26 +282,30 @@ def _inline(
 def _joined(
     blocks: DataFrame,
     keys: list[str],
+    text: Column,
     entries: DataFrame,
     size: Measure,
     kept: Column,
     gate: Column,
     resolve: Resolve,
 ) -> DataFrame:
+    # outer explodes: a plain one would make Spark evaluate its input twice
     parts = (
         blocks.filter(gate)
         .select(
             *keys,
             kept.alias("kept"),
-            F.explode(stretches(F.col("text"), size.stretch)).alias("s"),
+            F.explode_outer(stretches(text, size.stretch)).alias("s"),
         )
+        .filter("s is not null")
         .select(
             *keys,
             "s.start",
             F.col("s.text").alias("stretch"),
             _within(F.col("kept"), F.col("s.start"), F.length("s.text")).alias("kept"),
+            F.explode_outer(keys_of(F.col("s.text"), size.widths)).alias("key"),
         )
-        .withColumn("key", F.explode(keys_of(F.col("stretch"), size.widths)))
+        .filter("key is not null")
     )
     listed = entries.select(F.explode("keys").alias("key"), "ord", "keep", "pattern")
     if size.chars <= BROADCAST_CHARS:

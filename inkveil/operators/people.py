@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,33 +46,40 @@ def with_homonyms(people: DataFrame) -> DataFrame:
     )
 
 
-def variants(people: DataFrame) -> DataFrame:
+def variants(people: DataFrame, *extra: str) -> DataFrame:
     """Every ordered choice of a person's names, longest first.
 
-    `person_id, variant_rank, terms`; homonyms only have the full-length choices. One
-    name is added per step, so ten names (9.9 million choices) unfold over the cluster.
+    `person_id, variant_rank, terms`; homonyms only have the full-length choices. Each
+    step adds one of the names left or stops, so ten names (9.9 million choices) unfold
+    row by row and never sit in one array.
     """
-    base = people.withColumn("n", F.size("names"))
-    level = base.select(
-        "person_id", "n", "names", "has_homonym", F.array().cast("array<int>").alias("path")
-    )
-    levels = []
+    level = people.withColumn("n", F.size("names")).withColumn(
+        "path", F.array().cast("array<int>")
+    ).withColumn("open", F.lit(True))
     for _ in range(MAX_NAMES):
         rest = F.array_except(F.sequence(F.lit(0), F.col("n") - 1), F.col("path"))
+        steps = F.when(F.col("open"), F.concat(rest, F.array(F.lit(-1)))).otherwise(
+            F.array(F.lit(-1))
+        )
+        grown = F.col("step") >= 0
         level = (
-            level.filter(F.size("path") < F.col("n"))
-            .withColumn("next", F.explode(rest))
-            .withColumn("path", F.concat("path", F.array("next")))
-            .drop("next")
+            level.withColumn("step", F.explode_outer(steps))
+            .withColumn("open", grown)
+            .withColumn(
+                "path", F.when(grown, F.concat("path", F.array("step"))).otherwise(F.col("path"))
+            )
+            .drop("step")
+        )
+    chosen = level.filter(
+        F.when(F.col("has_homonym"), F.size("path") == F.col("n")).otherwise(
+            F.size("path") > 0
         )
-        levels.append(level)
-    chosen = reduce(DataFrame.unionByName, levels).filter(
-        ~F.col("has_homonym") | (F.size("path") == F.col("n"))
     )
     return chosen.select(
         "person_id",
         variant_rank(F.col("path"), F.col("n"), F.col("has_homonym")).alias("variant_rank"),
         F.transform("path", lambda i: F.get("names", i)).alias("terms"),
+        *extra,
     )
 
 

@@ -53,28 +53,19 @@ def with_edits(
     return blocks.withColumn("edits", edits(F.col("text"), F.col("found"), scheme, salt))
 
 
-def with_lettered_edits(blocks: DataFrame, keys: list[str], ids: DataFrame) -> DataFrame:
-    """Add `edits` with the IDs of `lettered_ids`."""
-    raw = with_edits(blocks, "lettered")
-    rows = edit_rows(raw, keys).drop("replacement").withColumnRenamed("entry_id", "ord")
-    named = (
-        with_pseudonyms(rows, ids, [*keys, "start"])
-        .groupBy(*keys)
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        "start", "end", "ord", "matched", "name_key",
-                        F.col("pseudonym").alias("replacement"),
-                    )
-                )
-            ).alias("named")
-        )
+def with_edits_from(blocks: DataFrame, keys: list[str], rows: DataFrame) -> DataFrame:
+    """Add `edits` to blocks from a table of edits."""
+    edit = F.struct("start", "end", F.col("entry_id").alias("ord"), "matched", "name_key", "replacement")
+    grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(edit)).alias("edits"))
+    return blocks.join(grouped, keys, "left").withColumn(
+        "edits", F.coalesce("edits", spans.empty(EDITS))
     )
-    return (
-        raw.join(named, keys, "left")
-        .withColumn("edits", F.coalesce("named", spans.empty(EDITS)))
-        .drop("named")
+
+
+def lettered_rows(rows: DataFrame, keys: list[str], ids: DataFrame) -> DataFrame:
+    """Edits with the IDs of `lettered_ids`."""
+    return with_pseudonyms(rows.drop("replacement"), ids, [*keys, "start"]).withColumnRenamed(
+        "pseudonym", "replacement"
     )
 
 
@@ -83,29 +74,36 @@ def redacted(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("text", spans.rebuild(F.col("text"), F.col("edits")))
 
 
+def unfold(blocks: DataFrame, keys: list[str], spans_column: str) -> DataFrame:
+    """`keys, s` for every element of a span column.
+
+    An outer explode followed by a filter: for a plain explode Spark adds a size test
+    below it, which would evaluate the search behind the column a second time.
+    """
+    return blocks.select(*keys, F.explode_outer(spans_column).alias("s")).filter(
+        F.col("s").isNotNull()
+    )
+
+
 def audit(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """Every span found, with its text and status."""
-    return (
-        blocks.filter(F.size("found") > 0)
-        .select(*keys, "text", F.explode("found").alias("s"))
-        .select(
-            *keys,
-            "s.start",
-            "s.end",
-            matched(F.col("text"), F.col("s")).alias("matched"),
-            F.col("s.ord").alias("entry_id"),
-            "s.status",
-        )
+    told = F.transform(
+        "found",
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            s["end"].alias("end"),
+            matched(F.col("text"), s).alias("matched"),
+            s["ord"].alias("entry_id"),
+            s["status"].alias("status"),
+        ),
     )
+    return unfold(blocks.select(*keys, told.alias("told")), keys, "told").select(*keys, "s.*")
 
 
 def edit_rows(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """One row per replaced span."""
     return (
-        blocks.filter(F.size("edits") > 0)
-        .select(*keys, F.explode("edits").alias("e"))
-        .select(*keys, "e.*")
-        .withColumnRenamed("ord", "entry_id")
+        unfold(blocks, keys, "edits").select(*keys, "s.*").withColumnRenamed("ord", "entry_id")
     )
 
 

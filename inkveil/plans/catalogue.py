@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkveil.functions import grammar
 from inkveil.functions import pseudonyms as ids
-from inkveil.operators import assembly, protect, pseudonyms, reports, rewrite
+from inkveil.operators import assembly, protect, reports, rewrite
 from inkveil.operators import detect as detection
 from inkveil.operators import people as persons
 from inkveil.plans.redaction import Redaction, redact
@@ -264,7 +264,9 @@ def person_forms(spark: SparkSession, d: str) -> DataFrame:
     people = persons.patterns(persons.with_homonyms(listed_people(spark, d))).filter(
         ~F.col("keep")
     )
-    spelt = persons.variants(people.withColumn("has_homonym", F.lit(False)))
+    spelt = persons.variants(
+        people.withColumn("has_homonym", F.lit(False)), "surname", "pattern"
+    )
     names = F.array_join("terms", " ")
     forms = {
         "names first": F.concat_ws(" ", names, F.col("surname")),
@@ -278,8 +280,7 @@ def person_forms(spark: SparkSession, d: str) -> DataFrame:
         *[F.struct(F.lit(n).alias("form"), text.alias("text")) for n, text in forms.items()]
     )
     return (
-        spelt.join(people.select("person_id", "surname", "pattern"), "person_id")
-        .select("person_id", "pattern", "variant_rank", F.explode(listed).alias("f"))
+        spelt.select("person_id", "pattern", "variant_rank", F.explode(listed).alias("f"))
         .select(
             "person_id",
             "variant_rank",
@@ -344,15 +345,15 @@ def associations(spark: SparkSession, d: str) -> DataFrame:
 
 def protected_shift(spark: SparkSession, d: str) -> DataFrame:
     """Kept spans in the offsets of the redacted text."""
-    job = note_job(spark, d)
+    blocks = note_job(spark, d).blocks
     kept = detection.kept_literals(
         F.col("text"), detection.literal_alternatives(_keep(spark, NOTE_KEEP))
     )
     return (
-        job.blocks.withColumn("kept", kept)
-        .filter(F.size("kept") > 0)
+        blocks.withColumn("kept", kept)
         .withColumn("moved", rewrite.shifted_spans(F.col("kept"), F.col("edits")))
-        .select("note_id", F.explode(F.arrays_zip("kept", "moved")).alias("z"))
+        .select("note_id", F.explode_outer(F.arrays_zip("kept", "moved")).alias("z"))
+        .filter("z is not null")
         .select(
             "note_id",
             "z.kept.start",
@@ -372,8 +373,7 @@ def dictionary_spans_joined(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lettered_ids(spark: SparkSession, d: str) -> DataFrame:
-    rows = dictionary_job(spark, d).spans()
-    return pseudonyms.lettered_ids(rows, ["note_id", "start"]).drop("n")
+    return dictionary_job(spark, d).ids()
 
 
 def dictionary_redacted(spark: SparkSession, d: str) -> DataFrame:
@@ -381,7 +381,8 @@ def dictionary_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def name_keys(spark: SparkSession, d: str) -> DataFrame:
-    return dictionary_job(spark, d).spans().select("matched", "name_key").distinct()
+    told = dictionary_job(spark, d).audit().select("matched").distinct()
+    return told.select("matched", ids.name_key(F.col("matched")).alias("name_key"))
 
 
 def hash_ids(spark: SparkSession, d: str) -> DataFrame:

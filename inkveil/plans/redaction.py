@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,33 +11,66 @@ from pyspark.sql import functions as F
 from inkveil.operators import detect as detection
 from inkveil.operators import pseudonyms, reports, rewrite
 from inkveil.operators import people as persons
+from inkveil.session import checkpoint
 
 SCHEMES = ("listed", "lettered", "hash")
 
 
-@dataclass(frozen=True)
+@dataclass
 class Redaction:
-    """Blocks with `found` and `edits`, and the entries they were found with."""
+    """What was found, and everything that follows from it."""
 
-    blocks: DataFrame
+    found: DataFrame
     keys: list[str]
     entries: DataFrame
+    scheme: str
+    salt: str | int | None
+    order: list[str]
+
+    @cached_property
+    def _lettered(self) -> DataFrame:
+        """Edits with lettered IDs. Ranking reads the spans several times, so they are
+        written once."""
+        rows = checkpoint(
+            rewrite.edit_rows(rewrite.with_edits(self.found, "lettered"), self.keys)
+        )
+        return rewrite.lettered_rows(rows, self.keys, self._ids(rows))
+
+    def _ids(self, rows: DataFrame) -> DataFrame:
+        return pseudonyms.lettered_ids(rows, [*self.order, "start"])
+
+    @property
+    def blocks(self) -> DataFrame:
+        """Blocks with `edits`."""
+        if self.scheme == "lettered":
+            return rewrite.with_edits_from(self.found.drop("found"), self.keys, self._lettered)
+        return rewrite.with_edits(self.found, self.scheme, self.salt).drop("found")
 
     def texts(self) -> DataFrame:
-        return rewrite.redacted(self.blocks).drop("found", "edits")
+        return rewrite.redacted(self.blocks).drop("edits")
 
     def spans(self) -> DataFrame:
+        """One row per replaced span."""
+        if self.scheme == "lettered":
+            return self._lettered
         return rewrite.edit_rows(self.blocks, self.keys)
 
     def audit(self) -> DataFrame:
-        return rewrite.audit(self.blocks, self.keys)
+        """One row per span found, protected ones included."""
+        return rewrite.audit(self.found, self.keys)
 
     def segments(self) -> DataFrame:
         """For blocks with `segments`."""
         return rewrite.segment_rows(rewrite.segment_edits(self.blocks), self.keys)
 
+    def ids(self) -> DataFrame:
+        """Lettered IDs by nominative."""
+        rows = rewrite.edit_rows(rewrite.with_edits(self.found, "lettered"), self.keys)
+        return self._ids(checkpoint(rows)).drop("n")
+
     def frequencies(self) -> DataFrame:
-        return reports.frequencies(self.spans(), self.entries)
+        replaced = self.audit().filter(F.col("status") == "replaced")
+        return reports.frequencies(replaced, self.entries)
 
     def associations(self) -> DataFrame:
         return pseudonyms.associations(self.spans())
@@ -95,10 +129,4 @@ def redact(
     if scheme not in SCHEMES:
         raise ValueError(f"unknown ID scheme {scheme!r}")
     found = detection.detect(blocks, keys, entries, keep_exprs, gate=gate, rule=rule, plan=plan)
-    if scheme == "lettered":
-        rows = rewrite.edit_rows(rewrite.with_edits(found, "lettered"), keys)
-        ids = pseudonyms.lettered_ids(rows, [*(order or keys), "start"])
-        edited = rewrite.with_lettered_edits(found, keys, ids)
-    else:
-        edited = rewrite.with_edits(found, scheme, salt)
-    return Redaction(edited, keys, entries)
+    return Redaction(found, keys, entries, scheme, salt, order or keys)
