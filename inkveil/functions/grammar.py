@@ -161,15 +161,53 @@ def person_pattern(names: Column, surname: Column, all_names: Column) -> Column:
     )
 
 
+def _dictionary(term: str, letter: str, capital: str) -> str:
+    """A first name with an optional second name, before or after a surname."""
+    name = f"[{capital}][{letter}]+"
+    surname = f"(?:(?:[{capital}][{letter}]*|(?i:{PARTICLES})){GLUE})?{name}"
+    given = f"(?:{term}(?:\\s+{name})?|(?:{name}\\s+)?{term})"
+    return f"(?<![{letter}])(?:{given}\\s+{surname}|{surname}\\s+{given})(?![{letter}])"
+
+
+# Stands for the first letter of a word equal to the dictionary name looked for.
+NAME_MARK = "\ufdd4"
+# One pattern for all names that are a single capitalised word, on marked text.
+MARKED_NAME = _dictionary(
+    f"{NAME_MARK}[{LETTER}]*", LETTER + NAME_MARK, "A-Z" + NAME_MARK
+)
+PLAIN_WORD = f"^[A-Z][{LETTER}]*$"
+
+
 def dictionary_pattern(name: Column) -> Column:
-    """A first name of the dictionary with an optional second name, before or
-    after a capitalised surname."""
+    """O33, O34 for any dictionary name."""
     term = term_pattern(name)
-    given = F.concat(
-        F.lit("(?:"), term, F.lit(f"(?:\\s+{NAME})?|(?:{NAME}\\s+)?"), term, F.lit(")")
-    )
-    return F.concat(
-        F.lit(f"{NOT_AFTER_LETTER}(?:"),
-        given, F.lit(f"\\s+{SURNAME}|{SURNAME}\\s+"), given,
-        F.lit(f"){NOT_BEFORE_LETTER}"),
+    slot = "\ufdd5"
+    around = _dictionary(slot, LETTER, "A-Z").split(slot)
+    pieces: list[Column] = [F.lit(around[0])]
+    for text in around[1:]:
+        pieces += [term, F.lit(text)]
+    return F.concat(*pieces)
+
+
+def ascii_lower(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def mark_name(text: Column, name: Column) -> Column:
+    """Put the mark in place of the first letter of every word equal to `name`, first
+    letter as listed, the rest in any (ASCII) case."""
+
+    def same(word: Column) -> Column:
+        return (F.lower(word) == F.lower(name)) & (
+            F.concat(F.substring(word, 1, 1), ascii_lower(_rest(word)))
+            == F.concat(F.substring(name, 1, 1), ascii_lower(_rest(name)))
+        )
+
+    tokens = F.regexp_extract_all(text, F.lit(f"[{LETTER}]+|[^{LETTERS}]+"), F.lit(0))
+    return F.array_join(
+        F.transform(
+            tokens,
+            lambda t: F.when(same(t), F.concat(F.lit(NAME_MARK), _rest(t))).otherwise(t),
+        ),
+        "",
     )

@@ -10,6 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from inkveil.functions import grammar
+
 SPANS = "array<struct<start:int,end:int>>"
 FOUND = "array<struct<start:int,end:int,ord:bigint,status:string>>"
 # Stands for text that is already replaced; matches no name and is not a letter.
@@ -20,8 +22,12 @@ MARK = "\ufdd3"
 
 def searchable(text: Column) -> Column:
     """The text without characters of special meaning here (none are valid text)."""
-    special = F.contains(text, F.lit(BLANK)) | F.contains(text, F.lit(MARK))
-    return F.when(special, F.translate(text, BLANK + MARK, "\ufffd\ufffd")).otherwise(text)
+    marks = BLANK + MARK + grammar.NAME_MARK
+    special = F.contains(text, F.lit(marks[0]))
+    for mark in marks[1:]:
+        special = special | F.contains(text, F.lit(mark))
+    clean = F.translate(text, marks, "\ufffd" * len(marks))
+    return F.when(special, clean).otherwise(text)
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -122,8 +128,8 @@ def resolve(
 ) -> Column:
     """Apply entries in order, each leftmost first, on text not yet replaced.
 
-    `entries` is an array of `struct<ord, keep, pattern>` sorted by `ord`. Entries with
-    `keep` only add to the kept spans and must come first. The result holds the spans
+    `entries` is an array of `struct<ord, keep, pattern, mark>` sorted by `ord`; `mark`
+    is a dictionary name for the common pattern, else null. Entries with `keep` only add to the kept spans and must come first. The result holds the spans
     found, sorted by start, with status `replaced` or `protected`; with `report_kept`
     also those of kept entries, as `kept`.
     """
@@ -171,8 +177,12 @@ def resolve(
                 ).otherwise(acc),
             )
 
+        by_mark = locate(
+            grammar.mark_name(state["text"], entry["mark"]), F.lit(grammar.MARKED_NAME)
+        )
+        by_pattern = locate(state["text"], entry["pattern"])
         return bind(
-            locate(state["text"], entry["pattern"]),
+            F.when(entry["mark"].isNotNull(), by_mark).otherwise(by_pattern),
             lambda spans: F.when(F.size(spans) == 0, state)
             .when(
                 entry["keep"],

@@ -33,7 +33,8 @@ LITERAL_CHARS = 20_000
 
 Resolve = Callable[[Column, Column, Column], Column]
 
-_ENTRY = "struct<ord:bigint,keep:boolean,pattern:string>"
+_ENTRY = "struct<ord:bigint,keep:boolean,pattern:string,mark:string>"
+_FIELDS = ("ord", "keep", "pattern", "mark")
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ def measure(entries: DataFrame) -> Measure:
     row = entries.agg(
         F.count(F.lit(1)).alias("entries"),
         F.coalesce(F.sum(F.size("keys")), F.lit(0)).alias("keys"),
-        F.coalesce(F.sum(F.length("pattern")), F.lit(0)).alias("chars"),
+        F.coalesce(F.sum(F.length(F.coalesce("pattern", "mark"))), F.lit(0)).alias("chars"),
         # the number of words of a nominative, a handful of different values
         F.sort_array(F.collect_set("width")).alias("widths"),
         F.coalesce(F.bool_and("plain"), F.lit(False)).alias("plain"),
@@ -178,12 +179,12 @@ def _direct(
     text: Column, entries: DataFrame, kept: Column, resolve: Resolve, report_kept: bool
 ) -> Column:
     rows = sorted(
-        (r.asDict() for r in entries.select("ord", "keep", "pattern", "anchor").collect()),
+        (r.asDict() for r in entries.select(*_FIELDS, "anchor").collect()),
         key=lambda r: r["ord"],
     )
     anchors = "|".join(r["anchor"] for r in rows if report_kept or not r["keep"])
     listed = _literal(
-        [{k: r[k] for k in ("ord", "keep", "pattern")} for r in rows], f"array<{_ENTRY}>"
+        [{k: r[k] for k in _FIELDS} for r in rows], f"array<{_ENTRY}>"
     )
     if not anchors:
         return spans.empty(spans.FOUND)
@@ -234,7 +235,7 @@ def _inline(
     # a hash table as a constant of the plan: bucket number -> keys with their entries
     count = 1 << max(size.keys - 1, 1).bit_length()
     rows = entries.select(
-        F.explode("keys").alias("key"), F.struct("ord", "keep", "pattern").alias("entry")
+        F.explode("keys").alias("key"), F.struct(*_FIELDS).alias("entry")
     ).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(count)))
     buckets: list[list[dict]] = [[] for _ in range(count)]
     for row in rows.collect():
@@ -307,7 +308,7 @@ def _joined(
         )
         .filter("key is not null")
     )
-    listed = entries.select(F.explode("keys").alias("key"), "ord", "keep", "pattern")
+    listed = entries.select(F.explode("keys").alias("key"), *_FIELDS)
     if size.chars <= BROADCAST_CHARS:
         candidates = parts.join(F.broadcast(listed), "key")
     else:
@@ -320,7 +321,7 @@ def _joined(
         .agg(
             F.any_value("stretch").alias("stretch"),
             F.any_value("kept").alias("kept"),
-            F.sort_array(F.collect_set(F.struct("ord", "keep", "pattern"))).alias("entries"),
+            F.sort_array(F.collect_set(F.struct(*_FIELDS))).alias("entries"),
         )
         .select(
             *keys,

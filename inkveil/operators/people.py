@@ -6,10 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkveil.functions import grammar
-from inkveil.functions.grammar import LETTERS, MAX_NAMES
-
-# a term that can only be found as one capitalised word
-PLAIN_WORD = f"^[A-Z][{LETTERS}]*$"
+from inkveil.functions.grammar import MAX_NAMES, PLAIN_WORD
 
 
 def terms(people: DataFrame) -> DataFrame:
@@ -144,7 +141,8 @@ def word_key(some_words: Column) -> Column:
 
 
 def entries(people: DataFrame) -> DataFrame:
-    """People as search entries: `ord, keep, plain_name, pattern, anchor, keys, width, plain`.
+    """People as search entries: `ord, keep, plain_name, pattern, mark,
+    anchor, keys, width, plain` (`plain`: can only be found as capitalised words).
 
     Keys are looked up among the words of a text before the pattern is tried.
     * A person without homonym is found with any of the names next to the surname: keys
@@ -182,6 +180,7 @@ def entries(people: DataFrame) -> DataFrame:
         "keep",
         F.get("names", 0).alias("plain_name"),
         "pattern",
+        F.lit(None).cast("string").alias("mark"),
         grammar.surname_pattern(F.col("surname")).alias("anchor"),
         F.array_distinct(
             F.when(tight, F.array(word_key(all_words))).otherwise(pairs)
@@ -201,18 +200,14 @@ def dictionary_entries(dictionary: DataFrame) -> DataFrame:
         dictionary.withColumn(
             "_same",
             F.concat(
-                F.substring(name, 1, 1),
-                F.translate(
-                    F.substring(name, 2, 1 << 30),
-                    "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-                    "abcdefghijklmnopqrstuvwxyz",
-                ),
+                F.substring(name, 1, 1), grammar.ascii_lower(F.substring(name, 2, 1 << 30))
             ),
         )
         .groupBy("_same")
         .agg(F.min(F.struct("dict_id", "name")).alias("d"))
         .select("d.*")
     )
+    plain = name.rlike(PLAIN_WORD)
     parts = grammar.words(name)
     by_length = F.transform(parts, lambda w: F.struct(F.length(w).alias("n"), w.alias("word")))
     longest = F.element_at(F.sort_array(by_length), -1)["word"]
@@ -220,9 +215,10 @@ def dictionary_entries(dictionary: DataFrame) -> DataFrame:
         F.col("dict_id").cast("bigint").alias("ord"),
         F.lit(False).alias("keep"),
         name.alias("plain_name"),
-        grammar.dictionary_pattern(name).alias("pattern"),
+        F.when(~plain, grammar.dictionary_pattern(name)).alias("pattern"),
+        F.when(plain, name).alias("mark"),
         grammar.term_pattern(name).alias("anchor"),
         F.array(F.lower(longest)).alias("keys"),
         F.lit(1).alias("width"),
-        name.rlike(PLAIN_WORD).alias("plain"),
+        plain.alias("plain"),
     )
