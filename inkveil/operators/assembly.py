@@ -57,6 +57,10 @@ SIBLING_ACTIONS = {
         "fldSimple", "ins",
     ),
 }
+# settings of an element, not content
+PROPERTIES = (
+    "rPr", "pPr", "sdtPr", "sdtEndPr", "smartTagPr", "customXmlPr", "fldData",
+)
 # parents that are looked through
 WRAPPERS = ("sdt", "sdtContent", "customXml", "smartTag")
 # parents whose children are one family
@@ -92,7 +96,7 @@ def with_families(nodes: DataFrame) -> DataFrame:
     separators (O13). Each element is one row, so no run can be met twice (O15).
     """
     chain = unwrapped(F.col("ancestors"))
-    parent = F.element_at("ancestors", -1)["tag"]
+    parent = F.try_element_at("ancestors", F.lit(-1))["tag"]
 
     def up(levels: int) -> Column:
         return F.get("chain", F.size("chain") - levels)
@@ -101,7 +105,9 @@ def with_families(nodes: DataFrame) -> DataFrame:
     # the chain of a run's child ends in the run itself
     container = F.when(in_run, up(2)).otherwise(up(1))
     outer = F.when(in_run, up(3)).otherwise(up(2))
-    row = F.element_at(F.filter("chain", lambda a: a["tag"] == "tr"), -1)["node_id"]
+    row = F.try_element_at(
+        F.filter("chain", lambda a: a["tag"] == "tr"), F.lit(-1)
+    )["node_id"]
     marked = (
         nodes.withColumn("chain", chain)
         .withColumn("container", container)
@@ -113,7 +119,7 @@ def with_families(nodes: DataFrame) -> DataFrame:
     ends_in_cell = (tag == "p") & (F.col("container.tag") == "tc") & (F.col("edge") == 1)
     kind = (
         F.when((tag == "tc") | ends_in_cell, "edge")
-        .when(F.col("edge") == 1, None)
+        .when((F.col("edge") == 1) | tag.isin(*PROPERTIES), None)
         .when(in_run, "child")
         .when(
             F.col("container.tag").isin(*CONTAINERS) & ~tag.isin("r", *WRAPPERS), "sibling"
