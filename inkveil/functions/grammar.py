@@ -203,7 +203,7 @@ def mark_name(text: Column, name: Column) -> Column:
             == F.concat(F.substring(name, 1, 1), ascii_lower(_rest(name)))
         )
 
-    tokens = F.regexp_extract_all(text, F.lit(f"[{LETTER}]+|[^{LETTERS}]+"), F.lit(0))
+    tokens = F.regexp_extract_all(text, F.lit(f"(?s)[{LETTER}]+|."), F.lit(0))
     return F.array_join(
         F.transform(
             tokens,

@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from inkveil.functions.grammar import LETTERS
-from inkveil.functions.spans import bind
 
 # --- fixed values -----------------------------------------------------------------
 ID_PREFIX = "ID"
@@ -16,9 +15,9 @@ ID_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 # ----------------------------------------------------------------------------------
 
 _BASE = 36
-_DIGITS_PER_STEP = 4
+_DIGITS_PER_STEP = 5
 _STEP = _BASE**_DIGITS_PER_STEP
-_STEPS = 7  # 28 base-36 digits hold 128 bits
+_STEPS = 5  # 25 base-36 digits hold 128 bits
 
 
 def name_key(matched: Column) -> Column:
@@ -39,47 +38,27 @@ def lettered_id(rank: Column, dict_id: Column) -> Column:
 
 
 def base36_md5(text: Column) -> Column:
-    """The MD5 digest as a base-36 number, by long division over four 32-bit limbs."""
+    """The MD5 digest as a base-36 number, by long division of four 32-bit limbs."""
     digest = F.md5(text.cast("binary"))
-    limbs = F.array(
-        *[F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(4)]
-    )
-
-    def divide(limbs: Column) -> Column:
-        zero = F.struct(
-            F.lit(0).cast("bigint").alias("rest"),
-            F.array().cast("array<bigint>").alias("quotient"),
-        )
-
-        def step(acc: Column, limb: Column) -> Column:
-            value = acc["rest"] * F.lit(1 << 32).cast("bigint") + limb
-            return F.struct(
-                (value % _STEP).alias("rest"),
-                F.concat(
-                    acc["quotient"],
-                    F.array(F.floor((value - value % _STEP) / _STEP).cast("bigint")),
-                ).alias("quotient"),
-            )
-
-        return F.aggregate(limbs, zero, step)
-
-    start = F.struct(limbs.alias("limbs"), F.lit("").alias("digits"))
+    names = ("a", "b", "c", "d")
+    limbs = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(4)]
 
     def emit(state: Column, _: Column) -> Column:
-        def digits(rest: Column) -> Column:
-            return F.lpad(F.lower(F.conv(rest.cast("string"), 10, _BASE)), _DIGITS_PER_STEP, "0")
-
-        return bind(
-            divide(state["limbs"]),
-            lambda done: F.struct(
-                done["quotient"].alias("limbs"),
-                F.concat(digits(done["rest"]), state["digits"]).alias("digits"),
-            ),
-        )
-
-    steps = F.sequence(F.lit(1), F.lit(_STEPS))
+        rest = None
+        quotients = []
+        for name in names:
+            value = state[name] if rest is None else rest * F.lit(1 << 32) + state[name]
+            quotients.append(F.call_function("div", value, F.lit(_STEP)).alias(name))
+            rest = value % _STEP
+        digits = F.lpad(F.conv(rest.cast("string"), 10, _BASE), _DIGITS_PER_STEP, "0")
+        return F.struct(*quotients, F.concat(digits, state["digits"]).alias("digits"))
+
+    start = F.struct(*[x.alias(n) for x, n in zip(limbs, names, strict=True)], F.lit("").alias("digits"))
     return F.aggregate(
-        steps, start, emit, lambda state: F.regexp_replace(state["digits"], "^0+(?=.)", "")
+        F.sequence(F.lit(1), F.lit(_STEPS)),
+        start,
+        emit,
+        lambda state: F.lower(F.regexp_replace(state["digits"], "^0+(?=.)", "")),
     )
 
 

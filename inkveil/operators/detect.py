@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from inkveil.functions import grammar, spans
 from inkveil.operators.people import word_key
 
-DIRECT_ENTRIES = 16
+DIRECT_ENTRIES = 8
 INLINE_KEYS = 20_000
 INLINE_CHARS = 16_000_000
 BROADCAST_CHARS = 64_000_000
@@ -46,6 +46,8 @@ class Measure:
     chars: int
     widths: tuple[int, ...]
     plain: bool
+    # are there entries for the common dictionary pattern?
+    marked: bool = False
 
     @property
     def stretch(self) -> str:
@@ -60,14 +62,13 @@ def measure(entries: DataFrame) -> Measure:
         # the number of words of a nominative, a handful of different values
         F.sort_array(F.collect_set("width")).alias("widths"),
         F.coalesce(F.bool_and("plain"), F.lit(False)).alias("plain"),
+        F.coalesce(F.bool_or(F.col("mark").isNotNull()), F.lit(False)).alias("marked"),
     ).first()
-    return Measure(
-        row["entries"], row["keys"], row["chars"], tuple(row["widths"]), row["plain"]
-    )
+    return Measure(**{**row.asDict(), "widths": tuple(row["widths"])})
 
 
 def choose(size: Measure) -> str:
-    if size.entries <= DIRECT_ENTRIES:
+    if size.entries <= DIRECT_ENTRIES and not size.marked:
         return "direct"
     if size.keys <= INLINE_KEYS and size.chars <= INLINE_CHARS:
         return "inline"

@@ -130,26 +130,28 @@ def segment_edits(blocks: DataFrame) -> DataFrame:
     ).withColumn("new_text", spans.rebuild(F.col("text"), F.col("edits")))
 
 
-def segment_rows(blocks: DataFrame, keys: list[str]) -> DataFrame:
+def segment_rows(blocks: DataFrame, keys: list[str], *node: str) -> DataFrame:
     """One row per segment with old and new offsets and its new text, in keyed
-    (never positional) order."""
+    (never positional) order. `node` names further fields of the segments; offsets are
+    those of the block if there are a `base` and `new_base`, else of the stored text."""
+    old, new = F.col("z.segments"), F.col("z.new_segments")
+    base = F.col("base") if "base" in blocks.columns else F.lit(0)
+    new_base = F.col("new_base") if "new_base" in blocks.columns else F.lit(0)
     return blocks.select(
         *keys,
         "new_text",
+        base.alias("base"),
+        new_base.alias("new_base"),
         F.explode(F.arrays_zip("segments", "new_segments")).alias("z"),
     ).select(
         *keys,
-        F.col("z.segments.seg_idx").alias("seg_idx"),
-        F.col("z.segments.from").alias("from"),
-        F.col("z.segments.to").alias("to"),
-        F.col("z.new_segments.from").alias("new_from"),
-        F.col("z.new_segments.to").alias("new_to"),
-        F.col("new_text")
-        .substr(
-            F.col("z.new_segments.from") + 1,
-            F.col("z.new_segments.to") - F.col("z.new_segments.from"),
-        )
-        .alias("text"),
+        old["seg_idx"].alias("seg_idx"),
+        (F.col("base") + old["from"]).alias("from"),
+        (F.col("base") + old["to"]).alias("to"),
+        (F.col("new_base") + new["from"]).alias("new_from"),
+        (F.col("new_base") + new["to"]).alias("new_to"),
+        F.col("new_text").substr(new["from"] + 1, new["to"] - new["from"]).alias("text"),
+        *[old[c].alias(c) for c in node],
     )
 
 

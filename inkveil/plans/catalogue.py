@@ -12,6 +12,7 @@ from inkveil.functions import pseudonyms as ids
 from inkveil.operators import assembly, protect, reports, rewrite
 from inkveil.operators import detect as detection
 from inkveil.operators import people as persons
+from inkveil.plans.pieces import PieceRedaction, redact_pieces, whole_blocks
 from inkveil.plans.redaction import Redaction, redact
 from inkveil.session import constant
 from inkveil.sources import corpora, lists
@@ -131,18 +132,12 @@ def dictionary_job(spark: SparkSession, d: str, plan: str | None = None) -> Reda
     )
 
 
-def transcript_job(spark: SparkSession, d: str) -> Redaction:
-    people = listed_people(spark, d)
-    exprs = _keep(spark, NOTE_KEEP)
-    pieces = transcript_blocks(spark, d)
-    key = ["conv_id", "block_idx"]
-    opened = detection.gated_blocks(pieces, key).withColumn("gated", F.lit(True))
-    return redact(
-        pieces.join(opened, key, "left"),
-        [*key, "piece"],
-        people=people,
-        keep_exprs=exprs,
-        gate=F.coalesce("gated", F.lit(False)),
+def transcript_job(spark: SparkSession, d: str) -> PieceRedaction:
+    return redact_pieces(
+        transcript_blocks(spark, d),
+        ["conv_id"],
+        people=listed_people(spark, d),
+        keep_exprs=_keep(spark, NOTE_KEEP),
     )
 
 
@@ -413,57 +408,19 @@ def segment_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def turn_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Whole texts of the blocks of signed conversations."""
-    pieces = transcript_blocks(spark, d)
-    return pieces.groupBy("conv_id", "block_idx").agg(
-        F.array_join(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("piece", "text"))), lambda p: p["text"]
-            ),
-            "",
-        ).alias("text")
-    )
-
-
-def _remapped(spark: SparkSession, d: str) -> DataFrame:
-    job = transcript_job(spark, d)
-    edited = rewrite.segment_edits(job.blocks)
-    placed = rewrite.piece_offsets(
-        edited, ["conv_id", "block_idx"], "piece", F.length("new_text")
-    )
-    first = F.col("base")
-    return (
-        placed.select(
-            "conv_id",
-            "block_idx",
-            "piece",
-            "base",
-            "new_base",
-            "new_text",
-            F.explode(F.arrays_zip("segments", "new_segments")).alias("z"),
-        )
-        .select(
-            "conv_id",
-            "block_idx",
-            (first + F.col("z.segments.from")).alias("from"),
-            (first + F.col("z.segments.to")).alias("to"),
-            (F.col("new_base") + F.col("z.new_segments.from")).alias("new_from"),
-            (F.col("new_base") + F.col("z.new_segments.to")).alias("new_to"),
-            F.col("new_text")
-            .substr(
-                F.col("z.new_segments.from") + 1,
-                F.col("z.new_segments.to") - F.col("z.new_segments.from"),
-            )
-            .alias("text"),
-        )
-    )
+    return whole_blocks(transcript_blocks(spark, d), ["conv_id"])
 
 
 def segment_remap(spark: SparkSession, d: str) -> DataFrame:
-    return _remapped(spark, d).drop("text")
+    return transcript_job(spark, d).segments().select(
+        "conv_id", "block_idx", "from", "to", "new_from", "new_to"
+    )
 
 
 def segment_text(spark: SparkSession, d: str) -> DataFrame:
-    return _remapped(spark, d).select("conv_id", "block_idx", "new_from", "new_to", "text")
+    return transcript_job(spark, d).segments().select(
+        "conv_id", "block_idx", "new_from", "new_to", "text"
+    )
 
 
 def page_nodes(spark: SparkSession, d: str) -> DataFrame:

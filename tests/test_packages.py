@@ -2,10 +2,8 @@ import io
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
-from inkveil.operators import assembly, rewrite
-from inkveil.plans.redaction import redact
+from inkveil.plans import pieces
 from inkveil.sinks import packages as sink
 from inkveil.sinks import reports as report_sink
 from inkveil.sources import lists, packages
@@ -61,19 +59,13 @@ def folder(tmp_path):
     return tmp_path
 
 
-def blocks_of(files, size=5):
-    nodes = assembly.with_families(packages.nodes(files))
-    segments = assembly.segments_of(
-        nodes, ["doc_id"], ["pos"], F.floor(F.col("pos") / size), ["part", "family"]
-    )
-    return assembly.blocks_of(
-        segments, ["doc_id"], ["pos"], ["part", "node_id", "action"]
-    )
+def blocks_of(files):
+    return pieces.package_pieces(files)
 
 
-def whole(pieces, text="text"):
+def whole(table, text="text"):
     out = {}
-    for r in pieces.collect():
+    for r in table.collect():
         out.setdefault((r.doc_id, r.block_idx), []).append((r.piece, r[text]))
     return {k: "".join(t for _, t in sorted(v)) for k, v in out.items()}
 
@@ -107,22 +99,10 @@ def test_story_parts_can_be_chosen(spark, folder):
 def test_rewritten_package(spark, folder, lines, tmp_path):
     files = packages.read_packages(spark, str(folder))
     people = lists.parse_people(lines("Lorenzo:Mario;Amorosa"))
-    job = redact(blocks_of(files), ["doc_id", "block_idx", "piece"], people=people)
-    edited = rewrite.segment_edits(job.blocks).filter(F.size("edits") > 0)
-    rows = edited.select(
-        "doc_id", "new_text", F.explode(F.arrays_zip("segments", "new_segments")).alias("z")
-    ).select(
-        "doc_id",
-        "z.segments.part",
-        "z.segments.node_id",
-        "z.segments.action",
-        F.col("new_text").substr(
-            F.col("z.new_segments.from") + 1,
-            F.col("z.new_segments.to") - F.col("z.new_segments.from"),
-        ).alias("text"),
-    ).filter("action = 'text'")
+    new_files, job = pieces.redact_packages(files, people=people)
     out = tmp_path / "out"
-    sink.write_packages(sink.rewritten(files, rows), str(out))
+    sink.write_packages(new_files, str(out))
+    assert {tuple(r) for r in job.redaction.frequencies().collect()} == {("Lorenzo", 6)}
     assert sorted(p.name for p in out.iterdir()) == ["a-result.docx", "b-result.docx"]
     assert (out / "b-result.docx").read_bytes() != b""
 
