@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+import zipfile
+from collections.abc import Callable, Iterator
+from xml.sax.saxutils import escape
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +16,16 @@ from inkveil.functions import pseudonyms as ids
 from inkveil.operators import assembly, protect, reports, rewrite
 from inkveil.operators import detect as detection
 from inkveil.operators import people as persons
-from inkveil.plans.pieces import PieceRedaction, redact_pieces, whole_blocks
+from inkveil.plans.pieces import (
+    PieceRedaction,
+    package_pieces,
+    redact_packages,
+    redact_pieces,
+    whole_blocks,
+)
 from inkveil.plans.redaction import Redaction, redact
 from inkveil.session import constant
-from inkveil.sources import corpora, lists
+from inkveil.sources import corpora, lists, packages
 from inkveil.sources.corpora import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,6 +198,58 @@ def transcript_blocks(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# --- packages written from conversations -----------------------------------------------
+
+_W = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
+_PACKAGE = "doc_id string, path string, content binary"
+
+
+def _run(text: str) -> str:
+    return f'<w:r><w:rPr><w:b/></w:rPr><w:t xml:space="preserve">{escape(text)}</w:t></w:r>'
+
+
+def _package(role: str, text: str, name: str, cut: int) -> bytes:
+    """A package with a paragraph per line, a table row with the role and the cut name,
+    and a header with the name."""
+    lines = "".join(f"<w:p>{_run(line)}</w:p>" for line in text.split("\n"))
+    cells = [_run(role), _run(name[:cut]) + "<w:proofErr/>" + _run(name[cut:])]
+    row = "".join(f"<w:tc><w:tcPr/><w:p>{cell}</w:p></w:tc>" for cell in cells)
+    parts = {
+        "word/document.xml": f"<w:body>{lines}<w:tbl><w:tr>{row}</w:tr></w:tbl></w:body>",
+        "word/header1.xml": f"<w:p>{_run('Signed ')}<w:sdt><w:sdtContent>{_run(name)}"
+        "</w:sdtContent></w:sdt></w:p>",
+    }
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as package:
+        for path, body in parts.items():
+            package.writestr(path, f'<w:part xmlns:w="{_W}">{body}</w:part>')
+    return out.getvalue()
+
+
+def _packages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        content = [_package(*row[1:]) for row in batch.itertuples(index=False)]
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "path": batch["doc_id"], "content": content})
+
+
+def turn_packages(spark: SparkSession, d: str) -> DataFrame:
+    """Every turn of a conversation as a package."""
+    turns = corpora.spread(table(spark, d, "conversations"), "conv_id")
+    name = F.initcap(F.coalesce("p_name", F.lit("nobody known")))
+    return (
+        turns.withColumn("p_partkey", F.col("conv_id") * 10 + F.col("turn"))
+        .join(table(spark, d, "part").select("p_partkey", "p_name"), "p_partkey", "left")
+        .select(
+            F.concat_ws("-", "conv_id", "turn").alias("doc_id"),
+            "role",
+            "text",
+            name.alias("name"),
+            (F.col("turn") % 7 + 2).cast("int").alias("cut"),
+        )
+        .mapInPandas(_packages, _PACKAGE)
+    )
+
+
 # --- queries -----------------------------------------------------------------------------
 
 
@@ -437,6 +499,29 @@ def page_blocks(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def package_tags(spark: SparkSession, d: str) -> DataFrame:
+    tags = packages.nodes(turn_packages(spark, d)).filter("edge = 0")
+    return (
+        tags.filter(F.col("tag").isin("p", "r", "t", "tc", "tr"))
+        .groupBy("doc_id", "part", "tag")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def package_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return whole_blocks(package_pieces(turn_packages(spark, d)), ["doc_id"])
+
+
+def package_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Blocks of the redacted packages, read back."""
+    redacted, _ = redact_packages(
+        turn_packages(spark, d),
+        _keep(spark, NOTE_KEEP),
+        people=listed_people(spark, d),
+    )
+    return whole_blocks(package_pieces(redacted), ["doc_id"])
+
+
 def queries() -> dict[str, Query]:
     listed = (
         line_blocks, gate_stats, list_spans, list_redact, document_frequencies,
@@ -446,7 +531,7 @@ def queries() -> dict[str, Query]:
         notes_redacted, name_frequencies, associations, protected_shift,
         dictionary_spans, dictionary_spans_joined, lettered_ids, dictionary_redacted,
         name_keys, hash_ids, segment_stats, turn_blocks, segment_remap, segment_text,
-        page_nodes, page_blocks,
+        page_nodes, page_blocks, package_tags, package_blocks, package_redacted,
     )
     named = {query.__name__: query for query in listed}
     named["turn_segments"] = segment_table

@@ -357,6 +357,29 @@ moved AS (
   )
 )"""
 
+# --- packages ---------------------------------------------------------------------------
+
+_PACKAGES = f"""
+{_SIGNED},
+package AS (
+  SELECT c.conv_id || '-' || c.turn AS doc_id, c.role, name, id,
+    string_split(c.text, chr(10)) AS parts
+  FROM conversations c JOIN signature s USING (conv_id, turn)
+    LEFT JOIN replaced USING (conv_id, turn)
+)"""
+
+
+def _package_blocks(name: str) -> str:
+    tab = "chr(9)"
+    row = f"{tab} || role || repeat({tab}, 3) || {name} || repeat({tab}, 2)"
+    return f"""
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS block_idx, parts[i] AS text
+FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM package)
+UNION ALL SELECT doc_id, CAST(len(parts) AS INTEGER), {row} FROM package
+UNION ALL SELECT doc_id, CAST(len(parts) + 1 AS INTEGER), 'Signed ' || {name}
+FROM package"""
+
+
 # --- pages ------------------------------------------------------------------------------
 
 _PAGE_TOKEN = (
@@ -574,6 +597,17 @@ SELECT p_partkey, name_key, {_hash(f"'{SALT}' || name_key || ' ' || p_partkey")}
         "segment_text": _with(
             _SIGNED, "SELECT conv_id, block_idx, new_from, new_to, new_text AS text FROM moved"
         ),
+        "package_tags": _with(
+            _PACKAGES,
+            """SELECT doc_id, part, tag, CAST(n AS BIGINT) AS n FROM (
+  SELECT doc_id, 'word/document.xml' AS part, unnest(['p', 'r', 't', 'tc', 'tr']) AS tag,
+    unnest([len(parts) + 2, len(parts) + 3, len(parts) + 3, 2, 1]) AS n FROM package
+  UNION ALL
+  SELECT doc_id, 'word/header1.xml', unnest(['p', 'r', 't']), unnest([1, 2, 2]) FROM package
+)""",
+        ),
+        "package_blocks": _with(_PACKAGES, _package_blocks("name")),
+        "package_redacted": _with(_PACKAGES, _package_blocks("coalesce(id, name)")),
         "page_nodes": _with(_PAGE_NODES, "SELECT page_id, pos, tag, action, text FROM page_node"),
         "page_blocks": _with(
             _PAGE_NODES
