@@ -39,34 +39,41 @@ def empty(kind: str) -> Column:
     return F.array().cast(kind)
 
 
-def locate(text: Column, pattern: Column) -> Column:
-    """Offsets of all matches, leftmost first and not overlapping.
-
-    Each match is put between two marks; cut at the marks, the text falls into gaps and
-    matches by turns, whose lengths add up to the offsets.
-    """
+def parts_of(text: Column, pattern: Column) -> Column:
+    """The text as gaps and matches by turns, a gap first and last."""
     marked = F.regexp_replace(text, pattern, F.lit(f"{MARK}$0{MARK}"))
+    return F.split(marked, MARK, -1)
+
+
+def locate(text: Column, pattern: Column) -> Column:
+    """Offsets of all matches, leftmost first and not overlapping: the lengths of gaps and
+    matches added up."""
     start = F.struct(
         F.lit(0).alias("pos"), F.lit(False).alias("hit"), empty(SPANS).alias("out")
     )
 
+    def span(begin: Column, end: Column) -> Column:
+        return F.array(F.struct(begin.alias("start"), end.alias("end")))
+
     def add(state: Column, part: Column) -> Column:
         end = state["pos"] + F.length(part)
-        span = F.struct(state["pos"].alias("start"), end.alias("end"))
         return F.struct(
             end.alias("pos"),
             (~state["hit"]).alias("hit"),
-            F.when(state["hit"], F.concat(state["out"], F.array(span)))
+            F.when(state["hit"], F.concat(state["out"], span(state["pos"], end)))
             .otherwise(state["out"])
             .alias("out"),
         )
 
-    return bind(
-        F.split(marked, MARK, -1),
-        lambda parts: F.when(F.size(parts) == 1, empty(SPANS)).otherwise(
-            F.aggregate(parts, start, add, lambda state: state["out"])
-        ),
-    )
+    def lay_out(parts: Column) -> Column:
+        gap = F.length(F.get(parts, 0))
+        return (
+            F.when(F.size(parts) == 1, empty(SPANS))
+            .when(F.size(parts) == 3, span(gap, gap + F.length(F.get(parts, 1))))
+            .otherwise(F.aggregate(parts, start, add, lambda state: state["out"]))
+        )
+
+    return bind(parts_of(text, pattern), lay_out)
 
 
 def locate_literals(text: Column, alternatives: Column) -> Column:
@@ -133,82 +140,73 @@ def resolve(
     found, sorted by start, with status `replaced` or `protected`; with `report_kept`
     also those of kept entries, as `kept`.
     """
-    start = F.struct(
-        text.alias("text"), kept.alias("kept"), empty(FOUND).alias("found")
-    )
 
-    def apply(state: Column, entry: Column) -> Column:
-        def judge(spans: Column) -> Column:
-            return F.transform(
-                spans,
-                lambda s: F.struct(
-                    s["start"].alias("start"),
-                    s["end"].alias("end"),
-                    entry["ord"].alias("ord"),
-                    F.when(
-                        F.exists(state["kept"], lambda k: touches(s, k, rule)),
-                        F.lit("protected"),
-                    ).otherwise(F.lit("replaced")).alias("status"),
-                ),
-            )
+    def matches(some_text: Column, entry: Column) -> Column:
+        by_mark = locate(
+            grammar.mark_name(some_text, entry["mark"]), F.lit(grammar.MARKED_NAME)
+        )
+        by_pattern = locate(some_text, entry["pattern"])
+        return F.when(entry["mark"].isNotNull(), by_mark).otherwise(by_pattern)
+
+    def told(some_spans: Column, entry: Column, status: Callable[[Column], Column]) -> Column:
+        return F.transform(
+            some_spans,
+            lambda s: F.struct(
+                s["start"].alias("start"),
+                s["end"].alias("end"),
+                entry["ord"].alias("ord"),
+                status(s).alias("status"),
+            ),
+        )
+
+    def judged(some_spans: Column, entry: Column, kept_now: Column) -> Column:
+        def status(s: Column) -> Column:
+            protected = F.exists(kept_now, lambda k: touches(s, k, rule))
+            return F.when(protected, F.lit("protected")).otherwise(F.lit("replaced"))
+
+        return told(some_spans, entry, status)
+
+    def blank_out(some_text: Column, some_spans: Column) -> Column:
+        return F.aggregate(
+            some_spans,
+            some_text,
+            lambda acc, s: F.when(
+                s["status"] == "replaced",
+                F.overlay(acc, F.repeat(F.lit(BLANK), s["end"] - s["start"]), s["start"] + 1),
+            ).otherwise(acc),
+        )
 
-        def as_kept(spans: Column) -> Column:
-            return F.transform(
-                spans,
-                lambda s: F.struct(
-                    s["start"].alias("start"),
-                    s["end"].alias("end"),
-                    entry["ord"].alias("ord"),
-                    F.lit("kept").alias("status"),
+    def apply(state: Column, entry: Column) -> Column:
+        def with_kept(some_spans: Column) -> Column:
+            report = told(some_spans, entry, lambda _: F.lit("kept"))
+            return F.struct(
+                state["text"].alias("text"),
+                F.concat(state["kept"], some_spans).alias("kept"),
+                (F.concat(state["found"], report) if report_kept else state["found"]).alias(
+                    "found"
                 ),
             )
 
-        def blank_out(judged: Column) -> Column:
-            return F.aggregate(
-                judged,
-                state["text"],
-                lambda acc, s: F.when(
-                    s["status"] == "replaced",
-                    F.overlay(
-                        acc,
-                        F.repeat(F.lit(BLANK), s["end"] - s["start"]),
-                        s["start"] + 1,
-                    ),
-                ).otherwise(acc),
+        def with_found(some_spans: Column) -> Column:
+            return F.struct(
+                blank_out(state["text"], some_spans).alias("text"),
+                state["kept"].alias("kept"),
+                F.concat(state["found"], some_spans).alias("found"),
             )
 
-        by_mark = locate(
-            grammar.mark_name(state["text"], entry["mark"]), F.lit(grammar.MARKED_NAME)
-        )
-        by_pattern = locate(state["text"], entry["pattern"])
         return bind(
-            F.when(entry["mark"].isNotNull(), by_mark).otherwise(by_pattern),
-            lambda spans: F.when(F.size(spans) == 0, state)
-            .when(
-                entry["keep"],
-                F.struct(
-                    state["text"].alias("text"),
-                    F.concat(state["kept"], spans).alias("kept"),
-                    (
-                        F.concat(state["found"], as_kept(spans))
-                        if report_kept
-                        else state["found"]
-                    ).alias("found"),
-                ),
-            )
-            .otherwise(
-                bind(
-                    judge(spans),
-                    lambda judged: F.struct(
-                        blank_out(judged).alias("text"),
-                        state["kept"].alias("kept"),
-                        F.concat(state["found"], judged).alias("found"),
-                    ),
-                )
-            ),
+            matches(state["text"], entry),
+            lambda some: F.when(F.size(some) == 0, state)
+            .when(entry["keep"], with_kept(some))
+            .otherwise(bind(judged(some, entry, state["kept"]), with_found)),
         )
 
-    return F.aggregate(entries, start, apply, lambda state: F.sort_array(state["found"]))
+    start = F.struct(text.alias("text"), kept.alias("kept"), empty(FOUND).alias("found"))
+    in_turn = F.aggregate(entries, start, apply, lambda state: F.sort_array(state["found"]))
+    # mostly there is one candidate, and nothing to keep track of
+    first = F.get(entries, 0)
+    alone = (F.size(entries) == 1) & ~first["keep"]
+    return F.when(alone, judged(matches(text, first), first, kept)).otherwise(in_turn)
 
 
 def shift(spans: Column, by: Column) -> Column:

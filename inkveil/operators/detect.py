@@ -211,7 +211,7 @@ def keys_of(stretch: Column, widths: tuple[int, ...]) -> Column:
 
     def windows(found: Column, width: int) -> Column:
         if width == 1:
-            return F.transform(found, F.lower)
+            return found
         places = F.sequence(F.lit(1), F.greatest(F.size(found) - width + 1, F.lit(1)))
         return F.when(
             F.size(found) >= width,
@@ -219,7 +219,7 @@ def keys_of(stretch: Column, widths: tuple[int, ...]) -> Column:
         ).otherwise(F.array().cast("array<string>"))
 
     return spans.bind(
-        grammar.words(stretch),
+        F.transform(grammar.words(stretch), F.lower),
         lambda found: F.array_distinct(F.concat(*[windows(found, w) for w in widths])),
     )
 
@@ -258,27 +258,40 @@ def _inline(
         )
         return F.sort_array(F.array_distinct(hits))
 
-    def search(stretch: Column, kept_here: Column) -> Column:
+    def search(parts: Column, stretch: Column, place: Column, kept_here: Column) -> Column:
+        start = F.aggregate(
+            F.slice(parts, 1, place), F.lit(0), lambda acc, part: acc + F.length(part)
+        )
+
+        def found_in(some_entries: Column) -> Column:
+            return spans.bind(
+                start,
+                lambda at: spans.shift(
+                    resolve(stretch, some_entries, _within(kept_here, at, F.length(stretch))),
+                    at,
+                ),
+            )
+
         return spans.bind(
-            candidates(keys_of(stretch["text"], size.widths)),
-            lambda c: F.when(F.size(c) == 0, spans.empty(spans.FOUND)).otherwise(
-                spans.shift(
-                    resolve(
-                        stretch["text"],
-                        c,
-                        _within(kept_here, stretch["start"], F.length(stretch["text"])),
-                    ),
-                    stretch["start"],
+            candidates(keys_of(stretch, size.widths)),
+            lambda c: F.when(F.size(c) == 0, spans.empty(spans.FOUND)).otherwise(found_in(c)),
+        )
+
+    def search_all(kept_here: Column) -> Column:
+        return spans.bind(
+            spans.parts_of(text, F.lit(size.stretch)),
+            lambda parts: F.flatten(
+                F.transform(
+                    parts,
+                    # every other part is a stretch
+                    lambda part, i: F.when(
+                        i % 2 == 1, search(parts, part, i, kept_here)
+                    ).otherwise(spans.empty(spans.FOUND)),
                 )
             ),
         )
 
-    return spans.bind(
-        kept,
-        lambda k: F.flatten(
-            F.transform(stretches(text, size.stretch), lambda s: search(s, k))
-        ),
-    )
+    return spans.bind(kept, search_all)
 
 
 def _joined(

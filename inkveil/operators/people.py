@@ -136,8 +136,8 @@ def patterns(people: DataFrame) -> DataFrame:
 
 
 def word_key(some_words: Column) -> Column:
-    """Words in any case and order under one key."""
-    return F.array_join(F.sort_array(F.transform(some_words, F.lower)), " ")
+    """Words in lower case, in any order, under one key."""
+    return F.array_join(F.sort_array(some_words), " ")
 
 
 def entries(people: DataFrame) -> DataFrame:
@@ -161,8 +161,8 @@ def entries(people: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("person_id", "names", "has_homonym", "pattern")).alias("p"))
         .select("keep", "surname", "p.*")
     )
-    name_words = F.transform("names", grammar.words)
-    last_words = grammar.words(F.col("surname"))
+    name_words = F.transform("names", lambda n: grammar.words(F.lower(n)))
+    last_words = grammar.words(F.lower("surname"))
     pairs = F.flatten(
         F.transform(
             name_words,
