@@ -21,7 +21,6 @@ from inkveil.plans.pieces import (
     package_pieces,
     redact_packages,
     redact_pieces,
-    whole_blocks,
 )
 from inkveil.plans.redaction import Redaction, redact
 from inkveil.session import constant
@@ -469,8 +468,8 @@ def segment_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def turn_blocks(spark: SparkSession, d: str) -> DataFrame:
-    """Whole texts of the blocks of signed conversations."""
-    return whole_blocks(transcript_blocks(spark, d), ["conv_id"])
+    """Pieces of the blocks of signed conversations."""
+    return transcript_blocks(spark, d).select("conv_id", "block_idx", "base", "text")
 
 
 def segment_remap(spark: SparkSession, d: str) -> DataFrame:
@@ -509,7 +508,8 @@ def package_tags(spark: SparkSession, d: str) -> DataFrame:
 
 
 def package_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return whole_blocks(package_pieces(turn_packages(spark, d)), ["doc_id"])
+    pieces = package_pieces(turn_packages(spark, d))
+    return pieces.select("doc_id", "block_idx", "base", "text")
 
 
 def package_redacted(spark: SparkSession, d: str) -> DataFrame:
@@ -519,7 +519,7 @@ def package_redacted(spark: SparkSession, d: str) -> DataFrame:
         _keep(spark, NOTE_KEEP),
         people=listed_people(spark, d),
     )
-    return whole_blocks(package_pieces(redacted), ["doc_id"])
+    return package_pieces(redacted).select("doc_id", "block_idx", "base", "text")
 
 
 def queries() -> dict[str, Query]:

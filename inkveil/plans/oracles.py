@@ -369,15 +369,27 @@ package AS (
 )"""
 
 
+_TABS = "chr(9) || chr(9)"
+_ROW = f"chr(9) || role || {_TABS} || chr(9) || "
+_PARAGRAPHS = """
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS block_idx, 0::BIGINT AS base, parts[i] AS text
+FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM package)"""
+
+
 def _package_blocks(name: str) -> str:
-    tab = "chr(9)"
-    row = f"{tab} || role || repeat({tab}, 3) || {name} || repeat({tab}, 2)"
-    return f"""
-SELECT doc_id, CAST(i - 1 AS INTEGER) AS block_idx, parts[i] AS text
-FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM package)
-UNION ALL SELECT doc_id, CAST(len(parts) AS INTEGER), {row} FROM package
-UNION ALL SELECT doc_id, CAST(len(parts) + 1 AS INTEGER), 'Signed ' || {name}
-FROM package"""
+    return f"""{_PARAGRAPHS}
+UNION ALL SELECT doc_id, CAST(len(parts) AS INTEGER), 0, {_ROW} {name} || {_TABS} FROM package
+UNION ALL SELECT doc_id, CAST(len(parts) + 1 AS INTEGER), 0, 'Signed ' || {name} FROM package"""
+
+
+# an ID ends in a digit, so a piece ends after it
+_REDACTED_PACKAGES = f"""{_PARAGRAPHS}
+UNION ALL SELECT doc_id, CAST(len(parts) AS INTEGER), 0,
+  CASE WHEN id IS NULL THEN {_ROW} name || {_TABS} ELSE {_ROW} id END FROM package
+UNION ALL SELECT doc_id, CAST(len(parts) AS INTEGER), length({_ROW} id), {_TABS}
+  FROM package WHERE id IS NOT NULL
+UNION ALL SELECT doc_id, CAST(len(parts) + 1 AS INTEGER), 0, 'Signed ' || coalesce(id, name)
+  FROM package"""
 
 
 # --- pages ------------------------------------------------------------------------------
@@ -587,8 +599,16 @@ SELECT p_partkey, name_key, {_hash(f"'{SALT}' || name_key || ' ' || p_partkey")}
         ),
         "turn_blocks": _with(
             _SIGNED,
-            "SELECT conv_id, block_idx, string_agg(text, '' ORDER BY turn, pos) AS text "
-            "FROM segment GROUP BY conv_id, block_idx",
+            f"""SELECT conv_id, block_idx, min("from") AS base,
+  string_agg(text, '' ORDER BY turn, pos) AS text
+FROM (
+  SELECT *, coalesce(sum(cut) OVER (PARTITION BY conv_id, block_idx ORDER BY turn, pos
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS piece
+  FROM (
+    SELECT *, CASE WHEN text <> '' AND NOT regexp_matches(text, '[{_L}{_APOS}\\s]$')
+      THEN 1 ELSE 0 END AS cut FROM segment
+  )
+) GROUP BY conv_id, block_idx, piece""",
         ),
         "segment_remap": _with(
             _SIGNED,
@@ -607,7 +627,7 @@ SELECT p_partkey, name_key, {_hash(f"'{SALT}' || name_key || ' ' || p_partkey")}
 )""",
         ),
         "package_blocks": _with(_PACKAGES, _package_blocks("name")),
-        "package_redacted": _with(_PACKAGES, _package_blocks("coalesce(id, name)")),
+        "package_redacted": _with(_PACKAGES, _REDACTED_PACKAGES),
         "page_nodes": _with(_PAGE_NODES, "SELECT page_id, pos, tag, action, text FROM page_node"),
         "page_blocks": _with(
             _PAGE_NODES

@@ -17,14 +17,6 @@ from inkveil.sinks import packages as package_sink
 from inkveil.sources import packages as package_source
 
 
-def whole_blocks(pieces: DataFrame, doc_key: list[str]) -> DataFrame:
-    """Texts of blocks put together from their pieces."""
-    ordered = F.sort_array(F.collect_list(F.struct("piece", "text")))
-    return pieces.groupBy(*doc_key, "block_idx").agg(
-        F.array_join(F.transform(ordered, lambda p: p["text"]), "").alias("text")
-    )
-
-
 @dataclass
 class PieceRedaction:
     """A redaction whose `found` blocks are pieces."""
