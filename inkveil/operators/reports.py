@@ -42,11 +42,10 @@ def gate_statistics(blocks: DataFrame, *group: str) -> DataFrame:
     )
 
 
-def segment_statistics(blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """Number, total length and widest extent of the segments of each block."""
-    size = F.size("segments")
-    return blocks.groupBy(*keys).agg(
-        F.sum(size).cast("bigint").alias("n_segments"),
-        F.min(F.get("segments", 0)["from"]).alias("first_from"),
-        F.max(F.get("segments", size - 1)["to"]).alias("last_to"),
+def segment_statistics(segments: DataFrame, block_key: list[str]) -> DataFrame:
+    """Number and extent of the segments of each block."""
+    return segments.groupBy(*block_key).agg(
+        F.count(F.lit(1)).alias("n_segments"),
+        F.min("from").alias("first_from"),
+        F.max("to").alias("last_to"),
     )

@@ -460,11 +460,7 @@ def segment_table(spark: SparkSession, d: str) -> DataFrame:
 
 def segment_stats(spark: SparkSession, d: str) -> DataFrame:
     segments = turn_segments(corpora.turn_nodes(table(spark, d, "conversations")))
-    return segments.groupBy("conv_id", "block_idx").agg(
-        F.count(F.lit(1)).alias("n_segments"),
-        F.min("from").alias("first_from"),
-        F.max("to").alias("last_to"),
-    )
+    return reports.segment_statistics(segments, ["conv_id", "block_idx"])
 
 
 def turn_blocks(spark: SparkSession, d: str) -> DataFrame:

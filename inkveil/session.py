@@ -29,14 +29,16 @@ def constant(spark: SparkSession, **columns: list) -> DataFrame:
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage in the folder the cluster names in `spark.checkpoint.dir`."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="inkveil-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
+    context = df.sparkSession.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get(
+        "spark.checkpoint.dir", None
+    )
+    if folder:
+        context.setCheckpointDir(folder)
+    elif context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="inkveil-"))
     return df.checkpoint()
 
 
