@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import simhash
+from inkveil.llm import decontaminate, simhash, sql
 from inkveil.sources.corpora import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,15 @@ def op1_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op9_decontaminate": op9_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_decontaminate": sql.OP9,
+}
