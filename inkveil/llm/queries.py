@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import decontaminate, simhash, sql
+from inkveil.llm import decontaminate, lines, quality, simhash, sql
 from inkveil.sources.corpora import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,15 +16,27 @@ def op1_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op2_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.report(table(spark, d, "documents"))
+
+
+def op7_lines(spark: SparkSession, d: str) -> DataFrame:
+    return lines.report(table(spark, d, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
+    "op7_lines": op7_lines,
     "op9_decontaminate": op9_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_quality": sql.OP2,
+    "op7_lines": sql.OP7,
     "op9_decontaminate": sql.OP9,
 }

@@ -30,3 +30,46 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
 """
+
+BLANKS = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP7 = f"""
+WITH l AS (
+  SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (SELECT doc_id, pos, line, {LOWER.format(f"trim(line, {BLANKS})")} AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key),
+m AS (SELECT doc_id, pos, line, coalesce(doc_id > first, false) AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+OP2 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM r) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, text, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(ls) AS n_lines,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d LEFT JOIN n USING (doc_id))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 2 * n_symbols > n_words
+    OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 3 * n_dup_lines > n_lines
+    OR 2 * length(regexp_replace(text, '[^\p{L}]+', '', 'g')) < word_chars) AS kept
+FROM m
+"""
