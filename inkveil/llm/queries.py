@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import decontaminate, lines, quality, simhash, sql
+from inkveil.llm import decontaminate, lines, quality, secrets, simhash, sql
 from inkveil.sources.corpora import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.report(table(spark, d, "documents"))
 
 
+def op6_secrets(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.report(table(spark, d, "documents"))
+
+
 def op7_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.report(table(spark, d, "documents"))
 
@@ -31,12 +35,14 @@ def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op6_secrets": op6_secrets,
     "op7_lines": op7_lines,
     "op9_decontaminate": op9_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality": sql.OP2,
+    "op6_secrets": sql.OP6,
     "op7_lines": sql.OP7,
     "op9_decontaminate": sql.OP9,
 }

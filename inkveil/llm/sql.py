@@ -73,3 +73,54 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
     OR 2 * length(regexp_replace(text, '[^\p{L}]+', '', 'g')) < word_chars) AS kept
 FROM m
 """
+
+ASSIGN = (
+    "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"
+    "[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?"
+    "([A-Za-z0-9+/_.=-]+)"
+)
+
+OP6 = f"""
+WITH p AS (
+  SELECT * FROM (VALUES (0, 'assign', '{ASSIGN}', 2, 6), (1, 'access', 'AKIA[A-Z0-9]+', 0, 20),
+    (2, 'hex', '[0-9a-f]+', 0, 24), (3, 'value', '[A-Za-z0-9+/_=-]+', 0, 20))
+    AS t(k, kind, pattern, grp, least)),
+c AS (
+  SELECT doc_id, source, 0 AS k, regexp_extract_all(text, '{ASSIGN}') AS m,
+    regexp_extract_all(text, '{ASSIGN}', 2) AS v, string_split_regex(text, '{ASSIGN}') AS g FROM documents
+  UNION ALL SELECT doc_id, source, 1, regexp_extract_all(text, 'AKIA[A-Z0-9]+'),
+    regexp_extract_all(text, 'AKIA[A-Z0-9]+'), string_split_regex(text, 'AKIA[A-Z0-9]+') FROM documents
+  UNION ALL SELECT doc_id, source, 2, regexp_extract_all(text, '[0-9a-f]+'),
+    regexp_extract_all(text, '[0-9a-f]+'), string_split_regex(text, '[0-9a-f]+') FROM documents
+  UNION ALL SELECT doc_id, source, 3, regexp_extract_all(text, '[A-Za-z0-9+/_=-]+'),
+    regexp_extract_all(text, '[A-Za-z0-9+/_=-]+'), string_split_regex(text, '[A-Za-z0-9+/_=-]+')
+    FROM documents),
+e AS (
+  SELECT doc_id, source, k, i, v[i] AS v, length(m[i]) AS size, length(g[i]) + length(m[i]) AS step
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM c)),
+s AS (
+  SELECT doc_id, source, k, kind, v, "end" - size AS start, "end"
+  FROM (SELECT *, sum(step) OVER (PARTITION BY doc_id, k ORDER BY i) AS "end" FROM e)
+  JOIN p USING (k) WHERE length(v) >= least),
+o AS (SELECT v, count(DISTINCT source) AS owners FROM s GROUP BY v),
+r AS (
+  SELECT s.*, owners = 1 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
+      AND len(list_distinct(string_split(v, ''))) >= 8 AS live, owners >= 3 AS example,
+    EXISTS (SELECT 1 FROM s AS b WHERE b.doc_id = s.doc_id AND b.k < 3
+      AND b.start < s."end" AND s.start < b."end") AS over
+  FROM s JOIN o USING (v)),
+f AS (SELECT * FROM r WHERE k < 3 OR (live AND NOT over)),
+a AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
+    count(*) FILTER (k = 2) AS n_hex, count(*) FILTER (live) AS n_live,
+    count(*) FILTER (example) AS n_example,
+    string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST("end" AS BIGINT), ','
+      ORDER BY start, k) FILTER (k < 3) AS base,
+    string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST("end" AS BIGINT), ','
+      ORDER BY start, k) AS spans
+  FROM f GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM documents LEFT JOIN a USING (doc_id)
+"""
