@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import decontaminate, language, lines, quality, secrets, simhash, sql
+from inkveil.llm import decontaminate, language, lines, quality, secrets, simhash, sql, toxicity
 from inkveil.sources.corpora import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.report(table(spark, d, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.scored(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op5_language(spark: SparkSession, d: str) -> DataFrame:
     return language.identified(table(spark, d, "documents"))
 
@@ -39,6 +43,7 @@ def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op4_toxicity": op4_toxicity,
     "op5_language": op5_language,
     "op6_secrets": op6_secrets,
     "op7_lines": op7_lines,
