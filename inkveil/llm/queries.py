@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import decontaminate, language, lines, quality, secrets, simhash, sql, toxicity
+from inkveil.llm import decontaminate, language, lines, quality, secrets, simhash, sql, tokenfiles, toxicity
 from inkveil.sources.corpora import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,16 @@ def op7_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.report(table(spark, d, "documents"))
 
 
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_token_files(spark: SparkSession, d: str) -> DataFrame:
+    return tokenfiles.report(table(spark, d, "documents"), byte_bpe)
+
+
 def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -47,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op5_language": op5_language,
     "op6_secrets": op6_secrets,
     "op7_lines": op7_lines,
+    "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
 }
 
