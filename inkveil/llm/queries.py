@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import decontaminate, language, lines, quality, secrets, simhash, sql, tokenfiles, toxicity
+from inkveil.llm import decontaminate, language, lines, quality, secrets, simhash, sql, tokencount, tokenfiles, toxicity
 from inkveil.sources.corpora import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,16 @@ def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def word_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return tokencount.counted(table(spark, d, "documents"), word_bpe)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -59,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op7_lines": op7_lines,
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
