@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import decontaminate, language, lines, quality, secrets, simhash, sql, tokencount, tokenfiles, toxicity
+from inkveil.llm import decontaminate, language, lines, mixing, quality, secrets, simhash, sql, tokencount, tokenfiles, toxicity
 from inkveil.sources.corpora import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.report(table(spark, d, "documents"))
 
 
+def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.report(table(spark, d, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.scored(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -63,6 +67,7 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_language": op5_language,
     "op6_secrets": op6_secrets,
