@@ -128,21 +128,25 @@ def person_pattern(names: Column, surname: Column, all_names: Column) -> Column:
     alternative is closed by a negative look-ahead on its own back-reference once its
     group has matched, which spares writing out the permutations of up to ten names.
     `all_names` (homonyms) asks for every name instead of at least one.
+
+    Java reads a number of two digits as a back-reference only behind the group it names.
+    From the tenth group on, a name is therefore taken by a loop of two rounds: the second
+    one sets an empty group, which stands before the look-ahead of the first.
     """
     count = F.size(names)
 
     def any_name(offset: Column) -> Column:
-        items = F.transform(
-            names,
-            lambda name, i: F.concat(
-                F.lit("(?!(?i:\\"),
-                (i + 1 + offset).cast("string"),
-                F.lit("))("),
-                term_pattern(name),
-                F.lit(")"),
-            ),
-        )
-        return F.concat(F.lit("(?:"), F.array_join(items, "|"), F.lit(")"))
+        def once(name: Column, i: Column) -> Column:
+            term, number = term_pattern(name), i + 1 + offset
+            unused = F.concat(F.lit("(?!(?i:\\"), number.cast("string"), F.lit("))"))
+            near = F.concat(unused, F.lit("("), term, F.lit(")"))
+            far = F.concat(
+                F.lit("(?="), term, F.lit(")(?:(?<="), term, F.lit(")()|(?!\\"),
+                number.cast("string"), F.lit(")"), term, F.lit("){2}"),
+            )
+            return F.when(number < 10, near).otherwise(far)
+
+        return F.concat(F.lit("(?:"), F.array_join(F.transform(names, once), "|"), F.lit(")"))
 
     times = F.concat(
         F.lit("{"),

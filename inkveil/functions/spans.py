@@ -77,7 +77,8 @@ def locate(text: Column, pattern: Column) -> Column:
 
 
 def locate_literals(text: Column, alternatives: Column) -> Column:
-    """Offsets of literals; after a match the search resumes at its last character."""
+    """Offsets of literals: at each place the first alternative that starts there, whether
+    or not an earlier match reaches beyond it."""
     ahead = F.concat(F.lit("(?=("), alternatives, F.lit("))"))
     # a leading blank keeps `split` from swallowing a match at the very start
     gaps = F.split(F.concat(F.lit(BLANK), text), ahead, -1)
@@ -88,19 +89,14 @@ def locate_literals(text: Column, alternatives: Column) -> Column:
             F.length(gap).alias("step"), F.coalesce(F.length(hit), F.lit(0)).alias("len")
         ),
     )
-    start = F.struct(
-        F.lit(-1).alias("pos"), F.lit(0).alias("resume"), empty(SPANS).alias("out")
-    )
+    start = F.struct(F.lit(-1).alias("pos"), empty(SPANS).alias("out"))
 
     def add(state: Column, place: Column) -> Column:
         begin = state["pos"] + place["step"]
-        end = begin + place["len"]
-        taken = (place["len"] > 0) & (begin >= state["resume"])
-        span = F.struct(begin.alias("start"), end.alias("end"))
+        span = F.struct(begin.alias("start"), (begin + place["len"]).alias("end"))
         return F.struct(
             begin.alias("pos"),
-            F.when(taken, end - 1).otherwise(state["resume"]).alias("resume"),
-            F.when(taken, F.concat(state["out"], F.array(span)))
+            F.when(place["len"] > 0, F.concat(state["out"], F.array(span)))
             .otherwise(state["out"])
             .alias("out"),
         )

@@ -76,11 +76,14 @@ def choose(size: Measure) -> str:
 
 
 def literal_alternatives(exprs: DataFrame) -> str | None:
-    """Kept expressions as one pattern, or None if there are too many for one."""
-    rows = exprs.select("expr").limit(LITERAL_CHARS + 1).collect()
-    literals = sorted(row["expr"] for row in rows)
-    if sum(map(len, literals)) > LITERAL_CHARS:
+    """Kept expressions as one pattern, longer ones first, or None if their characters are
+    too many for one. The rule is the same either way: every occurrence of every
+    expression is kept; one that starts where a longer one does lies inside it."""
+    size = exprs.agg(F.coalesce(F.sum(F.length("expr")), F.lit(0))).first()[0]
+    if size > LITERAL_CHARS:
         return None
+    literals = sorted({row["expr"] for row in exprs.select("expr").collect()})
+    literals.sort(key=len, reverse=True)
     return "|".join("\\Q" + x.replace("\\E", "\\E\\\\E\\Q") + "\\E" for x in literals)
 
 
@@ -94,11 +97,14 @@ def kept_literals(text: Column, alternatives: str) -> Column:
 def kept_literals_joined(blocks: DataFrame, keys: list[str], exprs: DataFrame) -> DataFrame:
     """O37 for long lists of expressions: `keys, kept`.
 
-    Every place of a text is looked up by the first characters of the expressions, as
-    many as the shortest one has.
+    A text is looked up by the first characters of the expressions, as many as the
+    shortest one has, at the places where the first character of some expression stands.
     """
     sizes = exprs.agg(
-        F.min(F.length("expr")).alias("least"), F.max(F.length("expr")).alias("most")
+        F.min(F.length("expr")).alias("least"),
+        F.max(F.length("expr")).alias("most"),
+        # distinct characters: no more than the alphabet has
+        F.array_sort(F.collect_set(F.substring("expr", 1, 1))).alias("initials"),
     ).first()
     least, most = sizes["least"], sizes["most"]
     heads = exprs.select(F.substring("expr", 1, least).alias("head"), "expr").withColumn(
@@ -107,14 +113,17 @@ def kept_literals_joined(blocks: DataFrame, keys: list[str], exprs: DataFrame) -
     places = (
         blocks.filter(F.length("text") >= least)
         .withColumn("start", F.explode(F.sequence(F.lit(0), F.length("text") - least)))
+        .filter(F.col("text").substr(F.col("start") + 1, F.lit(1)).isin(sizes["initials"]))
         .select(*keys, "start", F.col("text").substr(F.col("start") + 1, F.lit(most)).alias("ahead"))
         .withColumn("head", F.substring("ahead", 1, least))
         .withColumn("salt", F.pmod(F.xxhash64(*keys, "start"), F.lit(SALTS)).cast("int"))
     )
     hits = places.join(heads, ["head", "salt"]).filter(F.col("ahead").startswith(F.col("expr")))
-    span = F.struct("start", (F.col("start") + F.length("expr")).alias("end"))
-    return hits.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(span)).cast(spans.SPANS).alias("kept")
+    longest = hits.groupBy(*keys, "start").agg(
+        (F.col("start") + F.max(F.length("expr"))).alias("end")
+    )
+    return longest.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("start", "end"))).cast(spans.SPANS).alias("kept")
     )
 
 

@@ -71,14 +71,12 @@ def search(text, patterns, kept=(), rule="overlap"):
 
 
 def literals(text, exprs):
-    """Kept expressions; the search resumes at the last character of a match."""
-    if not exprs:
-        return []
-    pattern = re.compile("|".join(re.escape(e) for e in sorted(exprs)))
-    out, pos = [], 0
-    while match := pattern.search(text, pos):
-        out.append(match.span())
-        pos = max(match.end() - 1, match.start() + 1)
+    """Kept expressions: the longest one at each place where one starts."""
+    out = []
+    for i in range(len(text)):
+        sizes = [len(e) for e in exprs if text.startswith(e, i)]
+        if sizes:
+            out.append((i, i + max(sizes)))
     return out
 
 

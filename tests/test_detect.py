@@ -131,22 +131,68 @@ def test_protected_tables(spark, lines, blocks):
     }
 
 
-def test_long_keep_lists_are_joined(spark, blocks, monkeypatch):
-    some = blocks(*texts(300, 15))
-    exprs = ["Rossi, Mario", "il", "Al Sindaco", "a. ", "Mar", "Mario"]
-    table = spark.createDataFrame([(e,) for e in exprs], "expr string")
-    monkeypatch.setattr(detect, "LITERAL_CHARS", 10)
-    assert detect.literal_alternatives(table) is None
+NESTED = ["Rossi, Mario", "il", "Al Sindaco", "a. ", "Mar", "Mario", "Mario Rossi", "Rossi Luca"]
+
+
+@pytest.mark.parametrize("limit", [10, 20_000])
+def test_keep_rule_is_the_same_for_all_sizes(spark, blocks, monkeypatch, limit):
+    some = blocks(*texts(300, 15), "see Mario Rossi Luca here", "il")
+    table = spark.createDataFrame([(e,) for e in NESTED], "expr string")
+    monkeypatch.setattr(detect, "LITERAL_CHARS", limit)
+    assert (detect.literal_alternatives(table) is None) == (limit == 10)
     kept = protect.expression_spans(some, ["doc_id"], table)
     got = {}
     for r in kept.collect():
         got.setdefault(r.doc_id, set()).add((r.start, r.end))
     for row in some.collect():
-        # every place of every expression
-        expected = {
-            (i, i + len(e)) for e in exprs for i in range(len(row.text)) if row.text.startswith(e, i)
-        }
-        assert got.get(row.doc_id, set()) == expected
+        assert got.get(row.doc_id, set()) == set(model.literals(row.text, NESTED)), row.text
+
+
+@pytest.mark.parametrize("limit", [10, 20_000])
+@pytest.mark.parametrize("plan", PLANS)
+def test_longer_expression_protects(spark, lines, blocks, monkeypatch, plan, limit):
+    monkeypatch.setattr(detect, "LITERAL_CHARS", limit)
+    exprs = spark.createDataFrame([("Mario",), ("Mario Rossi Bianchi",)], "expr string")
+    entries = persons.entries(lists.parse_people(lines("Rossi;Bianchi")))
+    some = blocks("see Mario Rossi Bianchi here", "see Rossi Bianchi here")
+    found = detect.detect(some, ["doc_id"], entries, exprs, plan=plan).orderBy("doc_id").collect()
+    assert as_tuples(found[0].found) == [(10, 23, 1, "protected")]
+    assert as_tuples(found[1].found) == [(4, 17, 1, "replaced")]
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_names_are_used_once(spark, lines, blocks, plan):
+    names = ["Aa", "Bb", "Cc", "Dd", "Ee", "Ff", "Gg", "Hh", "Ii", "Jj"]
+    rng = random.Random(5)
+    for count in range(1, 11):
+        own = names[:count]
+        some = []
+        for _ in range(60):
+            said = " ".join(rng.choices(own, k=rng.randint(1, 5)))
+            some.append(f"Zz {said} Rossi" if rng.random() < 0.5 else f"Rossi {said} Zz")
+        people = [":".join(own) + ";Rossi"] + (["Zz;Rossi"] if count % 2 else [])
+        entries = persons.entries(lists.parse_people(lines(*people)))
+        found = detect.detect(blocks(*some), ["doc_id"], entries, plan=plan).collect()
+        for row in found:
+            got = [(s.start, s.end) for s in row.found if s.ord == 1]
+            assert got == nominative(row.text, own, "Rossi", bool(count % 2)), row.text
+
+
+def nominative(text, names, surname, all_names):
+    """The leftmost run of different names before, or else after, the surname."""
+    words = text.split(" ")
+    at = words.index(surname)
+    places = [len(" ".join(words[:k])) + bool(k) for k in range(len(words) + 1)]
+    sizes = [len(names)] if all_names else range(len(names), 0, -1)
+    for size in sizes:
+        run = words[max(0, at - size) : at]
+        if len(run) == size == len(set(run)) and set(run) <= set(names):
+            return [(places[at - size], places[at] + len(surname))]
+    for size in sizes:
+        run = words[at + 1 : at + 1 + size]
+        if len(run) == size == len(set(run)) and set(run) <= set(names):
+            return [(places[at], places[at + size + 1] - (at + size + 1 < len(words)))]
+    return []
 
 
 def test_salted_join(spark, lines, blocks, monkeypatch):

@@ -99,9 +99,9 @@ def test_marked_dictionary_search(spark, blocks, name):
     assert hits
 
 
-def test_literals_resume_at_last_character(spark, blocks):
-    some = ["ababab aba", "aXaXa", "xaba", "aba", "", "Al SindacoAl Sindaco"]
-    exprs = ["aba", "aXa", "Al Sindaco"]
+def test_literals_at_every_place(spark, blocks):
+    some = ["ababab aba", "aXaXa", "xaba", "aba", "", "Al SindacoAl Sindaco", "abaX"]
+    exprs = ["Al Sindaco", "abaX", "aba", "aXa"]
     alternatives = "|".join(exprs)
     df = blocks(*some).withColumn(
         "found", spans.locate_literals(F.col("text"), F.lit(alternatives))
