@@ -309,13 +309,14 @@ def counted(
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     at = F.sequence(F.lit(0), F.floor(F.greatest(F.char_length(whole) - 1, F.lit(0)) / chunk).cast("int"))
+    # rows are numbered before they are unfolded into chunks
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(doc_id).alias("doc_id"),
         F.octet_length(whole).cast("long").alias("n_bytes"),
         whole.alias("text"),
-        F.explode(at).alias("at"),
-    )
+        at.alias("places"),
+    ).withColumn("at", F.explode("places"))
     maps = rows.select(
         "row",
         "doc_id",
