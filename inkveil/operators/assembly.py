@@ -145,7 +145,6 @@ def with_families(nodes: DataFrame) -> DataFrame:
                 F.col("action") == "text", F.coalesce("text", F.lit(""))
             ),
         )
-        .dropDuplicates(["doc_id", "part", "node_id", "edge"])
         .select("doc_id", "part_rank", "part", "node_id", "pos", "family", "action", "text")
     )
 

@@ -9,7 +9,7 @@ list, which is measured, decides:
 * `inline`  - up to some ten thousand keys: keys and patterns travel in the plan; the
   words of each block are tested against the key set. No shuffle.
 * `joined`  - any size: words are joined with the entries on the key; hot words are
-  salted. Only stretches with candidates are shuffled, and the texts once.
+  salted. Rows of a key and a place are shuffled, and once the texts that passed the gate.
 """
 
 from __future__ import annotations
@@ -58,7 +58,10 @@ def measure(entries: DataFrame) -> Measure:
     row = entries.agg(
         F.count(F.lit(1)).alias("entries"),
         F.coalesce(F.sum(F.size("keys")), F.lit(0)).alias("keys"),
-        F.coalesce(F.sum(F.length(F.coalesce("pattern", "mark"))), F.lit(0)).alias("chars"),
+        # each key carries the pattern
+        F.coalesce(
+            F.sum(F.size("keys") * F.length(F.coalesce("pattern", "mark"))), F.lit(0)
+        ).alias("chars"),
         # the number of words of a nominative, a handful of different values
         F.sort_array(F.collect_set("width")).alias("widths"),
         F.coalesce(F.bool_and("plain"), F.lit(False)).alias("plain"),
@@ -313,20 +316,17 @@ def _joined(
     gate: Column,
     resolve: Resolve,
 ) -> DataFrame:
-    # outer explodes: a plain one would make Spark evaluate its input twice
+    gate = F.coalesce(gate, F.lit(False))
+    gated = blocks.filter(gate)
+    # narrow rows: where a stretch lies and one of its keys; outer explodes, as a plain one
+    # would make Spark evaluate its input twice
     parts = (
-        blocks.filter(gate)
-        .select(
-            *keys,
-            kept.alias("kept"),
-            F.explode_outer(stretches(text, size.stretch)).alias("s"),
-        )
+        gated.select(*keys, F.explode_outer(stretches(text, size.stretch)).alias("s"))
         .filter("s is not null")
         .select(
             *keys,
             "s.start",
-            F.col("s.text").alias("stretch"),
-            _within(F.col("kept"), F.col("s.start"), F.length("s.text")).alias("kept"),
+            F.length("s.text").alias("chars"),
             F.explode_outer(keys_of(F.col("s.text"), size.widths)).alias("key"),
         )
         .filter("key is not null")
@@ -339,24 +339,25 @@ def _joined(
         salted = listed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         candidates = parts.withColumn("salt", salt).join(salted, ["key", "salt"])
     # one group holds the entries that share words with one stretch of one text
-    found = (
-        candidates.groupBy(*keys, "start")
-        .agg(
-            F.any_value("stretch").alias("stretch"),
-            F.any_value("kept").alias("kept"),
-            F.sort_array(F.collect_set(F.struct(*_FIELDS))).alias("entries"),
-        )
-        .select(
-            *keys,
-            spans.shift(
-                resolve(F.col("stretch"), F.col("entries"), F.col("kept")),
-                F.col("start"),
-            ).alias("found"),
-        )
+    hits = (
+        candidates.groupBy(*keys, "start", "chars")
+        .agg(F.sort_array(F.collect_set(F.struct(*_FIELDS))).alias("entries"))
         .groupBy(*keys)
-        .agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))
-    )
-    return blocks.join(found, keys, "left").withColumn(
-        "found", F.coalesce("found", spans.empty(spans.FOUND))
+        .agg(F.sort_array(F.collect_list(F.struct("start", "chars", "entries"))).alias("hits"))
     )
 
+    def search(hit: Column, kept_here: Column) -> Column:
+        start, chars = hit["start"], hit["chars"]
+        found = resolve(
+            text.substr(start + 1, chars), hit["entries"], _within(kept_here, start, chars)
+        )
+        return spans.shift(found, start)
+
+    found = spans.bind(
+        kept, lambda k: F.flatten(F.transform("hits", lambda hit: search(hit, k)))
+    )
+    searched = gated.join(hits, keys, "left").withColumn(
+        "found", F.when(F.col("hits").isNotNull(), found).otherwise(spans.empty(spans.FOUND))
+    )
+    passed = blocks.filter(~gate).withColumn("found", spans.empty(spans.FOUND))
+    return searched.drop("hits").unionByName(passed)

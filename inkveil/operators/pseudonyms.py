@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from inkveil.functions.pseudonyms import ID_LETTERS, lettered_id
 
 HOT_ROWS = 1_000_000
+# nominatives sent to all executors at most: a row of two short strings each
+HOT_KEYS = 10_000
 
 
 def lettered_ids(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -42,13 +44,17 @@ def lettered_ids(rows: DataFrame, order: list[str]) -> DataFrame:
 def with_pseudonyms(rows: DataFrame, ids: DataFrame, spread_by: list[str]) -> DataFrame:
     """Join rows with their `pseudonym` on `name_key`.
 
-    Nominatives with very many rows are broadcast (there are at most rows / HOT_ROWS of
-    them); their rows then take a scattered key through the join with all others.
+    The HOT_KEYS nominatives with most rows, of those with very many, are broadcast; their
+    rows then take a scattered key through the join with all others. Any other nominative
+    has less than one in HOT_KEYS of all rows, or less than HOT_ROWS.
     """
-    hot = ids.filter(F.col("n") >= HOT_ROWS).select(
-        "name_key", F.col("pseudonym").alias("_hot")
+    hot = (
+        ids.filter(F.col("n") >= HOT_ROWS)
+        .orderBy(F.desc("n"), "name_key")
+        .limit(HOT_KEYS)
+        .select("name_key", F.col("pseudonym").alias("_hot"))
     )
-    rest = ids.filter(F.col("n") < HOT_ROWS).select(
+    rest = ids.join(F.broadcast(hot), "name_key", "left_anti").select(
         F.col("name_key").alias("_key"), F.col("pseudonym").alias("_rest")
     )
     scattered = F.concat(F.lit("#"), F.xxhash64(*spread_by).cast("string"))

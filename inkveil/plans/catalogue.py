@@ -81,7 +81,8 @@ def list_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def listed_people(spark: SparkSession, d: str) -> DataFrame:
-    return lists.parse_people(list_lines(spark, d), keep=None)
+    """The lines that name people; `validate_people` tells of the others."""
+    return lists.parse_people(lists.well_formed(list_lines(spark, d)), keep=None)
 
 
 def note_dictionary(spark: SparkSession, d: str) -> DataFrame:
@@ -496,11 +497,7 @@ def page_blocks(spark: SparkSession, d: str) -> DataFrame:
 
 def package_tags(spark: SparkSession, d: str) -> DataFrame:
     tags = packages.nodes(turn_packages(spark, d)).filter("edge = 0")
-    return (
-        tags.filter(F.col("tag").isin("p", "r", "t", "tc", "tr"))
-        .groupBy("doc_id", "part", "tag")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return tags.groupBy("doc_id", "part", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 def package_blocks(spark: SparkSession, d: str) -> DataFrame:

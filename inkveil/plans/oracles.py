@@ -7,13 +7,34 @@ and their offsets off the columns instead of searching for them.
 
 from __future__ import annotations
 
-from inkveil.functions.grammar import (
-    APOSTROPHES,
-    DEFAULT_KEEP_EXPRESSIONS,
-    LETTERS,
-    PARTICLES,
+# --- fixed values, on their own on this side; a test compares them -----------------------
+LETTERS = (
+    "A-Za-zÀ-ÖØ-öø-ÿ"
+    "ĿŀČčŘřŠšŽžĲĳŒœŸŐőŰűḂḃĊċḊḋḞḟĠġṀṁṠṡṪṫĀāĒēĪīŌōŪūİıĞğŞşẀẁẂẃŴŵŶŷǾǿẞ"
 )
-from inkveil.plans.catalogue import DOCUMENT_KEEP, DOCUMENT_PEOPLE, SALT
+APOSTROPHES = "'‘’′´`"
+PARTICLES = (
+    "d((a|e)(l(l[aeo]?)?|i|gli?)?|i)?|(ne|a|su)(l(l[aeo]?)?|i|gli)?"
+    "|l[aeo]?|co[iln]?|i[ln]?|gli|per"
+)
+DEFAULT_KEEP_EXPRESSIONS = (
+    "Al Sindaco",
+    "Il Sindaco",
+    "Il Sottoscritto",
+    "La Sottoscritta",
+    "Al Sottoscritto",
+    "Alla Sottoscritta",
+)
+DOCUMENT_PEOPLE = (
+    "Stteen;Erachtz",
+    "General;Public",
+    "Apache;License",
+    "Und;Und",
+    "Orre;Orre",
+)
+DOCUMENT_KEEP = ("Apache License", "Of Of")
+SALT = 20260
+# -----------------------------------------------------------------------------------------
 
 _L = LETTERS
 _APOS = APOSTROPHES.replace("'", "''")
@@ -620,10 +641,15 @@ FROM (
         "package_tags": _with(
             _PACKAGES,
             """SELECT doc_id, part, tag, CAST(n AS BIGINT) AS n FROM (
-  SELECT doc_id, 'word/document.xml' AS part, unnest(['p', 'r', 't', 'tc', 'tr']) AS tag,
-    unnest([len(parts) + 2, len(parts) + 3, len(parts) + 3, 2, 1]) AS n FROM package
+  SELECT doc_id, 'word/document.xml' AS part,
+    unnest(['p', 'r', 't', 'rPr', 'b', 'tc', 'tcPr', 'tr', 'tbl', 'body', 'part', 'proofErr'])
+      AS tag,
+    unnest([len(parts) + 2, len(parts) + 3, len(parts) + 3, len(parts) + 3, len(parts) + 3,
+      2, 2, 1, 1, 1, 1, 1]) AS n FROM package
   UNION ALL
-  SELECT doc_id, 'word/header1.xml', unnest(['p', 'r', 't']), unnest([1, 2, 2]) FROM package
+  SELECT doc_id, 'word/header1.xml',
+    unnest(['p', 'r', 't', 'rPr', 'b', 'sdt', 'sdtContent', 'part']),
+    unnest([1, 2, 2, 2, 2, 1, 1, 1]) FROM package
 )""",
         ),
         "package_blocks": _with(_PACKAGES, _package_blocks("name")),

@@ -28,13 +28,17 @@ class Redaction:
     order: list[str]
 
     @cached_property
-    def _lettered(self) -> DataFrame:
-        """Edits with lettered IDs. Ranking reads the spans several times, so they are
+    def _rows(self) -> DataFrame:
+        """Replaced spans without their IDs. Ranking reads them several times, so they are
         written once."""
-        rows = checkpoint(
+        return checkpoint(
             rewrite.edit_rows(rewrite.with_edits(self.found, "lettered"), self.keys)
         )
-        return rewrite.lettered_rows(rows, self.keys, self._ids(rows))
+
+    @cached_property
+    def _lettered(self) -> DataFrame:
+        """Edits with lettered IDs."""
+        return rewrite.lettered_rows(self._rows, self.keys, self._ids(self._rows))
 
     def _ids(self, rows: DataFrame) -> DataFrame:
         return pseudonyms.lettered_ids(rows, [*self.order, "start"])
@@ -65,8 +69,11 @@ class Redaction:
 
     def ids(self) -> DataFrame:
         """Lettered IDs by nominative."""
-        rows = rewrite.edit_rows(rewrite.with_edits(self.found, "lettered"), self.keys)
-        return self._ids(checkpoint(rows)).drop("n")
+        return self._ids(self._rows).drop("n")
+
+    def close(self) -> None:
+        """Let go of the list that is kept in memory for the search."""
+        self.entries.unpersist()
 
     def frequencies(self) -> DataFrame:
         replaced = self.audit().filter(F.col("status") == "replaced")

@@ -91,26 +91,56 @@ def rewritten(packages: DataFrame, segments: DataFrame) -> DataFrame:
     )
 
 
-def result_name(path: str) -> str:
-    return os.path.basename(path).removesuffix(".docx") + RESULT_SUFFIX
+def result_name(path: str, root: str = "") -> str:
+    """Where the result of a package goes, relative to the folder of all results: as the
+    package lies below `root`."""
+    below = path.removeprefix(root) if root else os.path.basename(path)
+    return below.lstrip("/").removesuffix(".docx") + RESULT_SUFFIX
+
+
+def common_folder(packages: DataFrame) -> str:
+    """The folder that holds all packages. What the least and the greatest path begin with,
+    all paths between them begin with."""
+    ends = packages.agg(F.min("path").alias("low"), F.max("path").alias("high")).first()
+    if ends["low"] is None:
+        return ""
+    return os.path.commonprefix([ends["low"], ends["high"]]).rpartition("/")[0]
+
+
+def result_table(packages: DataFrame) -> DataFrame:
+    """`result, content`: each package under its own name; fails if two would share one."""
+    root = common_folder(packages)
+    stem = F.regexp_replace(F.substring("path", len(root) + 1, 1 << 30), "^/", "")
+    named = packages.select(
+        F.concat(F.regexp_replace(stem, "\\.docx$", ""), F.lit(RESULT_SUFFIX)).alias("result"),
+        "content",
+    )
+    twice = named.groupBy("result").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
+    shared = [row["result"] for row in twice.collect()]
+    if shared:
+        raise ValueError(f"two packages would be written to {shared[0]}")
+    return named
 
 
 def write_packages(packages: DataFrame, folder: str) -> None:
-    """Write each package to a folder all executors share, under `<name>-result.docx`.
+    """Write each package to a folder all executors share, as `<name>-result.docx` in the
+    same place below `folder` as it has below the folder that holds all packages.
 
     A file appears under its name only when complete, so a repeated task does no harm.
-    For other stores write the table itself, e.g. as parquet.
+    For stores that executors do not mount, write `result_table` itself to any path of
+    Spark's, e.g. as parquet.
     """
 
     def write(rows: Iterator[Row]) -> None:
-        os.makedirs(folder, exist_ok=True)
         for row in rows:
-            scratch = os.path.join(folder, f".{uuid.uuid4().hex}")
+            target = os.path.join(folder, row["result"])
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            scratch = os.path.join(os.path.dirname(target), f".{uuid.uuid4().hex}")
             with open(scratch, "wb") as out:
                 out.write(row["content"])
-            os.replace(scratch, os.path.join(folder, result_name(row["path"])))
+            os.replace(scratch, target)
 
-    packages.select("path", "content").foreachPartition(write)
+    result_table(packages).foreachPartition(write)
 
 
-__all__ = ["local_name", "result_name", "rewritten", "splice", "write_packages"]
+__all__ = ["local_name", "result_name", "result_table", "rewritten", "splice", "write_packages"]

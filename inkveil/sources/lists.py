@@ -7,10 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkveil.functions.grammar import DEFAULT_KEEP_EXPRESSIONS, LIST_LINE, MAX_NAMES, WORD
+from inkveil.functions.grammar import DEFAULT_KEEP_EXPRESSIONS, LIST_LINE, WORD
 from inkveil.session import constant
 
-REPORTED_LINES = 20
 LINES_PER_CHUNK = 65536
 
 
@@ -68,38 +67,54 @@ def check_lines(lines: DataFrame) -> DataFrame:
 
 
 def parse_people(lines: DataFrame, keep: bool | None = False) -> DataFrame:
-    """Well-formed lines as people, numbered in list order.
+    """Lines as people, numbered in list order.
 
     With `keep=None` a leading "!" marks people to be kept; the two kinds are numbered
-    on their own.
+    on their own. A malformed line (one of more than ten names too) fails the query that
+    meets it: a job must not run with half a list. See `well_formed`.
     """
     marked = F.col("line").startswith("!")
     parts = F.split(F.regexp_replace("line", "^!", ""), ";", 2)
-    people = check_lines(lines).filter("is_valid").select(
+    wrong = F.concat(F.lit("list line {"), "line", F.lit("} is not well-formed"))
+    checked = F.when(F.col("is_valid"), True).otherwise(F.raise_error(wrong).cast("boolean"))
+    people = check_lines(lines).filter(checked).select(
         "line_no",
         F.split(parts[0], ":", -1).alias("names"),
         parts[1].alias("surname"),
         (marked if keep is None else F.lit(keep)).alias("keep"),
-    ).filter(F.size("names") <= MAX_NAMES)
+    )
     people = people.withColumn("_chunk", F.floor(F.col("line_no") / LINES_PER_CHUNK))
     return number_rows(people, ["_chunk"], "line_no", "person_id", ("keep",)).select(
         "person_id", "names", "surname", "keep"
     )
 
 
-def require_well_formed(lines: DataFrame) -> DataFrame:
-    """Fail, naming bad lines; the job must not run with half a list."""
-    bad = check_lines(lines).filter(~F.col("is_valid")).orderBy("line_no")
-    shown = [row["line"] for row in bad.select("line").limit(REPORTED_LINES + 1).collect()]
-    if shown:
-        more = ", ..." if len(shown) > REPORTED_LINES else ""
-        named = ", ".join(shown[:REPORTED_LINES])
-        raise ValueError(f"list lines {{{named}{more}}} are not well-formed")
-    return lines
+def well_formed(lines: DataFrame) -> DataFrame:
+    """Only the lines that name a person; what `check_lines` marks otherwise is left out."""
+    return check_lines(lines).filter("is_valid").drop("is_valid")
+
 
+def require_well_formed(lines: DataFrame, report: str | None = None) -> DataFrame:
+    """Fail if there are malformed lines.
 
-def read_people(spark: SparkSession, path: str, keep: bool | None = False) -> DataFrame:
-    return parse_people(require_well_formed(read_lines(spark, path)), keep)
+    The error names every one of them. With `report`, a path, they are written there as a
+    table (`line_no, line`), and the error says where and how many they are.
+    """
+    bad = check_lines(lines).filter(~F.col("is_valid")).select("line_no", "line")
+    if bad.isEmpty():
+        return lines
+    if report is not None:
+        bad.write.mode("overwrite").parquet(report)
+        count = lines.sparkSession.read.parquet(report).count()
+        raise ValueError(f"{count} list lines are not well-formed; see {report}")
+    named = ", ".join(row["line"] for row in bad.orderBy("line_no").toLocalIterator())
+    raise ValueError(f"list lines {{{named}}} are not well-formed")
+
+
+def read_people(
+    spark: SparkSession, path: str, keep: bool | None = False, report: str | None = None
+) -> DataFrame:
+    return parse_people(require_well_formed(read_lines(spark, path), report), keep)
 
 
 def keep_expressions(lines: DataFrame | None, spark: SparkSession) -> DataFrame:

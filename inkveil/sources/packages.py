@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import io
+import posixpath
 import xml.parsers.expat
 import zipfile
 from collections.abc import Iterator
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,8 @@ WORD_NAMESPACES = (
 )
 # story parts of a package, in the order their text is read
 STORY_PARTS = ("document", "header", "footer", "endnotes", "footnotes", "comments")
+# last words of relationship types: of the package to its document
+DOCUMENT_TYPE = "officeDocument"
 # ------------------------------------------------------------------------------------
 
 NODE_SCHEMA = (
@@ -38,15 +42,41 @@ def read_packages(spark: SparkSession, path: str, glob: str = "*.docx") -> DataF
     return files.select(F.col("path").alias("doc_id"), "path", "content")
 
 
+def related(package: zipfile.ZipFile, part: str) -> list[tuple[str, str]]:
+    """(last word of the type, name) of the parts that `part` ("" is the package) relates to."""
+    folder, base = posixpath.split(part)
+    name = posixpath.join(folder, "_rels", f"{base}.rels")
+    if name not in package.NameToInfo:
+        return []
+    found = []
+    for relation in ElementTree.fromstring(package.read(name)):
+        target = relation.get("Target", "")
+        if relation.get("TargetMode") != "External" and target:
+            path = posixpath.normpath(posixpath.join("/", folder, target)).lstrip("/")
+            found.append((relation.get("Type", "").rpartition("/")[2], path))
+    return found
+
+
 def story_parts(package: zipfile.ZipFile) -> list[tuple[int, str]]:
-    """Story parts of a package with their place in the reading order."""
-    ranked = []
+    """Story parts of a package with their place in the reading order.
+
+    They are found by relationship, whatever their names; parts under the usual names are
+    read too, related or not, so no text is passed over.
+    """
+    ranked = {}
     for name in package.namelist():
         folder, _, base = name.rpartition("/")
         stem = base.removesuffix(".xml").rstrip("0123456789")
         if folder == "word" and base.endswith(".xml") and stem in STORY_PARTS:
-            ranked.append((STORY_PARTS.index(stem), name))
-    return sorted(ranked)
+            ranked[name] = STORY_PARTS.index(stem)
+    for kind, document in related(package, ""):
+        if kind == DOCUMENT_TYPE:
+            ranked[document] = 0
+    for document in [name for name, rank in ranked.items() if rank == 0]:
+        for kind, name in related(package, document):
+            if kind in STORY_PARTS[1:]:
+                ranked[name] = STORY_PARTS.index(kind)
+    return sorted((rank, name) for name, rank in ranked.items() if name in package.NameToInfo)
 
 
 def local_name(name: str) -> str:

@@ -38,6 +38,24 @@ def test_bad_lines_fail_and_are_named(spark, lines, bad):
     assert bad in str(error.value) and "Pluto" not in str(error.value)
 
 
+def test_all_bad_lines_are_named(spark, lines, tmp_path):
+    some = lines("Carlo;Pluto", *[f"bad {k}" for k in range(60)])
+    with pytest.raises(ValueError) as error:
+        lists.require_well_formed(some)
+    assert all(f"bad {k}" in str(error.value) for k in range(60))
+    path = str(tmp_path / "bad")
+    with pytest.raises(ValueError, match="60 list lines") as error:
+        lists.require_well_formed(some, path)
+    assert path in str(error.value) and spark.read.parquet(path).count() == 60
+
+
+def test_people_are_never_dropped_silently(lines):
+    some = lines("Carlo;Pluto", "bad", ":".join(["Ab"] * 11) + ";X")
+    with pytest.raises(Exception, match="not well-formed"):
+        lists.parse_people(some).count()
+    assert lists.parse_people(lists.well_formed(some)).count() == 1
+
+
 def test_eleven_names_are_malformed(spark, lines):
     got = lists.check_lines(lines(":".join(["Ab"] * 10) + ";X", ":".join(["Ab"] * 11) + ";X"))
     assert [r.is_valid for r in got.orderBy("line_no").collect()] == [True, False]

@@ -124,6 +124,47 @@ def test_rewritten_package(spark, folder, lines, tmp_path):
     assert "Mario" not in header and "Contini" not in header
 
 
+def test_parts_by_relationship_and_equal_names(spark, lines, tmp_path):
+    def relations(*rows):
+        body = "".join(
+            f'<Relationship Id="r{k}" Type="http://x/{kind}" Target="{target}"/>'
+            for k, (kind, target) in enumerate(rows)
+        )
+        return f'<Relationships xmlns="http://y">{body}</Relationships>'
+
+    def part(text):
+        return f'<w:part xmlns:w="{W}"><w:p><w:r><w:t>{text}</w:t></w:r></w:p></w:part>'
+
+    for folder in ("x", "y/z"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        with zipfile.ZipFile(tmp_path / "in" / folder / "doc.docx", "w") as z:
+            z.writestr("_rels/.rels", relations(("officeDocument", "/word/main.xml")))
+            z.writestr(
+                "word/_rels/main.xml.rels",
+                relations(("footnotes", "notes/mine.xml"), ("header", "myheader.xml"), ("styles", "s.xml"), ("footer", "gone.xml")),
+            )
+            z.writestr("word/main.xml", part(f"Leandro Contini {folder}"))
+            z.writestr("word/notes/mine.xml", part("note of Leandro Contini"))
+            z.writestr("word/myheader.xml", part("Contini Leandro"))
+            z.writestr("word/footer3.xml", part("Leandro Contini"))
+            z.writestr("word/s.xml", part("Leandro Contini"))
+    files = packages.read_packages(spark, str(tmp_path / "in"))
+    new_files, _ = pieces.redact_packages(files, people=lists.parse_people(lines("Leandro;Contini")))
+    out = tmp_path / "out"
+    sink.write_packages(new_files, str(out))
+    results = sorted(str(p.relative_to(out)) for p in out.rglob("*.docx"))
+    assert results == ["x/doc-result.docx", "y/z/doc-result.docx"]
+    for name in results:
+        with zipfile.ZipFile(out / name) as z:
+            told = {n: z.read(n).decode() for n in z.namelist()}
+        assert name.rpartition("/")[0] in told["word/main.xml"]
+        for n in ("word/main.xml", "word/notes/mine.xml", "word/myheader.xml", "word/footer3.xml"):
+            assert "ID1" in told[n] and "Leandro" not in told[n], n
+        assert "Leandro" in told["word/s.xml"]
+    with pytest.raises(ValueError, match="two packages"):
+        sink.result_table(new_files.unionAll(new_files))
+
+
 def test_splice_keeps_every_other_byte():
     data = "<a xmlns:w='{0}'><w:t>è</w:t><!-- c --><w:t/><w:t>x&lt;y</w:t></a>".format(W).encode()
     assert sink.splice(data, {1: "E", 3: "<&>"}) == (

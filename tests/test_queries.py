@@ -43,6 +43,16 @@ def test_query(spark, twin, name):
     ]
 
 
+def test_constants_of_the_oracles():
+    from inkveil.functions import grammar
+    from inkveil.plans import catalogue, oracles
+
+    for name in ("LETTERS", "APOSTROPHES", "PARTICLES", "DEFAULT_KEEP_EXPRESSIONS"):
+        assert getattr(oracles, name) == getattr(grammar, name)
+    for name in ("DOCUMENT_PEOPLE", "DOCUMENT_KEEP", "SALT"):
+        assert getattr(oracles, name) == getattr(catalogue, name)
+
+
 def test_entry(spark):
     redacted = entry.entry(spark)
     assert redacted.columns == ["doc_id", "block_idx", "text"]
