@@ -24,6 +24,7 @@ from inkveil.plans.pieces import (
 )
 from inkveil.plans.redaction import Redaction, redact
 from inkveil.session import constant
+from inkveil.sinks import reports as report_text
 from inkveil.sources import corpora, lists, packages
 from inkveil.sources.corpora import table
 
@@ -495,6 +496,92 @@ def page_blocks(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+MANY_NAMES = range(4, grammar.MAX_NAMES + 1)
+
+
+def many_named(spark: SparkSession, d: str) -> DataFrame:
+    """`c, names, surname`: for each number of names a person, made of the words of parts."""
+    words = (
+        table(spark, d, "part")
+        .select(F.explode(F.split("p_name", " ")).alias("w"))
+        .agg(F.sort_array(F.collect_set(F.initcap("w"))).alias("ws"))
+    )
+    own = F.substring(F.lit("abcdefghijklmno"), F.col("c") + 1, F.lit(1))
+    return words.select(
+        "ws", F.explode(F.lit(list(MANY_NAMES))).alias("c")
+    ).select(
+        "c",
+        F.transform(F.slice("ws", 1, F.col("c")), lambda w: F.concat(w, own)).alias("names"),
+        F.concat(F.initcap(F.reverse(F.get("ws", 0))), own).alias("surname"),
+    )
+
+
+def _many_names(spark: SparkSession, d: str, plan: str) -> DataFrame:
+    """Orders signed with three names of a person, some of them said twice."""
+    people = many_named(spark, d)
+    key, c = F.col("o_orderkey"), F.col("c")
+    said = F.transform(
+        F.array(key % c, F.floor(key / 7) % c, F.floor(key / 49) % c),
+        lambda i: F.get("names", i.cast("int")),
+    )
+    named = F.array_join(said, " ")
+    # a row for each number of names
+    texts = (
+        table(spark, d, "orders")
+        .select("o_orderkey", (key % len(MANY_NAMES) + MANY_NAMES[0]).cast("int").alias("c"))
+        .join(F.broadcast(people), "c")
+        .select(
+            "o_orderkey",
+            F.when(key % 2 == 0, F.concat_ws(" ", F.lit("paid by"), "surname", named))
+            .otherwise(F.concat_ws(" ", F.lit("paid by"), named, "surname"))
+            .alias("text"),
+        )
+    )
+    lines = people.select(
+        c.alias("line_no"), F.concat_ws(";", F.array_join("names", ":"), "surname").alias("line")
+    )
+    return redact(texts, ["o_orderkey"], people=lists.parse_people(lines), plan=plan).audit()
+
+
+def many_names(spark: SparkSession, d: str) -> DataFrame:
+    return _many_names(spark, d, "direct")
+
+
+def many_names_inline(spark: SparkSession, d: str) -> DataFrame:
+    return _many_names(spark, d, "inline")
+
+
+def many_names_joined(spark: SparkSession, d: str) -> DataFrame:
+    return _many_names(spark, d, "joined")
+
+
+# expressions that begin, overlap and hold one another
+NESTED_KEEP = ("The", "The of", "of the", "the", "e", "General Public License", "Public")
+
+
+def _nested(spark: SparkSession, d: str, joined: bool) -> DataFrame:
+    exprs = constant(spark, expr=list(NESTED_KEEP))
+    return protect.expression_spans(
+        document_lines(spark, d), ["doc_id", "block_idx"], exprs, joined
+    )
+
+
+def nested_keep_expressions(spark: SparkSession, d: str) -> DataFrame:
+    return _nested(spark, d, False)
+
+
+def nested_keep_expressions_joined(spark: SparkSession, d: str) -> DataFrame:
+    return _nested(spark, d, True)
+
+
+def frequency_report(spark: SparkSession, d: str) -> DataFrame:
+    return report_text.frequency_lines(note_job(spark, d).frequencies())
+
+
+def association_report(spark: SparkSession, d: str) -> DataFrame:
+    return report_text.association_lines(note_job(spark, d).associations())
+
+
 def package_tags(spark: SparkSession, d: str) -> DataFrame:
     tags = packages.nodes(turn_packages(spark, d)).filter("edge = 0")
     return tags.groupBy("doc_id", "part", "tag").agg(F.count(F.lit(1)).alias("n"))
@@ -524,6 +611,8 @@ def queries() -> dict[str, Query]:
         notes_redacted, name_frequencies, associations, protected_shift,
         dictionary_spans, dictionary_spans_joined, lettered_ids, dictionary_redacted,
         name_keys, hash_ids, segment_stats, turn_blocks, segment_remap, segment_text,
+        many_names, many_names_inline, many_names_joined, nested_keep_expressions,
+        nested_keep_expressions_joined, frequency_report, association_report,
         page_nodes, page_blocks, package_tags, package_blocks, package_redacted,
     )
     named = {query.__name__: query for query in listed}

@@ -445,6 +445,61 @@ page_node AS (
 )"""
 
 
+_MANY_NAMES = """
+ws AS (
+  SELECT list(w ORDER BY w) AS ws FROM (
+    SELECT DISTINCT upper(substr(v, 1, 1)) || lower(substr(v, 2)) AS w
+    FROM (SELECT unnest(string_split(p_name, ' ')) AS v FROM part))
+),
+person AS (
+  SELECT c, own, list_transform(ws[1:c], lambda w: w || own) AS names,
+    upper(substr(r, 1, 1)) || lower(substr(r, 2)) || own AS surname
+  FROM (
+    SELECT c, ws, reverse(ws[1]) AS r, substr('abcdefghijklmno', c + 1, 1) AS own
+    FROM ws, (SELECT unnest([4, 5, 6, 7, 8, 9, 10]) AS c))
+),
+said AS (
+  SELECT o_orderkey, p.c, surname, o_orderkey % 2 = 0 AS last_first,
+    names[1 + o_orderkey % p.c] AS a, names[1 + (o_orderkey // 7) % p.c] AS b,
+    names[1 + (o_orderkey // 49) % p.c] AS z
+  FROM orders JOIN person p ON p.c = 4 + o_orderkey % 7
+),
+-- as many names next to the surname as differ
+run AS (
+  SELECT *, CASE WHEN last_first THEN
+      CASE WHEN a = b THEN [a] WHEN z = a OR z = b THEN [a, b] ELSE [a, b, z] END
+    ELSE CASE WHEN z = b THEN [z] WHEN a = b OR a = z THEN [b, z] ELSE [a, b, z] END
+    END AS names
+  FROM said
+),
+spelt AS (
+  SELECT *, CASE WHEN last_first THEN surname || ' ' || array_to_string(names, ' ')
+      ELSE array_to_string(names, ' ') || ' ' || surname END AS matched,
+    'paid by ' || CASE WHEN last_first THEN surname || ' ' || a || ' ' || b || ' ' || z
+      ELSE a || ' ' || b || ' ' || z || ' ' || surname END AS text
+  FROM run
+)"""
+_MANY_NAMES_AUDIT = """SELECT o_orderkey, CAST(start AS INTEGER) AS start,
+  CAST(start + length(matched) AS INTEGER) AS "end", matched,
+  CAST(c - 3 AS BIGINT) AS entry_id, 'replaced' AS status
+FROM (SELECT *, CASE WHEN last_first THEN 8 ELSE length(text) - length(matched) END AS start
+  FROM spelt)"""
+NESTED_KEEP = ("The", "The of", "of the", "the", "e", "General Public License", "Public")
+_NESTED = f"""
+SELECT doc_id, block_idx, CAST(p AS INTEGER) AS start,
+  CAST(max(p + length(expr)) AS INTEGER) AS "end"
+FROM (
+  SELECT doc_id, block_idx, text, expr, unnest(range(0, length(text))) AS p
+  FROM lines, (VALUES {", ".join(f"('{e}')" for e in NESTED_KEEP)}) AS k(expr)
+  WHERE contains(text, expr)
+) WHERE substr(text, p + 1, length(expr)) = expr GROUP BY doc_id, block_idx, p"""
+
+
+def _report(header: str, key: str, value: str, rows: str) -> str:
+    line = f"'Key: ' || {key} || chr(9) || 'Value: ' || {value}"
+    return f"SELECT '{header}:' AS value UNION ALL SELECT {line} FROM ({rows})"
+
+
 def _with(ctes: str, body: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{ctes.strip()}\n{body}"
 
@@ -574,6 +629,27 @@ FROM place WHERE kind = 6 AND l = 'Anvil'""",
         "associations": _with(
             _NOTE_EDITS, "SELECT name_key, pseudonym FROM pseudo ORDER BY name_key"
         ),
+        "many_names": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
+        "many_names_inline": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
+        "many_names_joined": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
+        "nested_keep_expressions": _with(_LINES, _NESTED),
+        "nested_keep_expressions_joined": _with(_LINES, _NESTED),
+        "frequency_report": _report(
+            "FREQUENCIES",
+            "plain_name",
+            "cnt",
+            _with(
+                _NOTE_PEOPLE,
+                "SELECT plain_name, count(*) AS cnt FROM found WHERE status = 'replaced' "
+                "GROUP BY plain_name",
+            ),
+        ),
+        "association_report": _report(
+            "ASSOCIATIONS",
+            "name_key",
+            "pseudonym",
+            _with(_NOTE_EDITS, "SELECT name_key, pseudonym FROM pseudo"),
+        ),
         "protected_shift": _with(
             _NOTE_EDITS
             + """, kept AS (

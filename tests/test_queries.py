@@ -49,7 +49,7 @@ def test_constants_of_the_oracles():
 
     for name in ("LETTERS", "APOSTROPHES", "PARTICLES", "DEFAULT_KEEP_EXPRESSIONS"):
         assert getattr(oracles, name) == getattr(grammar, name)
-    for name in ("DOCUMENT_PEOPLE", "DOCUMENT_KEEP", "SALT"):
+    for name in ("DOCUMENT_PEOPLE", "DOCUMENT_KEEP", "SALT", "NESTED_KEEP"):
         assert getattr(oracles, name) == getattr(catalogue, name)
 
 
