@@ -175,7 +175,8 @@ def trained(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
         chosen = chosen | ((F.col("toxic") == toxic) & (draw < most))
     # at most some 2 * SAMPLE_ROWS rows of two numbers
     sample = F.broadcast(known.filter(chosen))
-    rows = docs.join(sample, F.col(doc_id) == F.col("id")).select("toxic", F.col(text).alias("text"))
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rows = texts.join(sample, "id").select("toxic", "text")
     rows = rows.filter(F.char_length("text").between(1, SAMPLE_CHARS))
     counts = rows.mapInArrow(_featured, "toxic int, feature int").groupBy("feature").agg(
         F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")
