@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +27,14 @@ class Redaction:
     salt: str | int | None
     order: list[str]
 
+    def stored(self, folder: str) -> Redaction:
+        """The same redaction with the search done: its spans are written to `folder`, a
+        path of Spark's, and texts, audit and reports are derived from there. The folder is
+        the caller's to remove when they are done."""
+        self.found.write.parquet(folder)
+        rows = self.found.sparkSession.read.schema(self.found.schema).parquet(folder)
+        return replace(self, found=rows)
+
     @cached_property
     def _rows(self) -> DataFrame:
         """Replaced spans without their IDs. Ranking reads them several times, so they are

@@ -195,6 +195,18 @@ def nominative(text, names, surname, all_names):
     return []
 
 
+def test_search_once_for_all_outputs(spark, lines, blocks, tmp_path):
+    some = blocks(*texts(100, 18))
+    job = redact(some, ["doc_id"], people=lists.parse_people(lines(*PEOPLE)))
+    once = job.stored(str(tmp_path / "job"))
+    outputs = ("texts", "audit", "frequencies", "associations")
+    for name in outputs:
+        plain, stored = getattr(job, name)(), getattr(once, name)()
+        assert sorted(map(str, plain.collect())) == sorted(map(str, stored.collect()))
+    read = {f for name in ("texts", "audit") for f in getattr(once, name)().inputFiles()}
+    assert read and all("/job/" in f for f in read)
+
+
 def test_salted_join(spark, lines, blocks, monkeypatch):
     monkeypatch.setattr(detect, "BROADCAST_CHARS", 0)
     people = lists.parse_people(lines(*PEOPLE))
