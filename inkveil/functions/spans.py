@@ -45,32 +45,72 @@ def parts_of(text: Column, pattern: Column) -> Column:
     return F.split(marked, MARK, -1)
 
 
+# Elements folded at a time: a fold copies what it has built at every step.
+FOLDED = 64
+
+
+def running(values: Column) -> Column:
+    """Sums of the numbers before each element, in blocks, so that long arrays cost little
+    more per element than short ones."""
+
+    def sums(some: Column, base: Column) -> Column:
+        start = F.struct(base.alias("sum"), empty("array<int>").alias("out"))
+        return F.aggregate(
+            some,
+            start,
+            lambda acc, n: F.struct(
+                (acc["sum"] + n).alias("sum"), F.concat(acc["out"], F.array(acc["sum"])).alias("out")
+            ),
+            lambda acc: acc["out"],
+        )
+
+    def in_blocks(numbers: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(numbers), F.lit(FOLDED))
+        total = F.transform(
+            starts,
+            lambda s: F.aggregate(F.slice(numbers, s, FOLDED), F.lit(0), lambda a, n: a + n),
+        )
+        return bind(
+            sums(total, F.lit(0)),
+            lambda bases: F.flatten(
+                F.transform(
+                    starts,
+                    lambda s, k: sums(F.slice(numbers, s, FOLDED), F.get(bases, k)),
+                )
+            ),
+        )
+
+    return bind(
+        values,
+        lambda numbers: F.when(F.size(numbers) > FOLDED, in_blocks(numbers)).otherwise(
+            sums(numbers, F.lit(0))
+        ),
+    )
+
+
 def locate(text: Column, pattern: Column) -> Column:
     """Offsets of all matches, leftmost first and not overlapping: the lengths of gaps and
     matches added up."""
-    start = F.struct(
-        F.lit(0).alias("pos"), F.lit(False).alias("hit"), empty(SPANS).alias("out")
-    )
 
     def span(begin: Column, end: Column) -> Column:
-        return F.array(F.struct(begin.alias("start"), end.alias("end")))
+        return F.struct(begin.alias("start"), end.alias("end"))
 
-    def add(state: Column, part: Column) -> Column:
-        end = state["pos"] + F.length(part)
-        return F.struct(
-            end.alias("pos"),
-            (~state["hit"]).alias("hit"),
-            F.when(state["hit"], F.concat(state["out"], span(state["pos"], end)))
-            .otherwise(state["out"])
-            .alias("out"),
+    def every(parts: Column) -> Column:
+        # every other part is a match
+        return bind(
+            running(F.transform(parts, F.length)),
+            lambda places: F.transform(
+                F.sequence(F.lit(1), F.size(parts) - 1, F.lit(2)),
+                lambda i: span(F.get(places, i), F.get(places, i) + F.length(F.get(parts, i))),
+            ),
         )
 
     def lay_out(parts: Column) -> Column:
         gap = F.length(F.get(parts, 0))
         return (
             F.when(F.size(parts) == 1, empty(SPANS))
-            .when(F.size(parts) == 3, span(gap, gap + F.length(F.get(parts, 1))))
-            .otherwise(F.aggregate(parts, start, add, lambda state: state["out"]))
+            .when(F.size(parts) == 3, F.array(span(gap, gap + F.length(F.get(parts, 1)))))
+            .otherwise(every(parts))
         )
 
     return bind(parts_of(text, pattern), lay_out)
@@ -163,14 +203,15 @@ def resolve(
         return told(some_spans, entry, status)
 
     def blank_out(some_text: Column, some_spans: Column) -> Column:
-        return F.aggregate(
-            some_spans,
-            some_text,
-            lambda acc, s: F.when(
-                s["status"] == "replaced",
-                F.overlay(acc, F.repeat(F.lit(BLANK), s["end"] - s["start"]), s["start"] + 1),
-            ).otherwise(acc),
+        blanks = F.transform(
+            F.filter(some_spans, lambda s: s["status"] == "replaced"),
+            lambda s: F.struct(
+                s["start"].alias("start"),
+                s["end"].alias("end"),
+                F.repeat(F.lit(BLANK), s["end"] - s["start"]).alias("replacement"),
+            ),
         )
+        return bind(blanks, lambda edits: rebuild(some_text, edits))
 
     def apply(state: Column, entry: Column) -> Column:
         def with_kept(some_spans: Column) -> Column:
@@ -212,22 +253,69 @@ def shift(spans: Column, by: Column) -> Column:
     )
 
 
-def rebuild(text: Column, edits: Column) -> Column:
-    """The text with sorted, disjoint `struct<start, end, replacement>` put in."""
-    pieces = F.transform(
-        edits,
-        lambda e, i: bind(
-            F.coalesce(F.get(edits, i - 1)["end"], F.lit(0)),
-            lambda previous: F.concat(
-                text.substr(previous + 1, e["start"] - previous), e["replacement"]
+def cuts(text: Column, some_spans: Column) -> Column:
+    """The texts of sorted spans. Code points are counted from the start of a text, so many
+    spans are cut from stretches of the text that hold FOLDED of them each."""
+
+    def plain(some_text: Column, some: Column, base: Column) -> Column:
+        return F.transform(
+            some, lambda s: some_text.substr(s["start"] - base + 1, s["end"] - s["start"])
+        )
+
+    def stretch(whole: Column, part: Column) -> Column:
+        first, last = F.get(part, 0)["start"], F.get(part, F.size(part) - 1)["end"]
+        return bind(
+            first,
+            lambda base: bind(
+                whole.substr(base + 1, last - base), lambda some: plain(some, part, base)
             ),
+        )
+
+    def in_stretches(some: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(some), F.lit(FOLDED))
+        return bind(
+            text,
+            lambda whole: F.flatten(
+                F.transform(
+                    starts,
+                    lambda at: bind(
+                        F.slice(some, at, FOLDED), lambda part: stretch(whole, part)
+                    ),
+                )
+            ),
+        )
+
+    return bind(
+        some_spans,
+        lambda some: F.when(F.size(some) > FOLDED, in_stretches(some)).otherwise(
+            plain(text, some, F.lit(0))
         ),
     )
-    tail_from = F.coalesce(F.get(edits, F.size(edits) - 1)["end"], F.lit(0))
-    tail = text.substr(tail_from + 1, F.length(text))
-    return F.when(F.size(edits) == 0, text).otherwise(
-        F.concat(F.array_join(pieces, ""), tail)
-    )
+
+
+def rebuild(text: Column, edits: Column) -> Column:
+    """The text with sorted, disjoint `struct<start, end, replacement>` put in."""
+
+    def ahead(some: Column) -> Column:
+        """What stands before each edit and behind the last."""
+        return F.transform(
+            F.sequence(F.lit(0), F.size(some)),
+            lambda i: F.struct(
+                F.coalesce(F.get(some, i - 1)["end"], F.lit(0)).alias("start"),
+                F.coalesce(F.get(some, i)["start"], F.length(text)).alias("end"),
+            ),
+        )
+
+    def put_in(some: Column) -> Column:
+        return F.array_join(
+            F.transform(
+                cuts(text, ahead(some)),
+                lambda gap, i: F.concat(gap, F.coalesce(F.get(some, i)["replacement"], F.lit(""))),
+            ),
+            "",
+        )
+
+    return F.when(F.size(edits) == 0, text).otherwise(bind(edits, put_in))
 
 
 def remap(segments: Column, edits: Column) -> Column:

@@ -209,11 +209,12 @@ def _direct(
 
 def stretches(text: Column, pattern: str) -> Column:
     """`struct<start, text>` of the stretches of a block a match can lie in."""
-    return F.transform(
+    return spans.bind(
         spans.locate(text, F.lit(pattern)),
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            text.substr(s["start"] + 1, s["end"] - s["start"]).alias("text"),
+        lambda some: F.zip_with(
+            some,
+            spans.cuts(text, some),
+            lambda s, part: F.struct(s["start"].alias("start"), part.alias("text")),
         ),
     )
 

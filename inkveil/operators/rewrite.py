@@ -23,8 +23,7 @@ def edits(text: Column, found: Column, scheme: str, salt: str | int | None) -> C
     if scheme not in ("listed", "hash", "lettered"):
         raise ValueError(f"unknown ID scheme {scheme!r}")
 
-    def edit(span: Column) -> Column:
-        piece = matched(text, span)
+    def edit(span: Column, piece: Column) -> Column:
         return spans.bind(
             pseudonyms.name_key(piece),
             lambda key: F.struct(
@@ -43,7 +42,10 @@ def edits(text: Column, found: Column, scheme: str, salt: str | int | None) -> C
             ),
         )
 
-    return F.transform(F.filter(found, lambda s: s["status"] == "replaced"), edit)
+    return spans.bind(
+        F.filter(found, lambda s: s["status"] == "replaced"),
+        lambda some: F.zip_with(some, spans.cuts(text, some), edit),
+    )
 
 
 def with_edits(

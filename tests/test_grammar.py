@@ -141,3 +141,21 @@ def test_letters_saturate(spark):
     )
     got = {r.id: r.p for r in df.collect()}
     assert (got[1], got[26], got[27], got[52], got[59]) == ("IDA9", "IDZ9", "IDa9", "IDz9", "IDz9")
+
+
+def test_many_matches_in_one_text(spark, blocks):
+    """More matches than are folded at a time, with letters of several bytes."""
+    some = ["é" + "".join(f"x{k} Ünö, " if k % 3 else f"😀{k} " for k in range(n)) for n in (3, 96, 97, 200, 500)]
+    edit = "named_struct('start', s.start, 'end', s.end, 'replacement', concat('<', s.start, '>'))"
+    rows = (
+        blocks(*some)
+        .withColumn("found", spans.locate(F.col("text"), F.lit("x[0-9]+|😀")))
+        .withColumn("cut", spans.cuts(F.col("text"), F.col("found")))
+        .withColumn("edits", F.expr(f"transform(found, s -> {edit})"))
+        .withColumn("new", spans.rebuild(F.col("text"), F.col("edits")))
+    )
+    for row in rows.collect():
+        matches = list(re.finditer("x[0-9]+|😀", row.text))
+        assert [tuple(s) for s in row.found] == [m.span() for m in matches]
+        assert row.cut == [m[0] for m in matches]
+        assert row.new == re.sub("x[0-9]+|😀", lambda m: f"<{m.start()}>", row.text)
