@@ -39,18 +39,13 @@ class LineRuns:
         self.spark, self.folder, self.fanout = spark, folder, fanout
         self.levels: list[list[str]] = []
 
-    def read(self, path: str) -> DataFrame:
-        return self.spark.read.schema("hash binary, first long").parquet(path)
+    def read(self, *paths: str) -> DataFrame:
+        return self.spark.read.schema("hash binary, first long").parquet(*paths)
 
     def seen(self) -> DataFrame | None:
         """(hash, first): all hashes so far with the place of the first line."""
         paths = [path for level in self.levels for path in level]
-        return self.read(paths[0]).unionAll(self.read_all(paths[1:])) if len(paths) > 1 else (
-            self.read(paths[0]) if paths else None
-        )
-
-    def read_all(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("hash binary, first long").parquet(*paths)
+        return self.read(*paths) if paths else None
 
     def _write(self, rows: DataFrame, level: int) -> None:
         path = f"{self.folder}/run-{level}-{uuid.uuid4().hex}"
@@ -69,7 +64,7 @@ class LineRuns:
         level = 0
         while len(self.levels[level]) >= self.fanout:
             merged, self.levels[level] = self.levels[level], []
-            self._write(self.read_all(merged), level + 1)
+            self._write(self.read(*merged), level + 1)
             level += 1
 
 

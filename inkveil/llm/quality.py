@@ -37,9 +37,10 @@ BASE = (
     Rule("repeats", f"100 * n_repeat_words > {REPEATS} * n_words"),
 )
 OWN = (
-    Rule("symbols", "2 * n_symbols > n_words"),
+    Rule("symbols", "10 * n_symbols > n_words"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
     Rule("repeated_lines", "3 * n_dup_lines > n_lines"),
+    Rule("capitals", "2 * length(regexp_replace(text, '[^A-Z]+', '')) > word_chars"),
     Rule("letters", r"2 * length(regexp_replace(text, '[^\\p{L}]+', '')) < word_chars"),
 )
 

@@ -68,8 +68,9 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 2 * n_symbols > n_words
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > n_words
     OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 3 * n_dup_lines > n_lines
+    OR 2 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > word_chars
     OR 2 * length(regexp_replace(text, '[^\p{L}]+', '', 'g')) < word_chars) AS kept
 FROM m
 """
