@@ -555,6 +555,27 @@ def many_names_joined(spark: SparkSession, d: str) -> DataFrame:
     return _many_names(spark, d, "joined")
 
 
+def apostrophes(spark: SparkSession, d: str) -> DataFrame:
+    """Parts signed with the name of their type and a surname with an apostrophe, which is
+    spelt in four ways."""
+    parts = table(spark, d, "part")
+    name = F.initcap(F.lower("p_type"))
+    tail = F.initcap(F.reverse(F.lower("p_type")))
+    lines = parts.select(F.concat(name, F.lit(";D'"), tail).alias("line")).distinct()
+    people = lists.parse_people(
+        lists.number_rows(lines.withColumn("_head", F.lit(0)), ["_head"], "line", "line_no")
+    )
+    turn = F.col("p_partkey") % 4
+    text = (
+        F.when(turn == 0, F.concat(F.lit("by "), name, F.lit(" D'"), tail, F.lit(", paid")))
+        .when(turn == 1, F.concat(F.lit("by D’"), tail, F.lit(" "), name))
+        .when(turn == 2, F.concat(F.lit("by "), name, F.lit(" D` "), tail))
+        .otherwise(F.concat(F.lit("by D´"), F.upper(tail), F.lit("\t"), name, F.lit(".")))
+    )
+    texts = parts.select("p_partkey", text.alias("text"))
+    return redact(texts, ["p_partkey"], people=people).audit()
+
+
 # expressions that begin, overlap and hold one another
 NESTED_KEEP = ("The", "The of", "of the", "the", "e", "General Public License", "Public")
 
@@ -611,7 +632,7 @@ def queries() -> dict[str, Query]:
         notes_redacted, name_frequencies, associations, protected_shift,
         dictionary_spans, dictionary_spans_joined, lettered_ids, dictionary_redacted,
         name_keys, hash_ids, segment_stats, turn_blocks, segment_remap, segment_text,
-        many_names, many_names_inline, many_names_joined, nested_keep_expressions,
+        apostrophes, many_names, many_names_inline, many_names_joined, nested_keep_expressions,
         nested_keep_expressions_joined, frequency_report, association_report,
         page_nodes, page_blocks, package_tags, package_blocks, package_redacted,
     )

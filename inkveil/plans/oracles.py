@@ -495,6 +495,25 @@ FROM (
 ) WHERE substr(text, p + 1, length(expr)) = expr GROUP BY doc_id, block_idx, p"""
 
 
+_APOSTROPHES = """
+WITH person AS (
+  SELECT row_number() OVER (ORDER BY name) AS entry_id, *
+  FROM (
+    SELECT DISTINCT p_type, upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) AS name,
+      upper(substr(reverse(p_type), 1, 1)) || lower(substr(reverse(p_type), 2)) AS tail
+    FROM part)
+)
+SELECT p_partkey, CAST(3 AS INTEGER) AS start, CAST(3 + length(matched) AS INTEGER) AS "end",
+  matched, entry_id, 'replaced' AS status
+FROM (
+  SELECT p_partkey, entry_id, CASE p_partkey % 4
+    WHEN 0 THEN name || ' D' || chr(39) || tail
+    WHEN 1 THEN 'D’' || tail || ' ' || name
+    WHEN 2 THEN name || ' D` ' || tail
+    ELSE 'D´' || upper(tail) || chr(9) || name END AS matched
+  FROM part JOIN person USING (p_type))"""
+
+
 def _report(header: str, key: str, value: str, rows: str) -> str:
     line = f"'Key: ' || {key} || chr(9) || 'Value: ' || {value}"
     return f"SELECT '{header}:' AS value UNION ALL SELECT {line} FROM ({rows})"
@@ -629,6 +648,7 @@ FROM place WHERE kind = 6 AND l = 'Anvil'""",
         "associations": _with(
             _NOTE_EDITS, "SELECT name_key, pseudonym FROM pseudo ORDER BY name_key"
         ),
+        "apostrophes": _APOSTROPHES,
         "many_names": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
         "many_names_inline": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
         "many_names_joined": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
