@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,6 +63,20 @@ def bucket(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds))
 
 
+_RESIDENT: dict[str, Any] = {}
+
+
+def resident(key: str, make: Callable[[], Any]) -> Any:
+    """What a worker keeps between tasks: one model at a time, whichever operator's it is.
+
+    Workers outlive a stage, so a model of the stage before would take memory of the next.
+    """
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
 def word_blocks(data: bytes, size: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
     """The words of a text, a block of bytes at a time; no word is cut."""
     begin = 0

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkveil.llm.common import free_name, raw, staged, word_blocks
+from inkveil.llm.common import free_name, raw, resident, staged, word_blocks
 
 WINDOW = 13
 #: A document is contaminated if hit words are at least one in so many.
@@ -167,15 +167,8 @@ def _union(a: list[list[int]], b: list[list[int]]) -> list[list[int]]:
     return merged
 
 
-_LOADED: dict[str, Automaton] = {}
-
-
 def loaded(key: str, items: Callable[[], list[tuple[str, list[bytes]]]], window: int) -> Automaton:
-    """The automaton of a block; a worker keeps the last one."""
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Automaton(items(), window)
-    return _LOADED[key]
+    return resident(key, lambda: Automaton(items(), window))
 
 
 def _blocks(items: DataFrame, most: int) -> Iterator[list[tuple[str, list[bytes]]]]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkveil.llm.common import bucket, free_name, raw
+from inkveil.llm.common import bucket, free_name, raw, resident
 
 ORDER = 3
 FOLDS, HELD_OUT = 4, 2
@@ -157,7 +157,6 @@ def _has_letter(data: bytes) -> bool:
 
 
 _LETTERS = bytes([*range(65, 91), *range(97, 123)])
-_LOADED: dict[str, Model] = {}
 
 
 def trained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"):
@@ -182,11 +181,7 @@ def trained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
 
 
 def loaded(key: str, sent) -> Model:
-    """The compiled model; a worker keeps the last one."""
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Model(sent.value)
-    return _LOADED[key]
+    return resident(key, lambda: Model(sent.value))
 
 
 def identified(

@@ -141,7 +141,9 @@ def drop_repeated_lines(
     """
     gone = dropped_lines(docs, doc_id, text, least, batches, fanout)
     place, mark, cut = (free_name(docs, c) for c in ("place", "print", "dropped"))
-    gone = gone.select(F.col("place").alias(place), F.col("print").alias(mark), F.col("dropped").alias(cut))
+    gone = gone.select(
+        F.col("place").alias(place), F.col("print").alias(mark), F.col("dropped").alias(cut)
+    )
     keyed = docs.withColumns(
         {place: F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)), mark: F.xxhash64(text)}
     )
@@ -161,5 +163,8 @@ def drop_repeated_lines(
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped and kept_sha256 for each row."""
     return drop_repeated_lines(docs.select("doc_id", "text")).select(
-        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
     )

@@ -165,7 +165,10 @@ def plan(
         "cuts",
     )
     inside = placed.join(F.broadcast(cuts), ["source", "block"]).select(
-        "source", "n", (F.col("rest") - F.col("before")).alias("left"), keys.order(F.col("full")).alias("key")
+        "source",
+        "n",
+        (F.col("rest") - F.col("before")).alias("left"),
+        keys.order(F.col("full")).alias("key"),
     )
     by_row = Window.partitionBy("source").orderBy("key").rangeBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -178,9 +181,8 @@ def plan(
     )
     joined = shares.join(cuts, "source", "left").join(last, "source", "left")
     # a row for each source
-    return spark.createDataFrame(
-        joined.select("source", "full", "rest", "blocks", "at", "block", "cut_hash").collect(), _PLAN
-    )
+    rows = joined.select("source", "full", "rest", "blocks", "at", "block", "cut_hash").collect()
+    return spark.createDataFrame(rows, _PLAN)
 
 
 def mixed(
@@ -219,11 +221,12 @@ def mixed(
     joined = docs.join(F.broadcast(shares), _source_key(source) == p["source"])
     turn, place = epoch or free_name(docs, "epoch"), block or free_name(docs, "block")
     kept = [c for c in docs.columns if c not in (epoch, block)]
+    epochs = F.sequence(F.lit(0).cast("long"), p["full"] - 1)
     return (
         joined.withColumn(names["full"], taken)
         .withColumn(place, own)
         .filter(p["full"] > 0)
-        .select(*kept, place, F.explode(F.sequence(F.lit(0).cast("long"), p["full"] - 1)).alias(turn))
+        .select(*kept, place, F.explode(epochs).alias(turn))
         .select(*kept, *([turn] if epoch else []), *([place] if block else []))
     )
 

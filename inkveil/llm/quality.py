@@ -79,7 +79,8 @@ def _repeat_words(w: Column, hashes: Column) -> Column:
 
     # binds the windows once; equal windows have equal hashes, so others need no sorting
     exact = F.transform(F.array(windows), repeated)[0]
-    return F.when(F.size(hashes) == F.size(F.array_distinct(hashes)), F.lit(0).cast("long")).otherwise(exact)
+    unlike = F.size(hashes) == F.size(F.array_distinct(hashes))
+    return F.when(unlike, F.lit(0).cast("long")).otherwise(exact)
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:

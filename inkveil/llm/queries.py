@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import decontaminate, language, lines, mixing, quality, secrets, simhash, sql, tokencount, tokenfiles, toxicity
+from inkveil.llm import (
+    decontaminate,
+    language,
+    lines,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    sql,
+    tokencount,
+    tokenfiles,
+    toxicity,
+)
 from inkveil.sources.corpora import table
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -178,7 +178,8 @@ def report(docs: DataFrame, **names) -> DataFrame:
         )
     )
     joined = rows.join(by_row, "row", "left")
-    every = F.coalesce(F.col("spans"), F.array().cast("array<struct<start: bigint, kind: int, end: bigint>>"))
+    none = F.array().cast("array<struct<start: bigint, kind: int, end: bigint>>")
+    every = F.coalesce(F.col("spans"), none)
     plain = F.filter(every, lambda s: s["kind"] < len(BASE))
     return joined.select(
         "doc_id",

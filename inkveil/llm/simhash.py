@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkveil.llm.common import free_name, raw, staged, word_blocks
+from inkveil.llm.common import free_name, raw, resident, staged, word_blocks
 from inkveil.llm.components import HIGH, LOW, components
 
 SHINGLE = 3
@@ -59,8 +59,9 @@ def fingerprints(text: Column, width: int = SHINGLE, seed: int = SEED) -> Column
 
     @F.arrow_udf("long")
     def run(texts: pa.Array) -> pa.Array:
-        found = np.fromiter((fingerprint(t, width, seed) for t in raw(texts)), np.uint64, len(texts))
-        return pa.array(found.view(np.int64))
+        resident("fingerprints", lambda: None)
+        values = (fingerprint(t, width, seed) for t in raw(texts))
+        return pa.array(np.fromiter(values, np.uint64, len(texts)).view(np.int64))
 
     return run(text)
 
@@ -116,7 +117,9 @@ def near_links(values: DataFrame, value: str, crowded: int = CROWDED) -> DataFra
         .select("v", F.explode(F.concat(F.array("v"), flips)).alias("at"))
     )
     hubs = met.groupBy("at").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("at")
-    stars = met.join(hubs, "at").select(F.least("v", "at").alias(LOW), F.greatest("v", "at").alias(HIGH))
+    stars = met.join(hubs, "at").select(
+        F.least("v", "at").alias(LOW), F.greatest("v", "at").alias(HIGH)
+    )
     return pairs.unionAll(stars.filter(f"{LOW} < {HIGH}")).distinct()
 
 
@@ -166,7 +169,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         docs.withColumns({row: F.monotonically_increasing_id(), fp: fingerprints(F.col(text))}),
         "documents",
     )
-    narrow = marked.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), F.col(fp).alias("fp"))
+    narrow = marked.select(
+        F.col(row).alias("row"), F.col(doc_id).alias("id"), F.col(fp).alias("fp")
+    )
     first = F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"]
     # the class of fingerprints is named by its root, as ids may be null or repeated
     kept = (

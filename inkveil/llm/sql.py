@@ -39,7 +39,9 @@ WITH l AS (
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
 k AS (SELECT doc_id, pos, line, {LOWER.format(f"trim(line, {BLANKS})")} AS key FROM l),
 f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key),
-m AS (SELECT doc_id, pos, line, coalesce(doc_id > first, false) AS gone FROM k LEFT JOIN f USING (key))
+m AS (
+  SELECT doc_id, pos, line, coalesce(doc_id > first, false) AS gone
+  FROM k LEFT JOIN f USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
@@ -88,9 +90,11 @@ WITH p AS (
     AS t(k, kind, pattern, grp, least)),
 c AS (
   SELECT doc_id, source, 0 AS k, regexp_extract_all(text, '{ASSIGN}') AS m,
-    regexp_extract_all(text, '{ASSIGN}', 2) AS v, string_split_regex(text, '{ASSIGN}') AS g FROM documents
+    regexp_extract_all(text, '{ASSIGN}', 2) AS v, string_split_regex(text, '{ASSIGN}') AS g
+    FROM documents
   UNION ALL SELECT doc_id, source, 1, regexp_extract_all(text, 'AKIA[A-Z0-9]+'),
-    regexp_extract_all(text, 'AKIA[A-Z0-9]+'), string_split_regex(text, 'AKIA[A-Z0-9]+') FROM documents
+    regexp_extract_all(text, 'AKIA[A-Z0-9]+'), string_split_regex(text, 'AKIA[A-Z0-9]+')
+    FROM documents
   UNION ALL SELECT doc_id, source, 2, regexp_extract_all(text, '[0-9a-f]+'),
     regexp_extract_all(text, '[0-9a-f]+'), string_split_regex(text, '[0-9a-f]+') FROM documents
   UNION ALL SELECT doc_id, source, 3, regexp_extract_all(text, '[A-Za-z0-9+/_=-]+'),

@@ -23,19 +23,27 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkveil.llm.common import shared_folder, staged
+from inkveil.llm.common import resident, shared_folder, staged
 from inkveil.llm.huffman import Code, code_lengths, limit_for
 from inkveil.session import constant
 
 BLOCK = 1 << 16
 STEP = 1 << 8
-#: Characters encoded at a time, cut between words; remembered pieces of a worker.
+#: Characters encoded at a time, cut between words; pieces that a worker remembers, some
+#: 200 bytes each.
 SEGMENT = 1 << 20
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 END = 2
 
 _GAP = re.compile(r"(?<=\S) ")
 _RUN = re.compile(r"\s ")
+# words of plain letters, and signs that the splitter sets apart from them
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
+_SIGNS = re.compile(r"([.,]?\n|[.,])")
+
+
+def _kind(library) -> np.dtype:
+    return np.dtype("<u2" if library.get_vocab_size() <= 1 << 16 else "<u4")
 
 
 class Encoder:
@@ -43,7 +51,9 @@ class Encoder:
 
     A byte-level tokenizer without a normaliser never joins what stands before a blank after a
     non-blank with what follows, so text is encoded piece by piece, and pieces are remembered.
-    Stretches with runs of white space or special strings go to the library as they are.
+    Letters with a full stop, comma or line break behind them are further taken apart, as the
+    splitter does. Unseen words go to the library as one list. Stretches with runs of white
+    space or special strings go there as they are.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,27 +63,76 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.kind = _kind(self.library)
+        self.signs = {s: self.plain([s])[0] for s in (".", ",", "\n", ".\n", ",\n")}
+        # words in a list stand behind a blank, which the library joins with each, or a line
+        # break, which is an id of its own
+        vocabulary = self.library.get_vocab()
+        self.opens = np.zeros(self.library.get_vocab_size(), bool)
+        self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.breaks = np.zeros_like(self.opens)
+        self.breaks[np.frombuffer(self.signs["\n"], self.kind)] = True
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = dict(self.signs)
 
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
+    def _listed(self, words: list[str], mark: str, at_mark: np.ndarray) -> list[bytes]:
+        """The ids of words of letters, each behind `mark`, of which no word is a part."""
+        ids = self.library.encode_batch_fast([mark + mark.join(words)], add_special_tokens=False)
+        ids = np.array(ids[0].ids, self.kind)
+        begins = np.flatnonzero(at_mark[ids])
+        if len(begins) != len(words):
+            return self.plain([w if mark == "\n" else mark + w for w in words])
+        skipped = int(mark == "\n")
+        data, size = ids.tobytes(), self.kind.itemsize
+        ends = [*(begins[1:] * size).tolist(), len(data)]
+        return [data[b:e] for b, e in zip(((begins + skipped) * size).tolist(), ends, strict=True)]
+
+    def learn(self, pieces: list[str]) -> None:
+        """Remember the ids of pieces that stand behind a blank."""
+        known, words, fresh, first = self.pieces, self.words, set(), set()
+        composed, others = [], []
+        for piece in pieces:
+            if _LETTERS.fullmatch(piece):
+                fresh.add(piece)
+                continue
+            parts = _SIGNS.split(piece)
+            if not all(map(_LETTERS.fullmatch, parts[::2] if parts[-1] else parts[:-1:2])):
+                others.append(piece)
+                continue
+            composed.append((piece, parts))
+            if parts[0] not in known:
+                fresh.add(parts[0])
+            first.update(w for w in parts[2::2] if w and w not in words)
+        # the first word of a piece has the blank before it, the others a sign or line break
+        if fresh:
+            ordered = list(fresh)
+            known.update(zip(ordered, self._listed(ordered, " ", self.opens), strict=True))
+        if first:
+            ordered = list(first)
+            words.update(zip(ordered, self._listed(ordered, "\n", self.breaks), strict=True))
+        for piece, (head, *rest) in composed:
+            known[piece] = known[head] + b"".join([words[w] for w in rest if w])
+        if others:
+            known.update(zip(others, self.plain([" " + p for p in others]), strict=True))
+
     def segment(self, text: str) -> bytes:
         if _RUN.search(text) or self.special.search(text):
             return self.plain([text])[0]
-        head, *pieces = text.split(" ")
+        head, *rest = text.split(" ")
         try:
-            rest = b"".join(map(self.known.__getitem__, pieces))
+            out = b"".join(map(self.pieces.__getitem__, rest))
         except KeyError:
-            unseen = list(set(pieces).difference(self.known))
-            if len(self.known) + len(unseen) > REMEMBERED:
-                self.known.clear()
-                unseen = list(set(pieces))
-            self.known.update(zip(unseen, self.plain([" " + p for p in unseen]), strict=True))
-            rest = b"".join(map(self.known.__getitem__, pieces))
-        return self.plain([head])[0] + rest
+            if len(self.pieces) > REMEMBERED:
+                self.pieces.clear()
+            if len(self.words) > REMEMBERED:
+                self.words = dict(self.signs)
+            self.learn(list(set(rest).difference(self.pieces)))
+            out = b"".join(map(self.pieces.__getitem__, rest))
+        return self.plain([head])[0] + out
 
     def encode(self, text: str | None) -> bytes:
         out, begin = [], 0
@@ -86,13 +145,8 @@ class Encoder:
         return b"".join(out)
 
 
-_LOADED: dict[str, Encoder] = {}
-
-
 def loaded(path: str) -> Encoder:
-    if path not in _LOADED:
-        _LOADED[path] = Encoder(path)
-    return _LOADED[path]
+    return resident(f"encode {path}", lambda: Encoder(path))
 
 
 def ids_of(text: Column, path: Callable[[], str], end: int | None) -> Column:
@@ -112,7 +166,10 @@ def ids_of(text: Column, path: Callable[[], str], end: int | None) -> Column:
 
 
 def width_of(path: Callable[[], str]) -> str:
-    return loaded(path()).kind.str
+    """The kind of number that ids are written as, asked of the tokenizer on the driver."""
+    from tokenizers import Tokenizer
+
+    return _kind(Tokenizer.from_file(path())).str
 
 
 # --- writing -------------------------------------------------------------------------
@@ -306,7 +363,8 @@ def _crc_of(pieces: Column) -> Column:
 
 def _offsets(blocks: DataFrame) -> DataFrame:
     """(part, offset): ids of all parts before; as many rows as there are files."""
-    sizes = blocks.select("part", F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n).alias("n"))
+    total = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n)
+    sizes = blocks.select("part", total.alias("n"))
     found = sorted(map(tuple, sizes.groupBy("part").agg(F.sum("n")).collect()))
     starts = np.cumsum([0, *[n for _, n in found]])[:-1]
     if not found:
