@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import reduce
 from itertools import pairwise
 
@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkveil.llm.common import resident
+
 
 
 LIMIT = 2048
 #: Code points of a chunk.
 CHUNK = 1 << 18
 #: Bounds of a worker's tables; a full table is begun anew.
-STATES, PIECES = 200_000, 300_000
+STATES, PIECES = 120_000, 150_000
 
 # letters that no normaliser joins or parts, and signs that stand alone between them
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
@@ -51,14 +53,15 @@ class Transducer:
         # symbols are characters; the last of a word carries the end mark and is a symbol too
         self.tree: list[dict[str, int]] = [{}]
         self.token_at: dict[int, str] = {}
-        halves: dict[str, tuple[str, str]] = {}
+        # the two tokens of the merge that makes a token
+        self.halves: dict[str, tuple[str, str]] = {}
         for token in vocabulary:
             symbols = self.symbols(token)
             parts, last = self.merged(symbols)
             if len(parts) > 1:  # never the encoding of its own text
                 continue
             if last:
-                halves[token] = last
+                self.halves[token] = last
             node = 0
             for s in symbols:
                 nodes = self.tree[node]
@@ -67,19 +70,22 @@ class Transducer:
                     self.tree.append({})
                 node = nodes[s]
             self.token_at[node] = token
-        # what stands at the right (left) edge of a token while it is put together, and the
-        # rank of the merge that ends it
-        self.right = {t: self._edge(t, 1, halves) for t in self.token_at.values()}
-        self.left = {t: self._edge(t, 0, halves) for t in self.token_at.values()}
+        self.edges: tuple[dict, dict] = ({}, {})
         self.clear()
 
-    def _edge(self, token: str, side: int, halves: dict) -> list[tuple[str, int]]:
-        edge, until = [], len(self.ranks)
-        while token in halves:
-            edge.append((token, until))
-            until = self.ranks[halves[token]]
-            token = halves[token][side]
-        return [*edge, (token, until)]
+    def edge(self, token: str, side: int) -> list[tuple[str, int]]:
+        """What stands at the left (0) or right (1) edge of a token while it is put together,
+        and the rank of the merge that ends it."""
+        found = self.edges[side].get(token)
+        if found is None:
+            found, until, part = [], len(self.ranks), token
+            while part in self.halves:
+                found.append((part, until))
+                until = self.ranks[self.halves[part]]
+                part = self.halves[part][side]
+            found.append((part, until))
+            self.edges[side][token] = found
+        return found
 
     def clear(self) -> None:
         # a state: the open places, as (tree node, token before, tokens since)
@@ -113,8 +119,8 @@ class Transducer:
         """
         if a is None:
             return True
-        ranks, left = self.ranks, self.left[b]
-        for x, x_until in self.right[a]:
+        ranks, left = self.ranks, self.edge(b, 0)
+        for x, x_until in self.edge(a, 1):
             for y, y_until in left:
                 rank = ranks.get((x, y))
                 if rank is not None and rank < x_until and rank <= y_until:
@@ -246,19 +252,27 @@ class Counter:
             return a[0], a[1], a[2] + b[0], True
         return a[0], a[1] + self.piece(a[2] + b[0]) + b[1], b[2], True
 
+    def closed(self, part: Map, first: bool, last: bool) -> Map:
+        """The map of a chunk at an end of the text: what is beyond it is known there."""
+        head, n, tail, cut = part
+        if not cut:
+            return ("", self.piece(head), "", True) if first and last else part
+        if first:
+            head, n = "", n + self.piece(head)
+        if last:
+            tail, n = "", n + self.piece(tail)
+        return head, n, tail, True
+
     def total(self, whole: Map) -> int:
-        """The count of a whole text: both ends of its map are bounded now."""
-        return self.piece(whole[0]) + whole[1] + (self.piece(whole[2]) if whole[3] else 0)
+        """The count of a whole text."""
+        return self.closed(whole, True, True)[1]
 
 
 _ALPHABET = _alphabet()
-_LOADED: dict[str, Counter] = {}
 
 
 def loaded(path: str) -> Counter:
-    if path not in _LOADED:
-        _LOADED[path] = Counter(path)
-    return _LOADED[path]
+    return resident(f"count {path}", lambda: Counter(path))
 
 
 _MAP = pa.struct(
@@ -266,13 +280,13 @@ _MAP = pa.struct(
 )
 
 
-def _mapped(path: Callable[[], str]) -> Callable[[Column], Column]:
+def _mapped(path: Callable[[], str]) -> Callable[[Column, Column, Column], Column]:
     @F.arrow_udf("struct<head: string, n: long, tail: string, cut: boolean>")
-    def run(chunks: pa.Array) -> pa.Array:
-        counter = loaded(path())
-        maps = [
-            counter.map(c) for at in range(0, len(chunks), 256) for c in chunks.slice(at, 256).to_pylist()
-        ]
+    def run(chunks: pa.Array, first: pa.Array, last: pa.Array) -> pa.Array:
+        counter, maps = loaded(path()), []
+        for begin in range(0, len(chunks), 256):
+            rows = (column.slice(begin, 256).to_pylist() for column in (chunks, first, last))
+            maps += [counter.closed(counter.map(c), a, z) for c, a, z in zip(*rows, strict=True)]
         kinds = (pa.string(), pa.int64(), pa.string(), pa.bool_())
         return pa.StructArray.from_arrays(
             [pa.array([m[k] for m in maps], t) for k, t in enumerate(kinds)],
@@ -285,10 +299,14 @@ def _mapped(path: Callable[[], str]) -> Callable[[Column], Column]:
 def _composed(path: Callable[[], str]) -> Callable[[Column], Column]:
     @F.arrow_udf("long")
     def run(maps: pa.Array) -> pa.Array:
-        counter, out = loaded(path()), []
+        out = []
         for parts in maps.to_pylist():
             parts = [(m["head"], m["n"], m["tail"], m["cut"]) for m in parts]
-            out.append(counter.total(reduce(counter.compose, parts)))
+            if len(parts) == 1:  # both ends are counted
+                out.append(parts[0][1])
+            else:
+                counter = loaded(path())
+                out.append(counter.total(reduce(counter.compose, parts)))
         return pa.array(out, pa.int64())
 
     return run
@@ -308,7 +326,8 @@ def counted(
     itself; null ids stay. An empty table gives an empty result; other columns are ignored.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    at = F.sequence(F.lit(0), F.floor(F.greatest(F.char_length(whole) - 1, F.lit(0)) / chunk).cast("int"))
+    last = F.greatest(F.char_length(whole) - 1, F.lit(0))
+    at = F.sequence(F.lit(0), F.floor(last / chunk).cast("int"))
     # rows are numbered before they are unfolded into chunks
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -322,7 +341,11 @@ def counted(
         "doc_id",
         "n_bytes",
         "at",
-        _mapped(path)(F.substring("text", F.col("at") * chunk + 1, F.lit(chunk))).alias("map"),
+        _mapped(path)(
+            F.substring("text", F.col("at") * chunk + 1, F.lit(chunk)),
+            F.col("at") == 0,
+            F.col("at") == F.size("places") - 1,
+        ).alias("map"),
     )
     whole_maps = maps.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
