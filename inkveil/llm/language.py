@@ -29,6 +29,8 @@ FOLDS, HELD_OUT = 4, 2
 SAMPLE_ROWS = 400
 SAMPLE_CHARS = 20_000
 UNKNOWN = "und"
+#: Rows are drawn by hashes below a share of this.
+SPREAD = 1 << 40
 #: Bytes scored at a time.
 BLOCK = 1 << 18
 
@@ -60,20 +62,21 @@ def _counted(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def statistics(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     """Context counts of the sampled training rows: non-null labels outside the held-out fold."""
     rows = docs.select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), bucket(doc_id, FOLDS).alias("fold")
+        F.col(lang).alias("lang"),
+        F.col(text).alias("text"),
+        bucket(doc_id, FOLDS).alias("fold"),
+        # by id too: a group of copies must not be drawn as a whole
+        F.pmod(F.xxhash64(doc_id, text), F.lit(SPREAD)).alias("draw"),
     ).filter(
         (F.col("fold") != HELD_OUT)
         & F.col("lang").isNotNull()
         & (F.char_length("text").between(1, SAMPLE_CHARS))
     )
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-    spread = 1 << 20
-    draw = F.pmod(F.xxhash64("text"), F.lit(spread))
     chosen = F.lit(False)
     for name, size in sizes.items():
-        chosen = chosen | (
-            (F.col("lang") == name) & (draw < max(1, min(spread, spread * SAMPLE_ROWS // size)))
-        )
+        most = max(1, min(SPREAD, SPREAD * SAMPLE_ROWS // size))
+        chosen = chosen | ((F.col("lang") == name) & (F.col("draw") < most))
     return (
         rows.filter(chosen)
         .select("lang", "text")
