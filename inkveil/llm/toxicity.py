@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkveil.llm.common import bucket, raw
+from inkveil.llm.common import bucket, raw, resident
 
 FOLDS, HELD_OUT = 5, 0
 #: Labelled rows that the weights are fitted on: some SAMPLE_ROWS of each class, drawn by a
@@ -69,50 +69,60 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+_BAGS = "id string, toxic int, plain long, sizes array<int>, features array<int>"
+
+
 def _bags(chosen: frozenset[int]):
-    """A function of rows: (toxic, plain, bags): sentences without chosen features, and the others'."""
+    """A function of rows to (id, toxic, plain, sizes, features): how many sentences have no
+    chosen feature, how many the others have each, and which they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            plain, bags = [], []
+            plain, sizes, found = [], [], []
             for text in raw(batch.column(1)):
-                own = [[f for w in s for f in features(w) if f in chosen] for _, _, s in sentences(text)]
-                bags.append([bag for bag in own if bag])
-                plain.append(len(own) - len(bags[-1]))
+                own = [
+                    [f for w in words for f in features(w) if f in chosen]
+                    for _, _, words in sentences(text)
+                ]
+                sizes.append([len(bag) for bag in own if bag])
+                found.append([f for bag in own for f in bag])
+                plain.append(len(own) - len(sizes[-1]))
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column(2).cast(pa.string()),
                     batch.column(0).cast(pa.int32()),
                     pa.array(plain, pa.int64()),
-                    pa.array(bags, pa.list_(pa.list_(pa.int32()))),
+                    pa.array(sizes, pa.list_(pa.int32())),
+                    pa.array(found, pa.list_(pa.int32())),
                 ],
-                names=["toxic", "plain", "bags"],
+                names=["id", "toxic", "plain", "sizes", "features"],
             )
 
     return run
 
 
-def fit(rows: list[tuple[int, int, list[list[int]]]]) -> tuple[float, dict[int, float]]:
+def fit(rows: pa.Table) -> tuple[float, dict[int, float]]:
     """Bias and weights that make the noisy-or over sentences fit the labels best."""
-    toxic = np.array([r[0] for r in rows], float)
-    plain = np.array([r[1] for r in rows], float)
-    names = sorted({f for _, _, bags in rows for bag in bags for f in bag})
-    place = {f: k for k, f in enumerate(names)}
-    owner = np.array([d for d, r in enumerate(rows) for _ in r[2]], np.int64)
-    bag_of, weight_of = [], []
-    n_bags = 0
-    for _, _, bags in rows:
-        for bag in bags:
-            bag_of += [n_bags] * len(bag)
-            weight_of += [place[f] for f in bag]
-            n_bags += 1
-    bag_of, weight_of = np.array(bag_of, np.int64), np.array(weight_of, np.int64)
+    rows = rows.sort_by([("id", "ascending"), ("plain", "ascending")]).combine_chunks()
+
+    def flat(name: str) -> np.ndarray:
+        return pa.concat_arrays(
+            [c.flatten() for c in rows.column(name).chunks] or [pa.array([], pa.int32())]
+        ).to_numpy()
+
+    toxic, plain = (rows.column(c).to_numpy().astype(float) for c in ("toxic", "plain"))
+    bags = np.array([len(x) for x in rows.column("sizes")], np.int64)
+    sizes = flat("sizes")
+    names, weight_of = np.unique(flat("features"), return_inverse=True)
+    owner = np.repeat(np.arange(len(bags)), bags)
+    bag_of = np.repeat(np.arange(len(sizes)), sizes)
     values = np.zeros(len(names) + 1)
     values[-1] = -7.0
     first, second = np.zeros_like(values), np.zeros_like(values)
     for step in range(1, STEPS + 1):
         bias = values[-1]
-        z = bias + np.bincount(bag_of, values[weight_of], n_bags)
-        clean = -np.bincount(owner, np.logaddexp(0, z), len(rows)) - plain * np.logaddexp(0, bias)
+        z = bias + np.bincount(bag_of, values[weight_of], len(sizes))
+        clean = -np.bincount(owner, np.logaddexp(0, z), len(bags)) - plain * np.logaddexp(0, bias)
         # derivative of the loss by the log-probability of "no sentence is toxic"
         slope = np.where(toxic > 0, 1 / np.maximum(np.expm1(-clean), 1e-9), -1.0)
         by_z = -slope[owner] / (1 + np.exp(-z))
@@ -122,7 +132,7 @@ def fit(rows: list[tuple[int, int, list[list[int]]]]) -> tuple[float, dict[int,
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
         values -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return float(values[-1]), dict(zip(names, values[:-1].tolist(), strict=True))
+    return float(values[-1]), dict(zip(names.tolist(), values[:-1].tolist(), strict=True))
 
 
 class Scorer:
@@ -167,7 +177,7 @@ def trained(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
     if len(sizes) < 2:
         share = 0.5 if not sizes else float(next(iter(sizes)))
         return (30.0 if share == 1 else 0.0 if share else -30.0), {}
-    spread = 1 << 20
+    spread = 1 << 40
     draw = F.pmod(F.xxhash64("id"), F.lit(spread))
     chosen = F.lit(False)
     for toxic, size in sizes.items():
@@ -176,7 +186,7 @@ def trained(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
     # at most some 2 * SAMPLE_ROWS rows of two numbers
     sample = F.broadcast(known.filter(chosen))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    rows = texts.join(sample, "id").select("toxic", "text")
+    rows = texts.join(sample, "id").select("toxic", "text", "id")
     rows = rows.filter(F.char_length("text").between(1, SAMPLE_CHARS))
     counts = rows.mapInArrow(_featured, "toxic int, feature int").groupBy("feature").agg(
         F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")
@@ -188,19 +198,11 @@ def trained(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
     z = (F.log(a / c) - F.log(b / d)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
     picked = counts.filter((F.col("a") >= LEAST_DOCS) & (c > 0) & (d > 0) & (z >= LEAST_Z))
     names = frozenset(r[0] for r in picked.select("feature").collect())
-    bags = rows.mapInArrow(_bags(names), "toxic int, plain long, bags array<array<int>>")
-    return fit(sorted((r[0], r[1], [list(bag) for bag in r[2]]) for r in bags.collect()))
-
-
-_LOADED: dict[str, Scorer] = {}
+    return fit(rows.mapInArrow(_bags(names), _BAGS).toArrow())
 
 
 def loaded(key: str, bias: float, weights: dict[int, float]) -> Scorer:
-    """The scorer of a model; a worker keeps the last one."""
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Scorer(bias, weights)
-    return _LOADED[key]
+    return resident(key, lambda: Scorer(bias, weights))
 
 
 def _points(data: bytes, places: list[int]) -> list[int]:
@@ -238,7 +240,8 @@ def scored(
         scores, spans = [], []
         for data in raw(texts):
             score, found = scorer.score(data)
-            ends = _points(data, [p for begin, end, _ in found for p in (begin, end)]) if found else []
+            places = [p for begin, end, _ in found for p in (begin, end)]
+            ends = _points(data, places) if found else []
             scores.append(score)
             spans.append(",".join(f"{s}:{e}" for s, e in zip(ends[::2], ends[1::2], strict=True)))
         return pa.StructArray.from_arrays(
