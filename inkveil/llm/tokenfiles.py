@@ -31,15 +31,15 @@ BLOCK = 1 << 16
 STEP = 1 << 8
 #: Characters encoded at a time, cut between words; pieces that a worker remembers, some
 #: 200 bytes each.
-SEGMENT = 1 << 20
-REMEMBERED = 600_000
+SEGMENT = 1 << 19
+REMEMBERED = 350_000
 END = 2
 
 _GAP = re.compile(r"(?<=\S) ")
-_RUN = re.compile(r"\s ")
-# words of plain letters, and signs that the splitter sets apart from them
+# words of plain letters, and runs of signs (but apostrophes), with one line break at most,
+# that the splitter sets apart from them
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
-_SIGNS = re.compile(r"([.,]?\n|[.,])")
+_SIGNS = re.compile(r"([!-&(-/:-@\[-`{-~]*\n|[!-&(-/:-@\[-`{-~]+)")
 
 
 def _kind(library) -> np.dtype:
@@ -51,8 +51,8 @@ class Encoder:
 
     A byte-level tokenizer without a normaliser never joins what stands before a blank after a
     non-blank with what follows, so text is encoded piece by piece, and pieces are remembered.
-    Letters with a full stop, comma or line break behind them are further taken apart, as the
-    splitter does. Unseen words go to the library as one list. Stretches with runs of white
+    Letters with signs or a line break behind them are further taken apart, as the splitter
+    does. Unseen words go to the library as one list. Stretches with runs of white
     space or special strings go there as they are.
     """
 
@@ -61,19 +61,20 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.kind = _kind(self.library)
-        self.signs = {s: self.plain([s])[0] for s in (".", ",", "\n", ".\n", ",\n")}
+        line_break = self.plain(["\n"])[0]
         # words in a list stand behind a blank, which the library joins with each, or a line
         # break, which is an id of its own
         vocabulary = self.library.get_vocab()
         self.opens = np.zeros(self.library.get_vocab_size(), bool)
         self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.breaks = np.zeros_like(self.opens)
-        self.breaks[np.frombuffer(self.signs["\n"], self.kind)] = True
+        self.breaks[np.frombuffer(line_break, self.kind)] = True
+        # full tables are set aside; what is met again is taken over from there
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = dict(self.signs)
+        self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -91,13 +92,24 @@ class Encoder:
         ends = [*(begins[1:] * size).tolist(), len(data)]
         return [data[b:e] for b, e in zip(((begins + skipped) * size).tolist(), ends, strict=True)]
 
-    def learn(self, pieces: list[str]) -> None:
-        """Remember the ids of pieces that stand behind a blank."""
-        known, words, fresh, first = self.pieces, self.words, set(), set()
-        composed, others = [], []
-        for piece in pieces:
-            if _LETTERS.fullmatch(piece):
-                fresh.add(piece)
+    def learn(self, pieces: set[str]) -> None:
+        """Remember the ids of pieces that stand behind a blank.
+
+        Pieces that are empty or end in white space would join the blank behind them and are
+        never remembered.
+        """
+        if len(self.pieces) > REMEMBERED:
+            self.pieces, self.older = {}, self.pieces
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        known, words, older = self.pieces, self.words, self.older
+        again = older.keys() & pieces
+        known.update(zip(again, map(older.__getitem__, again), strict=True))
+        pieces = pieces - again
+        fresh = {p for p in pieces if p.isalpha() and (p.isascii() or _LETTERS.fullmatch(p))}
+        first, signs, composed, others = set(), set(), [], []
+        for piece in pieces - fresh:
+            if not piece or piece[-1].isspace():
                 continue
             parts = _SIGNS.split(piece)
             if not all(map(_LETTERS.fullmatch, parts[::2] if parts[-1] else parts[:-1:2])):
@@ -106,6 +118,7 @@ class Encoder:
             composed.append((piece, parts))
             if parts[0] not in known:
                 fresh.add(parts[0])
+            signs.update(w for w in parts[1::2] if w not in words)
             first.update(w for w in parts[2::2] if w and w not in words)
         # the first word of a piece has the blank before it, the others a sign or line break
         if fresh:
@@ -114,35 +127,53 @@ class Encoder:
         if first:
             ordered = list(first)
             words.update(zip(ordered, self._listed(ordered, "\n", self.breaks), strict=True))
+        if signs:
+            ordered = list(signs)
+            words.update(zip(ordered, self.plain(ordered), strict=True))
         for piece, (head, *rest) in composed:
             known[piece] = known[head] + b"".join([words[w] for w in rest if w])
         if others:
             known.update(zip(others, self.plain([" " + p for p in others]), strict=True))
 
-    def segment(self, text: str) -> bytes:
-        if _RUN.search(text) or self.special.search(text):
-            return self.plain([text])[0]
-        head, *rest = text.split(" ")
-        try:
-            out = b"".join(map(self.pieces.__getitem__, rest))
-        except KeyError:
-            if len(self.pieces) > REMEMBERED:
-                self.pieces.clear()
-            if len(self.words) > REMEMBERED:
-                self.words = dict(self.signs)
-            self.learn(list(set(rest).difference(self.pieces)))
-            out = b"".join(map(self.pieces.__getitem__, rest))
-        return self.plain([head])[0] + out
+    def head(self, word: str) -> bytes:
+        """The ids of what stands before the first blank."""
+        found = self.words.get(word)
+        if found is None:
+            found = self.plain([word])[0]
+            if _LETTERS.fullmatch(word):
+                self.words[word] = found
+        return found
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; unseen pieces of all of them are learnt together."""
+        cut = [list(_segments(text)) for text in texts]
+        parts = [[segment.split(" ") for segment in own] for own in cut]
+        needed = {p for own in parts for pieces in own for p in pieces[1:]}
+        self.learn(needed.difference(self.pieces))
+        out, known = [], self.pieces.__getitem__
+        for own, whole in zip(parts, cut, strict=True):
+            ids = []
+            for pieces, segment in zip(own, whole, strict=True):
+                try:
+                    if any(s in segment for s in self.special):
+                        raise KeyError(segment)
+                    ids += [self.head(pieces[0]), *map(known, pieces[1:])]
+                except KeyError:  # special strings or runs of white space
+                    ids.append(self.plain([segment])[0])
+            out.append(b"".join(ids))
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        out, begin = [], 0
-        text = text or ""
-        while begin < len(text):
-            gap = _GAP.search(text, begin + SEGMENT)
-            end = gap.start() if gap else len(text)
-            out.append(self.segment(text[begin:end]))
-            begin = end
-        return b"".join(out)
+        return self.encode_all([text or ""])[0]
+
+
+def _segments(text: str) -> Iterator[str]:
+    begin = 0
+    while begin < len(text):
+        gap = _GAP.search(text, begin + SEGMENT)
+        end = gap.start() if gap else len(text)
+        yield text[begin:end]
+        begin = end
 
 
 def loaded(path: str) -> Encoder:
@@ -156,10 +187,15 @@ def ids_of(text: Column, path: Callable[[], str], end: int | None) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         encoder = loaded(path())
         tail = b"" if end is None else np.array([end], encoder.kind).tobytes()
-        out = []
+        out, held, size = [], [], 0
         for begin in range(0, len(texts), 64):
             for text in texts.slice(begin, 64).to_pylist():
-                out.append(encoder.encode(text) + tail)
+                held.append(text or "")
+                size += len(held[-1])
+                if size >= SEGMENT:
+                    out += [ids + tail for ids in encoder.encode_all(held)]
+                    held, size = [], 0
+        out += [ids + tail for ids in encoder.encode_all(held)]
         return pa.array(out, pa.binary())
 
     return run(text)
