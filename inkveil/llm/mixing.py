@@ -5,7 +5,8 @@ A source's weight is its share of all tokens to a power between 0 (all sources a
 that no source is repeated more often than a limit. Every source then gets its part of the
 token budget: whole epochs, each a permutation of its blocks and of the rows inside them, and
 one epoch cut short. Where that cut falls is a bound on hash values, one for each source, so
-rows are chosen in the scan, without a shuffle of texts.
+rows are chosen in the scan, without a shuffle of texts. The scan leaves rows where they are;
+hashes of block and row, anew for each epoch, say where a row stands in an epoch's permutation.
 """
 
 from __future__ import annotations
@@ -192,6 +193,8 @@ def mixed(
     source: str = "source",
     epoch: str | None = None,
     block: str | None = None,
+    block_order: str | None = None,
+    row_order: str | None = None,
     limit: float | None = MOST_EPOCHS,
     target: float | None = None,
     budget: int | None = None,
@@ -201,7 +204,10 @@ def mixed(
 
     `limit` bounds the epochs of a source, or `target` sets the entropy of the weights (bits).
     Without a `budget` (tokens) the least one is taken in which no row is left out. `epoch` and
-    `block` name columns to add: which epoch a row belongs to, from 0, and its block.
+    `block` name columns to add: which epoch a row belongs to, from 0, and its block; so do
+    `block_order` and `row_order` for the place of its block among those of its source in that
+    epoch, and its own in the block: a source's epoch is its rows sorted by block_order, block
+    and row_order.
 
     Tokens are words. A null source is a source of its own. Null and empty texts cost nothing;
     they come with the whole epochs, and in a cut one as their place says. Rows equal in id
@@ -219,21 +225,36 @@ def mixed(
     taken = p["full"] + F.when((p["rest"] > 0) & (before | inside), 1).otherwise(0)
     # at most MOST_SOURCES rows of seven numbers
     joined = docs.join(F.broadcast(shares), _source_key(source) == p["source"])
-    turn, place = epoch or free_name(docs, "epoch"), block or free_name(docs, "block")
-    kept = [c for c in docs.columns if c not in (epoch, block)]
+    turn, place = free_name(joined, "mix_epoch"), free_name(joined, "mix_block")
+    hashed = free_name(joined, "mix_hash")
+    named = {
+        epoch: F.col(turn),
+        block: F.col(place),
+        block_order: keys.block_order(p["source"], F.col(place), F.col(turn)),
+        row_order: Keys(F.col(hashed), seed).order(F.col(turn)),
+    }
+    kept = [c for c in docs.columns if c not in named]
     epochs = F.sequence(F.lit(0).cast("long"), p["full"] - 1)
     return (
         joined.withColumn(names["full"], taken)
         .withColumn(place, own)
         .filter(p["full"] > 0)
-        .select(*kept, place, F.explode(epochs).alias(turn))
-        .select(*kept, *([turn] if epoch else []), *([place] if block else []))
+        .select(
+            *kept,
+            place,
+            names["source"],
+            *([keys.row.alias(hashed)] if row_order else []),
+            F.explode(epochs).alias(turn),
+        )
+        .select(*kept, *[c.alias(name) for name, c in named.items() if name])
     )
 
 
 def report(docs: DataFrame, **settings) -> DataFrame:
-    """doc_id, source, n_tokens, epoch and block: a row for each time a row of `docs` is taken."""
-    found = mixed(docs.select("doc_id", "text", "source"), epoch="epoch", block="block", **settings)
-    return found.select(
-        "doc_id", "source", token_count(F.col("text")).alias("n_tokens"), "epoch", "block"
-    )
+    """doc_id, source, n_tokens, epoch, block and place: a row for each time one is taken.
+
+    block_order, block and row_order sort a source's epoch.
+    """
+    orders = {c: c for c in ("epoch", "block", "block_order", "row_order")}
+    found = mixed(docs.select("doc_id", "text", "source"), **orders, **settings)
+    return found.select("doc_id", "source", token_count(F.col("text")).alias("n_tokens"), *orders)
