@@ -24,8 +24,9 @@ from inkveil.llm.common import bucket, free_name, raw, resident
 
 ORDER = 3
 FOLDS, HELD_OUT = 4, 2
-#: The labelled rows that a language's tree is counted on: some SAMPLE_ROWS, none longer than
-#: SAMPLE_CHARS code points. So a tree has at most SAMPLE_ROWS x SAMPLE_CHARS x ORDER contexts.
+#: The labelled rows that a language's tree is counted on: some SAMPLE_ROWS of SAMPLE_CHARS code
+#: points at most, and where there are fewer, stretches of that length from longer ones. So a
+#: tree has at most SAMPLE_ROWS x SAMPLE_CHARS x ORDER contexts.
 SAMPLE_ROWS = 400
 SAMPLE_CHARS = 20_000
 UNKNOWN = "und"
@@ -64,22 +65,24 @@ def statistics(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     rows = docs.select(
         F.col(lang).alias("lang"),
         F.col(text).alias("text"),
+        F.char_length(text).alias("chars"),
         bucket(doc_id, FOLDS).alias("fold"),
         # by id too: a group of copies must not be drawn as a whole
         F.pmod(F.xxhash64(doc_id, text), F.lit(SPREAD)).alias("draw"),
-    ).filter(
-        (F.col("fold") != HELD_OUT)
-        & F.col("lang").isNotNull()
-        & (F.char_length("text").between(1, SAMPLE_CHARS))
-    )
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    ).filter((F.col("fold") != HELD_OUT) & F.col("lang").isNotNull() & (F.col("chars") >= 1))
+    long = F.col("chars") > SAMPLE_CHARS
+    counted = rows.groupBy("lang").agg(F.count_if(~long), F.count_if(long))
     chosen = F.lit(False)
-    for name, size in sizes.items():
-        most = max(1, min(SPREAD, SPREAD * SAMPLE_ROWS // size))
-        chosen = chosen | ((F.col("lang") == name) & (F.col("draw") < most))
+    for name, short, longer in sorted(map(tuple, counted.collect())):
+        for kind, size, wanted in ((~long, short, SAMPLE_ROWS), (long, longer, SAMPLE_ROWS - short)):
+            if size and wanted > 0:
+                most = max(1, min(SPREAD, SPREAD * wanted // size))
+                chosen = chosen | ((F.col("lang") == name) & kind & (F.col("draw") < most))
+    begin = F.pmod(F.xxhash64("draw"), F.col("chars") - SAMPLE_CHARS + 1).cast("int") + 1
+    stretch = F.when(long, F.substring("text", begin, SAMPLE_CHARS)).otherwise(F.col("text"))
     return (
         rows.filter(chosen)
-        .select("lang", "text")
+        .select("lang", stretch.alias("text"))
         .mapInArrow(_counted, "lang string, context binary, byte int, n long")
         .groupBy("lang", "context", "byte")
         .agg(F.sum("n").alias("n"))
