@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkveil.llm import decontaminate, language, mixing, queries, similar, tokenfiles
+from inkveil.llm import decontaminate, language, mixing, queries, simhash, tokenfiles
 from inkveil.llm.common import staged
 from inkveil.sources.corpora import table
 
@@ -23,8 +23,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of alike texts stays, that of the smallest id."""
-    return similar.keep_one(docs)
+    """One document of each group of near fingerprints (3 words, two bits) stays, that of the
+    smallest id."""
+    return simhash.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
