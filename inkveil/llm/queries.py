@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from inkveil.llm import (
+    alignment,
     decontaminate,
     language,
     lines,
@@ -76,6 +77,17 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return tokencount.counted(table(spark, d, "documents"), word_bpe)
 
 
+def piece_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op12_alignment(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document: tokens of two tokenizers, groups, links and their counts."""
+    return alignment.report(table(spark, d, "documents"), byte_bpe, piece_bpe)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -87,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
+    "op12_alignment": op12_alignment,
 }
 
 ORACLES: dict[str, str] = {
