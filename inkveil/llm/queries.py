@@ -19,6 +19,7 @@ from inkveil.llm import (
     tokencount,
     tokenfiles,
     toxicity,
+    whitening,
 )
 from inkveil.sources.corpora import table
 
@@ -77,6 +78,11 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return tokencount.counted(table(spark, d, "documents"), word_bpe)
 
 
+def op11_whitening(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each embedding that is all numbers and each of 32 components."""
+    return whitening.whitened(table(spark, d, "embeddings"))
+
+
 def piece_bpe() -> str:
     import public_tokenizers
 
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_token_counts": op10_token_counts,
+    "op11_whitening": op11_whitening,
     "op12_alignment": op12_alignment,
 }
 
