@@ -15,6 +15,7 @@ from inkveil.llm import (
     quality,
     secrets,
     simhash,
+    spots,
     sql,
     tokencount,
     tokenfiles,
@@ -94,6 +95,11 @@ def op12_alignment(spark: SparkSession, d: str) -> DataFrame:
     return alignment.report(table(spark, d, "documents"), byte_bpe, piece_bpe)
 
 
+def op13_spots(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document: fingerprints of its text, edited and not, and how near they are."""
+    return spots.report(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -107,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": op10_token_counts,
     "op11_whitening": op11_whitening,
     "op12_alignment": op12_alignment,
+    "op13_spots": op13_spots,
 }
 
 ORACLES: dict[str, str] = {
