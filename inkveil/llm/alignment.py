@@ -145,6 +145,14 @@ def _blocks(a_ends: np.ndarray, b_ends: np.ndarray, both: np.ndarray) -> Iterato
         a_from, b_from = a_to, b_to
 
 
+def _common(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
+    """What two rising sequences have in common, each number once."""
+    if not len(a_ends) or not len(b_ends):
+        return a_ends[:0]
+    near = b_ends[np.minimum(np.searchsorted(b_ends, a_ends), len(b_ends) - 1)]
+    return a_ends[(near == a_ends) & (np.diff(a_ends, prepend=-1) > 0)]
+
+
 def align(a_sizes: np.ndarray, b_sizes: np.ndarray) -> Alignment:
     """Links and groups of tokens of these numbers of bytes; both sum to the same.
 
@@ -153,7 +161,7 @@ def align(a_sizes: np.ndarray, b_sizes: np.ndarray) -> Alignment:
     token before them.
     """
     a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
-    both = np.intersect1d(a_ends, b_ends)
+    both = _common(a_ends, b_ends)
     sizes, columns, values = ([np.zeros(0, np.int64)] for _ in range(3))
     for a_from, a_to, b_from, b_to in _blocks(a_ends, b_ends, both) if len(both) else ():
         b = incidence(b_sizes[b_from:b_to]).transposed()
@@ -189,6 +197,8 @@ class BytePairs:
         others = [c for c in range(256) if c not in set(plain)]
         stands = {chr(c): c for c in plain} | {chr(256 + k): c for k, c in enumerate(others)}
         assert set(stands) == set(pre_tokenizers.ByteLevel.alphabet())
+        if self.library.normalizer is not None:
+            raise ValueError("a byte-level tokenizer without a normaliser is needed")
         special = self.library.get_added_tokens_decoder()
         self.bytes = [b""] * self.library.get_vocab_size()
         for token, i in self.library.get_vocab().items():
@@ -210,7 +220,7 @@ class BytePairs:
         if longest > LONG_WORD or any(c * LONG_WORD in text for c in " \n\t"):
             found = self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
             return np.array(found, np.int64)
-        return np.array(self.quick.encode_ordinary(text), np.int64)
+        return self.quick.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
 
 
 class Pieces:
@@ -229,7 +239,8 @@ class Pieces:
                 self.bytes.append(piece.replace("▁", " ").encode())
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int64) for x in self.library.encode(texts, num_threads=1)]
+        found = self.library.encode(texts, num_threads=1)
+        return [np.fromiter(x, np.int64, len(x)) for x in found]
 
 
 class Aligner:
@@ -247,12 +258,12 @@ class Aligner:
         none = np.zeros(0, np.int64)
         for text, a, b in zip(some, self.a.encode(some), self.b.encode(some), strict=True):
             whole = (BytePairs.prefix + text).encode()
-            same = text and whole == self._joined(self.a, a) == self._joined(self.b, b)
-            yield (a, b) if same else (none, none)
-
-    @staticmethod
-    def _joined(side: BytePairs | Pieces, ids: np.ndarray) -> bytes:
-        return b"".join(map(side.bytes.__getitem__, ids.tolist()))
+            # byte-level tokens without a normaliser stand for the bytes they were cut from
+            same = text and self.a_sizes[a].sum() == len(whole)
+            if same and whole == b"".join(map(self.b.bytes.__getitem__, b.tolist())):
+                yield a, b
+            else:
+                yield none, none
 
     def align(self, a: np.ndarray, b: np.ndarray) -> Alignment:
         return align(self.a_sizes[a], self.b_sizes[b])
