@@ -1,4 +1,4 @@
-"""Detection of nominatives in blocks of text.
+"""Detection of nominatives in blocks of text.
 
 `detect` adds a column `found` (sorted, disjoint spans with the entry they belong to and
 their status) to a table of blocks. Three plans give the same result; the size of the
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkveil.functions import grammar, spans
+from inkveil.operators import literals
 from inkveil.operators.people import word_key
 
 DIRECT_ENTRIES = 8
@@ -29,7 +30,6 @@ INLINE_KEYS = 20_000
 INLINE_CHARS = 16_000_000
 BROADCAST_CHARS = 64_000_000
 SALTS = 16
-LITERAL_CHARS = 20_000
 
 Resolve = Callable[[Column, Column, Column], Column]
 
@@ -78,58 +78,6 @@ def choose(size: Measure) -> str:
     return "joined"
 
 
-def literal_alternatives(exprs: DataFrame) -> str | None:
-    """Kept expressions as one pattern, longer ones first, or None if their characters are
-    too many for one. The rule is the same either way: every occurrence of every
-    expression is kept; one that starts where a longer one does lies inside it."""
-    size = exprs.agg(F.coalesce(F.sum(F.length("expr")), F.lit(0))).first()[0]
-    if size > LITERAL_CHARS:
-        return None
-    literals = sorted({row["expr"] for row in exprs.select("expr").collect()})
-    literals.sort(key=len, reverse=True)
-    return "|".join("\\Q" + x.replace("\\E", "\\E\\\\E\\Q") + "\\E" for x in literals)
-
-
-def kept_literals(text: Column, alternatives: str) -> Column:
-    """O37 on one text."""
-    if not alternatives:
-        return spans.empty(spans.SPANS)
-    return spans.locate_literals(text, F.lit(alternatives))
-
-
-def kept_literals_joined(blocks: DataFrame, keys: list[str], exprs: DataFrame) -> DataFrame:
-    """O37 for long lists of expressions: `keys, kept`.
-
-    A text is looked up by the first characters of the expressions, as many as the
-    shortest one has, at the places where the first character of some expression stands.
-    """
-    sizes = exprs.agg(
-        F.min(F.length("expr")).alias("least"),
-        F.max(F.length("expr")).alias("most"),
-        # distinct characters: no more than the alphabet has
-        F.array_sort(F.collect_set(F.substring("expr", 1, 1))).alias("initials"),
-    ).first()
-    least, most = sizes["least"], sizes["most"]
-    heads = exprs.select(F.substring("expr", 1, least).alias("head"), "expr").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    places = (
-        blocks.filter(F.length("text") >= least)
-        .withColumn("start", F.explode(F.sequence(F.lit(0), F.length("text") - least)))
-        .filter(F.col("text").substr(F.col("start") + 1, F.lit(1)).isin(sizes["initials"]))
-        .select(*keys, "start", F.col("text").substr(F.col("start") + 1, F.lit(most)).alias("ahead"))
-        .withColumn("head", F.substring("ahead", 1, least))
-        .withColumn("salt", F.pmod(F.xxhash64(*keys, "start"), F.lit(SALTS)).cast("int"))
-    )
-    hits = places.join(heads, ["head", "salt"]).filter(F.col("ahead").startswith(F.col("expr")))
-    longest = hits.groupBy(*keys, "start").agg(
-        (F.col("start") + F.max(F.length("expr"))).alias("end")
-    )
-    return longest.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).cast(spans.SPANS).alias("kept")
-    )
-
-
 def gated_blocks(blocks: DataFrame, block_key: list[str]) -> DataFrame:
     """O22 for blocks stored in several pieces: one name-like piece opens the block."""
     open_blocks = blocks.filter(grammar.is_name_like(F.col("text"))).select(*block_key)
@@ -162,13 +110,12 @@ def detect(
 
     kept = spans.empty(spans.SPANS)
     if keep_exprs is not None:
-        alternatives = literal_alternatives(keep_exprs)
-        if alternatives is None:
-            listed = kept_literals_joined(blocks.filter(gate), keys, keep_exprs)
-            blocks = blocks.join(listed, keys, "left")
-            kept = F.coalesce("kept", kept)
+        chars = literals.chars_of(keep_exprs)
+        if literals.choose(chars) == "pattern":
+            kept = literals.by_pattern(text, literals.alternatives(keep_exprs))
         else:
-            kept = kept_literals(text, alternatives)
+            blocks = literals.with_kept(blocks, keys, text, keep_exprs, gate)
+            kept = F.coalesce("kept", kept)
 
     if plan == "direct":
         found = _direct(text, entries, kept, resolve, report_kept)

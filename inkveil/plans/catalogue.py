@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from inkveil.functions import grammar
 from inkveil.functions import pseudonyms as ids
-from inkveil.operators import assembly, protect, reports, rewrite
-from inkveil.operators import detect as detection
+from inkveil.operators import assembly, literals, protect, reports, rewrite
 from inkveil.operators import people as persons
 from inkveil.plans.pieces import (
     PieceRedaction,
@@ -404,8 +403,8 @@ def associations(spark: SparkSession, d: str) -> DataFrame:
 def protected_shift(spark: SparkSession, d: str) -> DataFrame:
     """Kept spans in the offsets of the redacted text."""
     blocks = note_job(spark, d).blocks
-    kept = detection.kept_literals(
-        F.col("text"), detection.literal_alternatives(_keep(spark, NOTE_KEEP))
+    kept = literals.by_pattern(
+        F.col("text"), literals.alternatives(_keep(spark, NOTE_KEEP))
     )
     return (
         blocks.withColumn("kept", kept)
@@ -580,19 +579,52 @@ def apostrophes(spark: SparkSession, d: str) -> DataFrame:
 NESTED_KEEP = ("The", "The of", "of the", "the", "e", "General Public License", "Public")
 
 
-def _nested(spark: SparkSession, d: str, joined: bool) -> DataFrame:
+def _nested(spark: SparkSession, d: str, plan: str) -> DataFrame:
     exprs = constant(spark, expr=list(NESTED_KEEP))
-    return protect.expression_spans(
-        document_lines(spark, d), ["doc_id", "block_idx"], exprs, joined
-    )
+    return protect.expression_spans(document_lines(spark, d), ["doc_id", "block_idx"], exprs, plan)
 
 
 def nested_keep_expressions(spark: SparkSession, d: str) -> DataFrame:
-    return _nested(spark, d, False)
+    return _nested(spark, d, "pattern")
+
+
+def nested_keep_expressions_held(spark: SparkSession, d: str) -> DataFrame:
+    return _nested(spark, d, "held")
 
 
 def nested_keep_expressions_joined(spark: SparkSession, d: str) -> DataFrame:
-    return _nested(spark, d, True)
+    return _nested(spark, d, "joined")
+
+
+LEAST_WORD = 4
+
+
+def word_expressions(spark: SparkSession, d: str) -> DataFrame:
+    """A list that grows with the data: all words of documents, signs and all."""
+    words = table(spark, d, "documents").select(F.explode(F.split("text", "[ \t\n\r]+")).alias("expr"))
+    return words.filter(F.length("expr") >= LEAST_WORD).distinct()
+
+
+def _word_keep(spark: SparkSession, d: str, plan: str | None) -> DataFrame:
+    """Kept words in the lines of documents, counted by line: how many, where the first and
+    last start, and the sum of their ends."""
+    found = protect.expression_spans(
+        document_lines(spark, d), ["doc_id", "block_idx"], word_expressions(spark, d), plan
+    )
+    return found.groupBy("doc_id", "block_idx").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("start").alias("first"),
+        F.max("start").alias("last"),
+        F.sum(F.col("end").cast("long") * (F.col("start") % 97 + 1)).alias("checksum"),
+    )
+
+
+def word_keep_expressions(spark: SparkSession, d: str) -> DataFrame:
+    return _word_keep(spark, d, None)
+
+
+def word_keep_expressions_joined(spark: SparkSession, d: str) -> DataFrame:
+    return _word_keep(spark, d, "joined")
 
 
 def frequency_report(spark: SparkSession, d: str) -> DataFrame:
@@ -633,7 +665,8 @@ def queries() -> dict[str, Query]:
         dictionary_spans, dictionary_spans_joined, lettered_ids, dictionary_redacted,
         name_keys, hash_ids, segment_stats, turn_blocks, segment_remap, segment_text,
         apostrophes, many_names, many_names_inline, many_names_joined, nested_keep_expressions,
-        nested_keep_expressions_joined, frequency_report, association_report,
+        nested_keep_expressions_held, nested_keep_expressions_joined, word_keep_expressions,
+        word_keep_expressions_joined, frequency_report, association_report,
         page_nodes, page_blocks, package_tags, package_blocks, package_redacted,
     )
     named = {query.__name__: query for query in listed}

@@ -495,6 +495,27 @@ FROM (
 ) WHERE substr(text, p + 1, length(expr)) = expr GROUP BY doc_id, block_idx, p"""
 
 
+# each window of a line that has the length of a word, looked up among the words
+_WORD_KEEP = f"""
+WITH {_LINES.strip()},
+word AS (
+  SELECT DISTINCT w FROM (
+    SELECT unnest(string_split_regex(text, '[ \t\n\r]+')) AS w FROM documents)
+  WHERE length(w) >= 4
+),
+line AS (SELECT text, length(text) AS n FROM lines GROUP BY text),
+place AS (SELECT text, n, unnest(range(0, n)) AS p FROM line),
+hit AS (
+  SELECT text, p, max(size) AS size FROM (
+    SELECT text, p, size, substr(text, p + 1, size) AS piece
+    FROM place, (SELECT DISTINCT length(w) AS size FROM word) WHERE p + size <= n
+  ) SEMI JOIN word ON piece = w GROUP BY text, p
+)
+SELECT doc_id, block_idx, count(*) AS n, CAST(min(p) AS INTEGER) AS first,
+  CAST(max(p) AS INTEGER) AS last, CAST(sum((p + size) * (p % 97 + 1)) AS BIGINT) AS checksum
+FROM lines JOIN hit USING (text) GROUP BY doc_id, block_idx"""
+
+
 _APOSTROPHES = """
 WITH person AS (
   SELECT row_number() OVER (ORDER BY name) AS entry_id, *
@@ -653,7 +674,10 @@ FROM place WHERE kind = 6 AND l = 'Anvil'""",
         "many_names_inline": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
         "many_names_joined": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
         "nested_keep_expressions": _with(_LINES, _NESTED),
+        "nested_keep_expressions_held": _with(_LINES, _NESTED),
         "nested_keep_expressions_joined": _with(_LINES, _NESTED),
+        "word_keep_expressions": _WORD_KEEP,
+        "word_keep_expressions_joined": _WORD_KEEP,
         "frequency_report": _report(
             "FREQUENCIES",
             "plain_name",

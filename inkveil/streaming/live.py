@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from inkveil.operators import detect as detection
-from inkveil.operators import rewrite
+from inkveil.operators import literals, rewrite
 
 
 def redact_stream(
@@ -27,7 +27,7 @@ def redact_stream(
         raise ValueError("lettered IDs need the whole corpus")
     if detection.choose(detection.measure(entries)) == "joined":
         raise ValueError("the list is too long for a stream; redact it in batches")
-    if keep_exprs is not None and detection.literal_alternatives(keep_exprs) is None:
+    if keep_exprs is not None and literals.choose(literals.chars_of(keep_exprs)) == "joined":
         raise ValueError("the keep list is too long for a stream; redact it in batches")
     found = detection.detect(blocks, keys, entries, keep_exprs)
     return rewrite.redacted(rewrite.with_edits(found, scheme, salt)).drop("found", "edits")

@@ -1,11 +1,14 @@
 import random
 
 import model
+import numpy as np
 import pytest
-from inkveil.operators import detect, protect, rewrite
+from inkveil.functions import windows
+from inkveil.operators import detect, literals, protect, rewrite
 from inkveil.operators import people as persons
 from inkveil.plans.redaction import redact
 from inkveil.sources import lists
+from pyspark.sql import functions as F
 
 PLANS = ["direct", "inline", "joined"]
 VOCABULARY = [
@@ -17,6 +20,7 @@ PEOPLE = [
     "Mario:Luca;Rossi", "Anna;Luca", "Luca;Verdi", "Èva;De Rossi", "Verdi;de Luca", "Anna;D'Uva",
     "Sindaco;La", "Rossi;Èva", "Mario;Mario", "Nico';Uva",
 ]
+NESTED = ["Rossi, Mario", "il", "Al Sindaco", "a. ", "Mar", "Mario", "Mario Rossi", "Rossi Luca"]
 KEEP = ["Al Sindaco", "Verdi", "Rossi, Mario"]
 
 
@@ -134,24 +138,37 @@ def test_protected_tables(spark, lines, blocks):
 NESTED = ["Rossi, Mario", "il", "Al Sindaco", "a. ", "Mar", "Mario", "Mario Rossi", "Rossi Luca"]
 
 
-@pytest.mark.parametrize("limit", [10, 20_000])
-def test_keep_rule_is_the_same_for_all_sizes(spark, blocks, monkeypatch, limit):
-    some = blocks(*texts(300, 15), "see Mario Rossi Luca here", "il")
-    table = spark.createDataFrame([(e,) for e in NESTED], "expr string")
-    monkeypatch.setattr(detect, "LITERAL_CHARS", limit)
-    assert (detect.literal_alternatives(table) is None) == (limit == 10)
-    kept = protect.expression_spans(some, ["doc_id"], table)
+KEEP_PLANS = ["pattern", "held", "joined"]
+
+
+@pytest.fixture
+def limits(monkeypatch):
+    def set_to(plan):
+        monkeypatch.setattr(literals, "LITERAL_CHARS", 20_000 if plan == "pattern" else 1)
+        monkeypatch.setattr(literals, "HELD_CHARS", 1 if plan == "joined" else 20_000)
+        assert literals.choose(1000) == plan
+
+    return set_to
+
+
+@pytest.mark.parametrize("plan", [None, *KEEP_PLANS])
+def test_keep_rule_is_the_same_for_all_sizes(spark, blocks, plan):
+    odd = ["see Mario Rossi Luca here", "il", "", None, "\U0001f600 il \U0001f600\U0001f600il", "Rossi Luca" * 500]
+    some = blocks(*texts(300, 15), *odd)
+    table = spark.createDataFrame([(e,) for e in [*NESTED, "\U0001f600i", ""]], "expr string")
+    kept = protect.expression_spans(some, ["doc_id"], table.filter("expr <> ''"), plan)
     got = {}
     for r in kept.collect():
         got.setdefault(r.doc_id, set()).add((r.start, r.end))
     for row in some.collect():
-        assert got.get(row.doc_id, set()) == set(model.literals(row.text, NESTED)), row.text
+        want = set(model.literals(row.text or "", [*NESTED, "\U0001f600i"]))
+        assert got.get(row.doc_id, set()) == want, row.text
 
 
-@pytest.mark.parametrize("limit", [10, 20_000])
+@pytest.mark.parametrize("keep_plan", KEEP_PLANS)
 @pytest.mark.parametrize("plan", PLANS)
-def test_longer_expression_protects(spark, lines, blocks, monkeypatch, plan, limit):
-    monkeypatch.setattr(detect, "LITERAL_CHARS", limit)
+def test_longer_expression_protects(spark, lines, blocks, limits, plan, keep_plan):
+    limits(keep_plan)
     exprs = spark.createDataFrame([("Mario",), ("Mario Rossi Bianchi",)], "expr string")
     entries = persons.entries(lists.parse_people(lines("Rossi;Bianchi")))
     some = blocks("see Mario Rossi Bianchi here", "see Rossi Bianchi here")
@@ -160,6 +177,47 @@ def test_longer_expression_protects(spark, lines, blocks, monkeypatch, plan, lim
     assert as_tuples(found[1].found) == [(4, 17, 1, "replaced")]
 
 
+def test_hundred_thousand_expressions(spark, blocks):
+    rng = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    exprs = {"".join(rng.choices(letters, k=rng.randint(5, 40))) for _ in range(100_000)}
+    known = rng.sample(sorted(exprs), 3000)
+    some = blocks(
+        *["".join(rng.choices(letters, k=80)) + rng.choice(known) + "zz" + rng.choice(known)[:-1] for _ in range(2000)]
+    )
+    table = spark.createDataFrame([(e,) for e in exprs], "expr string").repartition(4)
+    by_plan = {
+        plan: sorted(map(tuple, protect.expression_spans(some, ["doc_id"], table, plan).collect()))
+        for plan in ("held", "joined")
+    }
+    sizes = {len(e) for e in exprs}
+    want = set()
+    for row in some.collect():
+        for i in range(len(row.text)):
+            fit = [n for n in sizes if row.text[i : i + n] in exprs and i + n <= len(row.text)]
+            if fit:
+                want.add((row.doc_id, i, i + max(fit)))
+    assert by_plan["held"] == by_plan["joined"] == sorted(want)
+    assert len(want) >= 2000
+    assert literals.candidates(some, ["doc_id"], table).count() < 2 * len(want)
+
+
+def test_held_list_does_not_shuffle(spark, blocks):
+    table = spark.createDataFrame([(e,) for e in NESTED], "expr string")
+    kept = literals.with_kept(blocks("a"), ["doc_id"], F.col("text"), table, plan="held")
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    # windows of one length all have one hash: only the characters tell
+    monkeypatch.setattr(
+        windows.Sums, "windows", lambda self, at, length: np.zeros(len(at), np.uint64) + np.uint64(1)
+    )
+    some = windows.Literals.of(["abcd", "abce", "bc", "wxyz", "x"])
+    batch = windows.Batch(["abcdwxyz", "abc", None, "abce"])
+    assert some.longest(batch).tolist() == [4, 2, 0, 0, 4, 1, 0, 0, 0, 2, 0, 4, 2, 0, 0]
+
+
 @pytest.mark.parametrize("plan", PLANS)
 def test_names_are_used_once(spark, lines, blocks, plan):
     names = ["Aa", "Bb", "Cc", "Dd", "Ee", "Ff", "Gg", "Hh", "Ii", "Jj"]
