@@ -168,16 +168,25 @@ def resolve(
     kept: Column,
     rule: str = "overlap",
     report_kept: bool = False,
+    known: list[dict] | None = None,
 ) -> Column:
     """Apply entries in order, each leftmost first, on text not yet replaced.
 
     `entries` is an array of `struct<ord, keep, pattern, mark>` sorted by `ord`; `mark`
     is a dictionary name for the common pattern, else null. Entries with `keep` only add to the kept spans and must come first. The result holds the spans
     found, sorted by start, with status `replaced` or `protected`; with `report_kept`
-    also those of kept entries, as `kept`.
+    also those of kept entries, as `kept`. `known` lists all entries there can be, if they are
+    few: their patterns then are constants of the plan, compiled once.
     """
 
     def matches(some_text: Column, entry: Column) -> Column:
+        if known:
+            chosen = F
+            for row in known:
+                chosen = chosen.when(
+                    entry["ord"] == row["ord"], locate(some_text, F.lit(row["pattern"]))
+                )
+            return chosen
         by_mark = locate(
             grammar.mark_name(some_text, entry["mark"]), F.lit(grammar.MARKED_NAME)
         )

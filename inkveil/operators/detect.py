@@ -30,8 +30,11 @@ INLINE_KEYS = 20_000
 INLINE_CHARS = 16_000_000
 BROADCAST_CHARS = 64_000_000
 SALTS = 16
+# bits of the filter of keys for each key, and 64-bit words of it at most (1 MB in the plan)
+KEY_BITS = 16
+KEY_WORDS = 1 << 17
 
-Resolve = Callable[[Column, Column, Column], Column]
+Resolve = Callable[..., Column]
 
 _ENTRY = "struct<ord:bigint,keep:boolean,pattern:string,mark:string>"
 _FIELDS = ("ord", "keep", "pattern", "mark")
@@ -98,8 +101,10 @@ def detect(
     """Blocks (`keys`, unique, and `text`) with `found`; blocks that fail the gate have
     none. `gate` replaces the test of the text itself, e.g. for pieces of blocks."""
 
-    def resolve(some_text: Column, some_entries: Column, kept_here: Column) -> Column:
-        return spans.resolve(some_text, some_entries, kept_here, rule, report_kept)
+    def resolve(
+        some_text: Column, some_entries: Column, kept_here: Column, known: list | None = None
+    ) -> Column:
+        return spans.resolve(some_text, some_entries, kept_here, rule, report_kept, known)
 
     text = spans.searchable(F.col("text"))
     gate = grammar.is_name_like(text) if gate is None else gate
@@ -143,14 +148,14 @@ def _direct(
         key=lambda r: r["ord"],
     )
     anchors = "|".join(r["anchor"] for r in rows if report_kept or not r["keep"])
-    listed = _literal(
-        [{k: r[k] for k in _FIELDS} for r in rows], f"array<{_ENTRY}>"
-    )
     if not anchors:
         return spans.empty(spans.FOUND)
+    listed = _literal([{k: r[k] for k in _FIELDS} for r in rows], f"array<{_ENTRY}>")
+    # a longer list, taken this way on request, is not spelt out
+    few = len(rows) <= DIRECT_ENTRIES and not any(r["mark"] for r in rows)
     return F.when(
         text.rlike(f"{grammar.NOT_AFTER_LETTER}(?:{anchors}){grammar.NOT_BEFORE_LETTER}"),
-        spans.bind(kept, lambda k: resolve(text, listed, k)),
+        spans.bind(kept, lambda k: resolve(text, listed, k, rows if few else None)),
     ).otherwise(spans.empty(spans.FOUND))
 
 
@@ -218,19 +223,10 @@ def _inline(
         )
         return F.sort_array(F.array_distinct(hits))
 
-    def search(parts: Column, stretch: Column, place: Column, kept_here: Column) -> Column:
-        start = F.aggregate(
-            F.slice(parts, 1, place), F.lit(0), lambda acc, part: acc + F.length(part)
-        )
-
+    def search(stretch: Column, start: Column, kept_here: Column) -> Column:
         def found_in(some_entries: Column) -> Column:
-            return spans.bind(
-                start,
-                lambda at: spans.shift(
-                    resolve(stretch, some_entries, _within(kept_here, at, F.length(stretch))),
-                    at,
-                ),
-            )
+            inside = _within(kept_here, start, F.length(stretch))
+            return spans.shift(resolve(stretch, some_entries, inside), start)
 
         return spans.bind(
             candidates(keys_of(stretch, size.widths)),
@@ -238,22 +234,67 @@ def _inline(
         )
 
     def search_all(kept_here: Column) -> Column:
-        return spans.bind(
-            spans.parts_of(text, F.lit(size.stretch)),
-            lambda parts: F.flatten(
+        def in_parts(parts: Column, starts: Column) -> Column:
+            # every other part is a stretch
+            places = F.filter(
+                F.sequence(F.lit(0), F.size(parts) - 1), lambda i: i % 2 == 1
+            )
+            return F.flatten(
                 F.transform(
-                    parts,
-                    # every other part is a stretch
-                    lambda part, i: F.when(
-                        i % 2 == 1, search(parts, part, i, kept_here)
-                    ).otherwise(spans.empty(spans.FOUND)),
+                    places, lambda i: search(F.get(parts, i), F.get(starts, i), kept_here)
                 )
+            )
+
+        return spans.bind(
+            spans.parts_of(text, F.lit(size.stretch)),
+            lambda parts: spans.bind(
+                spans.running(F.transform(parts, F.length)),
+                lambda starts: in_parts(parts, starts),
             ),
         )
 
     return spans.bind(kept, search_all)
 
 
+def _probes(key: Column, bits: int) -> list[Column]:
+    """Two places of a filter of `bits` bits for a key."""
+    hashed = F.xxhash64(key)
+    return [F.pmod(x, F.lit(bits)) for x in (hashed, F.shiftright(hashed, 27))]
+
+
+def key_filter(entries: DataFrame, keys: int) -> Callable[[Column], Column]:
+    """A test whether a key can be one of the list's; it never fails one that is.
+
+    The bits are a constant of the plan. A list with more keys than they can tell apart lets
+    more keys through, which the join then finds to be none."""
+    words = 1
+    while words * 64 < keys * KEY_BITS and words < KEY_WORDS:
+        words *= 2
+    places = F.explode(F.array(*_probes(F.col("key"), words * 64))).alias("bit")
+    set_ = entries.select(F.explode("keys").alias("key")).select(places)
+    one = F.lit(1).cast("long")
+    mark = F.call_function("shiftleft", one, F.pmod("bit", F.lit(64)).cast("int"))
+    rows = (
+        set_.groupBy(F.floor(F.col("bit") / 64).cast("int").alias("at"))
+        .agg(F.bit_or(mark).alias("word"))
+        .collect()
+    )
+    table = [0] * words
+    for row in rows:
+        table[row["at"]] = row["word"]
+    bits = _literal(table, "array<bigint>")
+
+    def known(key: Column) -> Column:
+        def is_set(place: Column) -> Column:
+            word = F.get(bits, F.shiftright(place, 6).cast("int"))
+            return F.call_function("getbit", word, F.pmod(place, F.lit(64)).cast("int")) == 1
+
+        first, second = _probes(key, words * 64)
+        return is_set(first) & is_set(second)
+
+    return known
+
+
 def _joined(
     blocks: DataFrame,
     keys: list[str],
@@ -266,8 +307,9 @@ def _joined(
 ) -> DataFrame:
     gate = F.coalesce(gate, F.lit(False))
     gated = blocks.filter(gate)
-    # narrow rows: where a stretch lies and one of its keys; outer explodes, as a plain one
-    # would make Spark evaluate its input twice
+    known = key_filter(entries, size.keys)
+    # narrow rows: where a stretch lies and one of its keys, if the list can have it; outer
+    # explodes, as a plain one would make Spark evaluate its input twice
     parts = (
         gated.select(*keys, F.explode_outer(stretches(text, size.stretch)).alias("s"))
         .filter("s is not null")
@@ -275,7 +317,7 @@ def _joined(
             *keys,
             "s.start",
             F.length("s.text").alias("chars"),
-            F.explode_outer(keys_of(F.col("s.text"), size.widths)).alias("key"),
+            F.explode_outer(F.filter(keys_of(F.col("s.text"), size.widths), known)).alias("key"),
         )
         .filter("key is not null")
     )

@@ -429,6 +429,41 @@ def dictionary_spans_joined(spark: SparkSession, d: str) -> DataFrame:
     return dictionary_job(spark, d, plan="joined").audit().drop("status")
 
 
+def word_dictionary(spark: SparkSession, d: str) -> DataFrame:
+    """A dictionary that grows with the data: the first and last words of part names, then all
+    other plain words of documents."""
+    parts = table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("w"))
+    texts = table(spark, d, "documents").select(F.explode(F.split("text", "[ \t\n\r]+")).alias("w"))
+    plain = F.concat(F.upper(F.substring("w", 1, 1)), F.lower(F.substring("w", 2, 1 << 30)))
+    both = parts.select("w", F.lit(0).alias("source")).unionByName(
+        texts.select("w", F.lit(1).alias("source"))
+    )
+    first = (
+        both.filter(F.col("w").rlike("^[A-Za-z]{2,}$"))
+        .groupBy(plain.alias("line"))
+        .agg(F.min("source").alias("source"))
+        .withColumn("_head", F.substring("line", 1, 2))
+    )
+    return lists.parse_dictionary(
+        lists.number_rows(first, ["source", "_head"], "line", "line_no").select("line_no", "line")
+    )
+
+
+def word_dictionary_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Notes searched with the dictionary that grows; its size chooses the plan."""
+    job = redact(notes(spark, d), ["note_id"], dictionary=word_dictionary(spark, d))
+    return job.audit().drop("status")
+
+
+def word_dictionary_size(spark: SparkSession, d: str) -> DataFrame:
+    """How many names of each first letter that dictionary has, and the sum of their numbers."""
+    return (
+        word_dictionary(spark, d)
+        .groupBy(F.substring("name", 1, 1).alias("letter"))
+        .agg(F.count(F.lit(1)).alias("names"), F.sum("dict_id").alias("numbers"))
+    )
+
+
 def lettered_ids(spark: SparkSession, d: str) -> DataFrame:
     return dictionary_job(spark, d).ids()
 
@@ -662,7 +697,8 @@ def queries() -> dict[str, Query]:
         people_variants_homonym, person_forms, keep_expressions, name_dictionary,
         protected_spans, spans_after_keep, match_audit, match_audit_joined,
         notes_redacted, name_frequencies, associations, protected_shift,
-        dictionary_spans, dictionary_spans_joined, lettered_ids, dictionary_redacted,
+        dictionary_spans, dictionary_spans_joined, word_dictionary_size, word_dictionary_spans,
+        lettered_ids, dictionary_redacted,
         name_keys, hash_ids, segment_stats, turn_blocks, segment_remap, segment_text,
         apostrophes, many_names, many_names_inline, many_names_joined, nested_keep_expressions,
         nested_keep_expressions_held, nested_keep_expressions_joined, word_keep_expressions,

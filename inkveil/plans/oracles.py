@@ -311,6 +311,27 @@ lettered AS (
   FROM owner
 )"""
 
+# all names are listed, so any nominative is found whole, by its name of least number
+_WORD_DICTIONARY = f"""
+{_NOTES},
+word AS (
+  SELECT unnest(string_split(p_name, ' ')) AS w, 0 AS source FROM part
+  UNION ALL SELECT unnest(string_split_regex(text, '[ \t\n\r]+')), 1 FROM documents
+),
+dict AS (
+  SELECT row_number() OVER (ORDER BY source, name) AS dict_id, name FROM (
+    SELECT {_cap('w')} AS name, min(source) AS source FROM word
+    WHERE regexp_full_match(w, '[A-Za-z]{{2,}}') GROUP BY 1
+  )
+),
+named AS (
+  SELECT note_id, spot, said, min(dict_id) AS entry_id FROM (
+    SELECT note_id, spot, said, unnest(string_split_regex(said, ' +')) AS w FROM place
+    WHERE kind <> 4
+  ) JOIN dict ON name = {_cap('w')} AND substr(w, 1, 1) = substr(name, 1, 1)
+  GROUP BY note_id, spot, said
+)"""
+
 # --- conversations ----------------------------------------------------------------------
 
 _TURN_NODES = """
@@ -714,6 +735,16 @@ FROM (
         ),
         "dictionary_spans": dictionary_spans,
         "dictionary_spans_joined": dictionary_spans,
+        "word_dictionary_spans": _with(
+            _WORD_DICTIONARY,
+            'SELECT note_id, CAST(spot AS INTEGER) AS start, CAST(spot + length(said) AS INTEGER) '
+            'AS "end", said AS matched, entry_id FROM named',
+        ),
+        "word_dictionary_size": _with(
+            _WORD_DICTIONARY,
+            "SELECT substr(name, 1, 1) AS letter, count(*) AS names, "
+            "CAST(sum(dict_id) AS BIGINT) AS numbers FROM dict GROUP BY 1",
+        ),
         "lettered_ids": _with(
             _DICTIONARY, "SELECT name_key, dict_id, pseudonym FROM lettered"
         ),
