@@ -129,22 +129,40 @@ def locate_literals(text: Column, alternatives: Column) -> Column:
             F.length(gap).alias("step"), F.coalesce(F.length(hit), F.lit(0)).alias("len")
         ),
     )
-    start = F.struct(F.lit(-1).alias("pos"), empty(SPANS).alias("out"))
-
-    def add(state: Column, place: Column) -> Column:
-        begin = state["pos"] + place["step"]
-        span = F.struct(begin.alias("start"), (begin + place["len"]).alias("end"))
-        return F.struct(
-            begin.alias("pos"),
-            F.when(place["len"] > 0, F.concat(state["out"], F.array(span)))
-            .otherwise(state["out"])
-            .alias("out"),
+
+    def lay_out(some: Column) -> Column:
+        return bind(
+            running(F.transform(some, lambda p: p["step"])),
+            lambda before: F.filter(
+                F.transform(some, lambda p, i: _span(F.get(before, i) + p["step"] - 1, p["len"])),
+                lambda s: s["end"] > s["start"],
+            ),
         )
 
+    return F.when(F.rlike(text, alternatives), bind(places, lay_out)).otherwise(empty(SPANS))
+
+
+def _span(start: Column, length: Column) -> Column:
+    return F.struct(start.alias("start"), (start + length).alias("end"))
+
+
+# Sorted arrays of more elements are searched by halving.
+SHORT = 16
+
+
+def rank(values: Column, limit: Column) -> Column:
+    """How many of the sorted `values` are below `limit`."""
+    halving = F.aggregate(
+        F.lit([1 << k for k in reversed(range(31))]),
+        F.lit(0),
+        lambda done, step: F.when(
+            # beyond the end there is null
+            (step <= F.size(values) - done) & (F.get(values, done + step - 1) < limit), done + step
+        ).otherwise(done),
+    )
     return F.when(
-        F.rlike(text, alternatives),
-        F.aggregate(places, start, add, lambda state: state["out"]),
-    ).otherwise(empty(SPANS))
+        F.size(values) <= SHORT, F.size(F.filter(values, lambda v: v < limit))
+    ).otherwise(halving)
 
 
 def touches(span: Column, kept: Column, rule: str = "overlap") -> Column:
@@ -255,6 +273,15 @@ def resolve(
     return F.when(alone, judged(matches(text, first), first, kept)).otherwise(in_turn)
 
 
+def with_shadowed(found: Column, every: Column) -> Column:
+    """`found` and those of `every` match on the untouched text that touch text replaced for an
+    entry before theirs, as `shadowed`."""
+    won = lambda w, m: (w["status"] == "replaced") & (w["ord"] < m["ord"])
+    lost = F.filter(every, lambda m: F.exists(found, lambda w: won(w, m) & touches(m, w)))
+    told = F.transform(lost, lambda m: m.withField("status", F.lit("shadowed")))
+    return F.sort_array(F.concat(found, told))
+
+
 def shift(spans: Column, by: Column) -> Column:
     return F.transform(
         spans,
@@ -263,7 +290,7 @@ def shift(spans: Column, by: Column) -> Column:
 
 
 def cuts(text: Column, some_spans: Column) -> Column:
-    """The texts of sorted spans. Code points are counted from the start of a text, so many
+    """The texts of spans, sorted by start. Code points are counted from the start of a text, so many
     spans are cut from stretches of the text that hold FOLDED of them each."""
 
     def plain(some_text: Column, some: Column, base: Column) -> Column:
@@ -272,7 +299,7 @@ def cuts(text: Column, some_spans: Column) -> Column:
         )
 
     def stretch(whole: Column, part: Column) -> Column:
-        first, last = F.get(part, 0)["start"], F.get(part, F.size(part) - 1)["end"]
+        first, last = F.get(part, 0)["start"], F.array_max(F.transform(part, lambda s: s["end"]))
         return bind(
             first,
             lambda base: bind(
@@ -327,38 +354,82 @@ def rebuild(text: Column, edits: Column) -> Column:
     return F.when(F.size(edits) == 0, text).otherwise(bind(edits, put_in))
 
 
+def moves(edits: Column) -> Column:
+    """`struct<start, end, before, gain>` of sorted, disjoint edits: by how much each changes the
+    length, and all those before it together."""
+
+    def told(some: Column) -> Column:
+        gain = lambda e: F.length(e["replacement"]) - (e["end"] - e["start"])
+        return bind(
+            running(F.transform(some, gain)),
+            lambda before: F.transform(
+                some,
+                lambda e, i: F.struct(
+                    e["start"].alias("start"),
+                    e["end"].alias("end"),
+                    F.get(before, i).alias("before"),
+                    gain(e).alias("gain"),
+                ),
+            ),
+        )
+
+    return bind(edits, told)
+
+
 def remap(segments: Column, edits: Column) -> Column:
     """New offsets of the segments of a block after the edits.
 
     The replacement goes whole into the segment where the match starts; segments lose
-    the part of a match they held.
+    the part of a match they held. A bound of a segment moves by the edits that start before
+    it, less what the last of them still covers behind it, so each is a search in the edits.
     """
 
-    def new_length(seg: Column) -> Column:
-        def change(acc: Column, e: Column) -> Column:
-            lost = F.greatest(
-                F.least(seg["to"], e["end"]) - F.greatest(seg["from"], e["start"]), F.lit(0)
-            )
-            begins = (e["start"] >= seg["from"]) & (e["start"] < seg["to"])
-            gained = F.when(begins, F.length(e["replacement"])).otherwise(0)
-            return acc - lost + gained
+    def moved(x: Column, some: Column, starts: Column) -> Column:
+        return bind(
+            rank(starts, x),
+            lambda n: F.when(n == 0, x).otherwise(
+                bind(
+                    F.get(some, n - 1),
+                    lambda e: x + e["before"] + e["gain"] + F.greatest(e["end"] - x, F.lit(0)),
+                )
+            ),
+        )
 
-        return F.aggregate(edits, seg["to"] - seg["from"], change)
+    def placed(some: Column, starts: Column) -> Column:
+        return F.transform(
+            segments,
+            lambda s: s.withField("from", moved(s["from"], some, starts)).withField(
+                "to", moved(s["to"], some, starts)
+            ),
+        )
 
-    sized = F.transform(segments, lambda s: s.withField("to", new_length(s)))
-    start = F.struct(
-        F.coalesce(F.get(segments, 0)["from"], F.lit(0)).alias("pos"),
-        F.filter(segments, lambda s: F.lit(False)).alias("out"),
+    return bind(
+        moves(edits),
+        lambda some: bind(
+            F.transform(some, lambda e: e["start"]), lambda starts: placed(some, starts)
+        ),
     )
-    return F.aggregate(
-        sized,
-        start,
-        lambda acc, s: F.struct(
-            (acc["pos"] + s["to"]).alias("pos"),
-            F.concat(
-                acc["out"],
-                F.array(s.withField("from", acc["pos"]).withField("to", acc["pos"] + s["to"])),
-            ).alias("out"),
+
+
+def shifted(kept: Column, edits: Column) -> Column:
+    """Spans in the offsets of the rewritten text: each moves by the change in length of
+    the edits before it."""
+
+    def moved(k: Column, some: Column, starts: Column) -> Column:
+        return bind(
+            bind(
+                rank(starts, k["start"]),
+                lambda n: F.when(n == 0, F.lit(0)).otherwise(
+                    F.get(some, n - 1)["before"] + F.get(some, n - 1)["gain"]
+                ),
+            ),
+            lambda move: k.withField("start", k["start"] + move).withField("end", k["end"] + move),
+        )
+
+    return bind(
+        moves(edits),
+        lambda some: bind(
+            F.transform(some, lambda e: e["start"]),
+            lambda starts: F.transform(kept, lambda k: moved(k, some, starts)),
         ),
-        lambda acc: acc["out"],
     )

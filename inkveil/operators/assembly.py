@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkveil.functions import spans
 from inkveil.functions.grammar import OPEN_END
 
 NODES_PER_CHUNK = 16_384
@@ -341,26 +342,23 @@ def blocks_in_row(docs: DataFrame, doc_key: list[str], nodes: Column) -> DataFra
     )
     exploded = docs.select(*doc_key, F.posexplode(blocks).alias("block_idx", "_marked"))
     parts = F.slice(F.split("_marked", _NODE_MARK, -1), 2, 1 << 30)
-    start = F.struct(
-        F.lit(0).alias("pos"),
-        F.array().cast("array<struct<seg_idx:int,from:int,to:int>>").alias("out"),
-    )
 
-    def add(state: Column, part: Column) -> Column:
-        end = state["pos"] + F.length(part)
-        segment = F.struct(
-            F.size(state["out"]).alias("seg_idx"),
-            state["pos"].alias("from"),
-            end.alias("to"),
-        )
-        return F.struct(
-            end.alias("pos"), F.concat(state["out"], F.array(segment)).alias("out")
+    def segments(some: Column) -> Column:
+        return spans.bind(
+            spans.running(F.transform(some, F.length)),
+            lambda before: F.transform(
+                some,
+                lambda part, i: F.struct(
+                    i.alias("seg_idx"),
+                    F.get(before, i).alias("from"),
+                    (F.get(before, i) + F.length(part)).alias("to"),
+                ),
+            ),
         )
 
     return exploded.select(
         *doc_key,
         "block_idx",
         F.regexp_replace("_marked", _NODE_MARK, "").alias("text"),
-        F.aggregate(parts, start, add, lambda s: s["out"]).alias("segments"),
+        spans.bind(parts, segments).alias("segments"),
     )
-

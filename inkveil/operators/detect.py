@@ -97,9 +97,12 @@ def detect(
     rule: str = "overlap",
     plan: str | None = None,
     report_kept: bool = False,
+    report_shadowed: bool = False,
 ) -> DataFrame:
     """Blocks (`keys`, unique, and `text`) with `found`; blocks that fail the gate have
-    none. `gate` replaces the test of the text itself, e.g. for pieces of blocks."""
+    none. `gate` replaces the test of the text itself, e.g. for pieces of blocks.
+    `report_kept` also tells the spans of kept entries, `report_shadowed` those that an entry
+    before took the text from; for these the list is looked for a second time, as if kept."""
 
     def resolve(
         some_text: Column, some_entries: Column, kept_here: Column, known: list | None = None
@@ -132,7 +135,21 @@ def detect(
         out = _joined(blocks, keys, text, entries, size, kept, gate, resolve)
     else:
         raise ValueError(f"unknown plan {plan!r}")
-    return out.drop("kept")
+    out = out.drop("kept")
+    if not report_shadowed:
+        return out
+    listed = entries.filter(~F.col("keep")).withColumn("keep", F.lit(True))
+    every = detect(
+        out.withColumnRenamed("found", "_found"),
+        keys,
+        listed,
+        gate=gate,
+        plan=plan,
+        report_kept=True,
+    )
+    return every.withColumn(
+        "found", spans.with_shadowed(F.col("_found"), F.col("found"))
+    ).drop("_found")
 
 
 def _literal(rows: list[dict] | list, kind: str) -> Column:

@@ -89,19 +89,63 @@ def unfold(blocks: DataFrame, keys: list[str], spans_column: str) -> DataFrame:
 
 def audit(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """Every span found, with its text and status."""
-    told = F.transform(
-        "found",
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            matched(F.col("text"), s).alias("matched"),
-            s["ord"].alias("entry_id"),
-            s["status"].alias("status"),
+    told = spans.bind(
+        F.col("found"),
+        lambda some: F.zip_with(
+            some,
+            spans.cuts(F.col("text"), some),
+            lambda s, part: F.struct(
+                s["start"].alias("start"),
+                s["end"].alias("end"),
+                part.alias("matched"),
+                s["ord"].alias("entry_id"),
+                s["status"].alias("status"),
+            ),
         ),
     )
     return unfold(blocks.select(*keys, told.alias("told")), keys, "told").select(*keys, "s.*")
 
 
+def full_audit(blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """Every span found, with one of four statuses and what became of it.
+
+    `replaced` and `protected` are as in `audit`. A replaced span of a block with `segments`
+    that starts in none of them is an `orphan`: it has no place to be written back to. Blocks
+    searched with `report_shadowed` also tell the `shadowed` ones, and `beaten_by` names the
+    entry whose replacement each of them touches, the first in the list if there are several.
+    """
+    won = lambda some: F.filter(some, lambda s: s["status"] == "replaced")
+    with_segments = "segments" in blocks.columns
+
+    def homeless(s: Column) -> Column:
+        if not with_segments:
+            return F.lit(False)
+        return ~F.exists(
+            F.col("segments"), lambda g: (s["start"] >= g["from"]) & (s["start"] < g["to"])
+        )
+
+    def told(some: Column, winners: Column) -> Column:
+        def row(s: Column, part: Column) -> Column:
+            rivals = F.filter(winners, lambda w: spans.touches(s, w))
+            beaten = F.array_min(F.transform(rivals, lambda w: w["ord"]))
+            orphan = (s["status"] == "replaced") & homeless(s)
+            return F.struct(
+                s["start"].alias("start"),
+                s["end"].alias("end"),
+                part.alias("matched"),
+                s["ord"].alias("entry_id"),
+                F.when(orphan, F.lit("orphan")).otherwise(s["status"]).alias("status"),
+                F.when(s["status"] == "shadowed", beaten).alias("beaten_by"),
+            )
+
+        return F.zip_with(some, spans.cuts(F.col("text"), some), row)
+
+    rows = spans.bind(
+        F.col("found"), lambda some: spans.bind(won(some), lambda w: told(some, w))
+    )
+    return unfold(blocks.select(*keys, rows.alias("told")), keys, "told").select(*keys, "s.*")
+
+
 def edit_rows(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """One row per replaced span."""
     return (
@@ -139,12 +183,14 @@ def segment_rows(blocks: DataFrame, keys: list[str], *node: str) -> DataFrame:
     old, new = F.col("z.segments"), F.col("z.new_segments")
     base = F.col("base") if "base" in blocks.columns else F.lit(0)
     new_base = F.col("new_base") if "new_base" in blocks.columns else F.lit(0)
-    return blocks.select(
+    places = F.transform(
+        "new_segments", lambda s: F.struct(s["from"].alias("start"), s["to"].alias("end"))
+    )
+    return blocks.withColumn("_parts", spans.cuts(F.col("new_text"), places)).select(
         *keys,
-        "new_text",
         base.alias("base"),
         new_base.alias("new_base"),
-        F.explode(F.arrays_zip("segments", "new_segments")).alias("z"),
+        F.explode(F.arrays_zip("segments", "new_segments", "_parts")).alias("z"),
     ).select(
         *keys,
         old["seg_idx"].alias("seg_idx"),
@@ -152,29 +198,11 @@ def segment_rows(blocks: DataFrame, keys: list[str], *node: str) -> DataFrame:
         (F.col("base") + old["to"]).alias("to"),
         (F.col("new_base") + new["from"]).alias("new_from"),
         (F.col("new_base") + new["to"]).alias("new_to"),
-        F.col("new_text").substr(new["from"] + 1, new["to"] - new["from"]).alias("text"),
+        F.col("z._parts").alias("text"),
         *[old[c].alias(c) for c in node],
     )
 
 
-def shifted_spans(kept: Column, changes: Column) -> Column:
-    """Kept spans in the offsets of the rewritten text: each moves by the change in
-    length of the edits before it."""
-    return F.transform(
-        kept,
-        lambda k: spans.bind(
-            F.aggregate(
-                F.filter(changes, lambda e: e["start"] < k["start"]),
-                F.lit(0),
-                lambda acc, e: acc + F.length(e["replacement"]) - (e["end"] - e["start"]),
-            ),
-            lambda move: k.withField("start", k["start"] + move).withField(
-                "end", k["end"] + move
-            ),
-        ),
-    )
-
-
 def piece_offsets(pieces: DataFrame, block_key: list[str], piece: str, length: Column) -> DataFrame:
     """Add `new_base`, the start of each piece in its rewritten block."""
     chunked = pieces.withColumn("_len", length).withColumn(

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkveil.functions import grammar
+from inkveil.functions import grammar, spans
 from inkveil.functions import pseudonyms as ids
 from inkveil.operators import assembly, literals, protect, reports, rewrite
 from inkveil.operators import people as persons
@@ -388,6 +388,54 @@ def match_audit_joined(spark: SparkSession, d: str) -> DataFrame:
     return note_job(spark, d, plan="joined").audit()
 
 
+STATUS_KEEP = "Economy Anvil"
+
+
+def status_people(spark: SparkSession, d: str) -> DataFrame:
+    """People named after parts: some with the kind of the part for a second name, and others
+    who have that kind for their only name."""
+    first = F.initcap(F.split("p_name", " ")[0])
+    last = F.initcap(F.split("p_name", " ")[1])
+    kind = F.initcap(F.lower("p_type"))
+    part = table(spark, d, "part")
+    both = part.select(F.concat(first, F.lit(":"), kind, F.lit(";"), last).alias("line"))
+    short = part.select(F.concat(kind, F.lit(";"), last).alias("line"))
+    rows = both.unionByName(short).distinct().withColumn("_head", F.substring("line", 1, 2))
+    return lists.parse_people(
+        lists.number_rows(rows, ["_head"], "line", "line_no").select("line_no", "line")
+    )
+
+
+def _statuses(spark: SparkSession, d: str, plan: str) -> DataFrame:
+    """Notes of which only the beginning, up to the number of pieces, can be written back."""
+    told = F.regexp_extract("text", "^.* took ", 0)
+    segment = F.struct(F.lit(0).alias("seg_idx"), F.lit(0).alias("from"), F.length(told).alias("to"))
+    job = redact(
+        notes(spark, d).withColumn("segments", F.array(segment)),
+        ["note_id"],
+        people=status_people(spark, d),
+        keep_exprs=_keep(spark, (STATUS_KEEP,)),
+        plan=plan,
+        report_shadowed=True,
+    )
+    return job.full_audit().fillna(0, ["beaten_by"])
+
+
+def match_statuses(spark: SparkSession, d: str) -> DataFrame:
+    return _statuses(spark, d, "inline")
+
+
+def match_statuses_joined(spark: SparkSession, d: str) -> DataFrame:
+    return _statuses(spark, d, "joined")
+
+
+def match_status_counts(spark: SparkSession, d: str) -> DataFrame:
+    """How many matches were replaced, protected, shadowed and orphaned."""
+    return match_statuses(spark, d).groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("entry_id").alias("people")
+    )
+
+
 def notes_redacted(spark: SparkSession, d: str) -> DataFrame:
     return note_job(spark, d).texts()
 
@@ -408,7 +456,7 @@ def protected_shift(spark: SparkSession, d: str) -> DataFrame:
     )
     return (
         blocks.withColumn("kept", kept)
-        .withColumn("moved", rewrite.shifted_spans(F.col("kept"), F.col("edits")))
+        .withColumn("moved", spans.shifted(F.col("kept"), F.col("edits")))
         .select("note_id", F.explode_outer(F.arrays_zip("kept", "moved")).alias("z"))
         .filter("z is not null")
         .select(
@@ -696,6 +744,7 @@ def queries() -> dict[str, Query]:
         validate_people, people_list, people_homonyms, people_variants,
         people_variants_homonym, person_forms, keep_expressions, name_dictionary,
         protected_spans, spans_after_keep, match_audit, match_audit_joined,
+        match_statuses, match_statuses_joined, match_status_counts,
         notes_redacted, name_frequencies, associations, protected_shift,
         dictionary_spans, dictionary_spans_joined, word_dictionary_size, word_dictionary_spans,
         lettered_ids, dictionary_redacted,

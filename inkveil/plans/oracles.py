@@ -250,6 +250,43 @@ found AS (
   FROM named a WHERE NOT keep
 )"""
 
+# everybody is a homonym and found with all names only, which end or begin with the last word
+_STATUSES = f"""
+{_NOTES},
+status_line AS (
+  SELECT row_number() OVER (ORDER BY line) AS person, line FROM (
+    SELECT {_FIRST} || ':' || {_KIND} || ';' || {_LAST} AS line FROM part
+    UNION SELECT {_KIND} || ';' || {_LAST} FROM part
+  )
+),
+-- of two people of the same names the first is looked for
+searched AS (
+  SELECT min(person) AS person, arg_min(line, person) AS line FROM status_line
+  GROUP BY list_sort(string_split(split_part(line, ';', 1), ':')), split_part(line, ';', 2)
+),
+seen AS (
+  SELECT note_id, spot, head, said, f || ':' || k || ';' || l AS line, 0 AS skip
+  FROM place WHERE kind = 3
+  UNION SELECT note_id, spot, head, said, k || ':' || f || ';' || l, 0 FROM place WHERE kind = 3
+  UNION SELECT note_id, spot, head, said, k || ';' || l, length(f) + 1 FROM place WHERE kind = 3
+  UNION SELECT note_id, spot, head, said, f || ';' || l, CASE kind WHEN 5 THEN 11 ELSE 0 END
+  FROM place WHERE kind IN (0, 1, 2, 5)
+),
+told AS (
+  SELECT note_id, spot, said, skip, person, spot > length(head) AS second,
+    contains(said, 'Economy Anvil') AS kept,
+    min(person) OVER (PARTITION BY note_id, spot) AS winner
+  FROM seen JOIN searched USING (line)
+),
+status AS (
+  SELECT note_id, CAST(spot + skip AS INTEGER) AS start,
+    CAST(spot + length(said) AS INTEGER) AS "end", substr(said, skip + 1) AS matched,
+    person AS entry_id, CASE WHEN kept THEN 'protected' WHEN person > winner THEN 'shadowed'
+      WHEN second THEN 'orphan' ELSE 'replaced' END AS status,
+    CASE WHEN NOT kept AND person > winner THEN winner ELSE 0 END AS beaten_by
+  FROM told
+)"""
+
 _KEY = (
     "upper(regexp_replace(array_to_string(list_sort(string_split_regex(matched, '\\s+')), ' '),"
     f" '[^{_L} ]', '', 'g'))"
@@ -676,6 +713,13 @@ FROM place WHERE kind = 6 AND l = 'Anvil'""",
         ),
         "match_audit": note_audit,
         "match_audit_joined": note_audit,
+        "match_statuses": _with(_STATUSES, "SELECT * FROM status"),
+        "match_statuses_joined": _with(_STATUSES, "SELECT * FROM status"),
+        "match_status_counts": _with(
+            _STATUSES,
+            "SELECT status, count(*) AS n, count(DISTINCT entry_id) AS people FROM status "
+            "GROUP BY status",
+        ),
         "notes_redacted": _with(
             _NOTE_EDITS
             + """, one AS (

@@ -71,6 +71,10 @@ class Redaction:
         """One row per span found, protected ones included."""
         return rewrite.audit(self.found, self.keys)
 
+    def full_audit(self) -> DataFrame:
+        """One row per span found; lost and homeless ones are told apart, too."""
+        return rewrite.full_audit(self.found, self.keys)
+
     def segments(self) -> DataFrame:
         """For blocks with `segments`."""
         return rewrite.segment_rows(rewrite.segment_edits(self.blocks), self.keys)
@@ -130,12 +134,14 @@ def redact(
     gate: Column | None = None,
     rule: str = "overlap",
     plan: str | None = None,
+    report_shadowed: bool = False,
 ) -> Redaction:
     """Find and replace nominatives.
 
     `scheme` is `listed` (ID and place in the list, the default for people), `lettered`
     (ID, letter and dictionary number, the default for the dictionary) or `hash` (needs
-    `salt`). `order` sorts blocks where letters are given by first occurrence.
+    `salt`). `order` sorts blocks where letters are given by first occurrence. With
+    `report_shadowed` the audits also have matches that lost their text to another one.
     """
     entries, automatic = search_entries(people, dictionary, keep_people)
     # used to measure the list, to search and to report
@@ -143,5 +149,14 @@ def redact(
     scheme = scheme or ("lettered" if automatic else "listed")
     if scheme not in SCHEMES:
         raise ValueError(f"unknown ID scheme {scheme!r}")
-    found = detection.detect(blocks, keys, entries, keep_exprs, gate=gate, rule=rule, plan=plan)
+    found = detection.detect(
+        blocks,
+        keys,
+        entries,
+        keep_exprs,
+        gate=gate,
+        rule=rule,
+        plan=plan,
+        report_shadowed=report_shadowed,
+    )
     return Redaction(found, keys, entries, scheme, salt, order or keys)
