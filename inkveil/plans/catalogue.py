@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from xml.sax.saxutils import escape
@@ -22,7 +23,8 @@ from inkveil.plans.pieces import (
     redact_pieces,
 )
 from inkveil.plans.redaction import Redaction, redact
-from inkveil.session import constant
+from inkveil.session import constant, shared_folder, staged
+from inkveil.sinks import packages as package_sink
 from inkveil.sinks import reports as report_text
 from inkveil.sources import corpora, lists, packages
 from inkveil.sources.corpora import table
@@ -730,12 +732,36 @@ def package_blocks(spark: SparkSession, d: str) -> DataFrame:
 
 def package_redacted(spark: SparkSession, d: str) -> DataFrame:
     """Blocks of the redacted packages, read back."""
+    return package_pieces(_redacted_packages(spark, d)).select("doc_id", "block_idx", "base", "text")
+
+
+def _redacted_packages(spark: SparkSession, d: str) -> DataFrame:
+    made = staged(turn_packages(spark, d), "packages")
     redacted, _ = redact_packages(
-        turn_packages(spark, d),
-        _keep(spark, NOTE_KEEP),
-        people=listed_people(spark, d),
+        made, _keep(spark, NOTE_KEEP), people=listed_people(spark, d)
+    )
+    return redacted
+
+
+def package_files(spark: SparkSession, d: str) -> DataFrame:
+    """The redacted packages as files, in a folder for each role of a turn, read back: their
+    names, and how many characters the texts of each have."""
+    folder = f"{shared_folder(spark)}/results-{uuid.uuid4().hex}"
+    role = table(spark, d, "conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("doc_id"), "role"
+    )
+    named = _redacted_packages(spark, d).join(role, "doc_id")
+    package_sink.write_packages(
+        named.withColumn("path", F.concat(F.lit("/in/"), "role", F.lit("/"), "doc_id", F.lit(".docx"))),
+        folder,
+    )
+    files = packages.read_packages(spark, folder)
+    below = F.regexp_extract("doc_id", "([^/]+/[^/]+)$", 1)
+    return (
+        package_pieces(files)
+        .groupBy(below.alias("result"))
+        .agg(F.sum(F.length("text").cast("long")).alias("n_chars"))
     )
-    return package_pieces(redacted).select("doc_id", "block_idx", "base", "text")
 
 
 def queries() -> dict[str, Query]:
@@ -752,7 +778,7 @@ def queries() -> dict[str, Query]:
         apostrophes, many_names, many_names_inline, many_names_joined, nested_keep_expressions,
         nested_keep_expressions_held, nested_keep_expressions_joined, word_keep_expressions,
         word_keep_expressions_joined, frequency_report, association_report,
-        page_nodes, page_blocks, package_tags, package_blocks, package_redacted,
+        page_nodes, page_blocks, package_tags, package_blocks, package_redacted, package_files,
     )
     named = {query.__name__: query for query in listed}
     named["turn_segments"] = segment_table

@@ -849,6 +849,12 @@ FROM (
         ),
         "package_blocks": _with(_PACKAGES, _package_blocks("name")),
         "package_redacted": _with(_PACKAGES, _REDACTED_PACKAGES),
+        "package_files": _with(
+            _PACKAGES,
+            f"""SELECT role || '/' || doc_id || '-result.docx' AS result,
+  CAST(sum(length(text)) AS BIGINT) AS n_chars
+FROM ({_REDACTED_PACKAGES}) JOIN package USING (doc_id) GROUP BY role, doc_id""",
+        ),
         "page_nodes": _with(_PAGE_NODES, "SELECT page_id, pos, tag, action, text FROM page_node"),
         "page_blocks": _with(
             _PAGE_NODES

@@ -12,7 +12,7 @@ from inkveil.functions.grammar import DEFAULT_KEEP_EXPRESSIONS
 from inkveil.operators import assembly, rewrite
 from inkveil.operators.detect import gated_blocks
 from inkveil.plans.redaction import Redaction, redact
-from inkveil.session import checkpoint
+from inkveil.session import staged
 from inkveil.sinks import packages as package_sink
 from inkveil.sources import packages as package_source
 
@@ -32,7 +32,7 @@ class PieceRedaction:
     def edited(self) -> DataFrame:
         """Pieces with `new_segments` and `new_text`. Written once: the new offsets of a
         piece depend on all pieces before it, so the table is read twice."""
-        return checkpoint(rewrite.segment_edits(self.redaction.blocks))
+        return staged(rewrite.segment_edits(self.redaction.blocks), "edited")
 
     def segments(self, *node: str) -> DataFrame:
         """Segments with old and new offsets in their block and new text."""
@@ -50,7 +50,7 @@ class PieceRedaction:
 def redact_pieces(pieces: DataFrame, doc_key: list[str], **options) -> PieceRedaction:
     """`redact` for the output of `assembly.blocks_of`. A block is open to the search if
     any of its pieces is name-like."""
-    pieces = checkpoint(pieces)
+    pieces = staged(pieces, "pieces")
     block_key = [*doc_key, "block_idx"]
     opened = gated_blocks(pieces, block_key).withColumn("gated", F.lit(True))
     redaction = redact(
@@ -73,8 +73,12 @@ def joiners(keep_exprs: DataFrame | None) -> str:
 
 
 def package_pieces(packages: DataFrame, joined: str = "") -> DataFrame:
-    """Packages as pieces of blocks."""
-    nodes = assembly.with_families(package_source.nodes(packages))
+    """Packages as pieces of blocks.
+
+    Packages are parsed once: the nodes that matter are written, and read by each step of the
+    numbering of blocks.
+    """
+    nodes = staged(assembly.with_families(package_source.nodes(packages)), "nodes")
     segments = assembly.segments_of(
         nodes,
         ["doc_id"],
@@ -89,7 +93,8 @@ def package_pieces(packages: DataFrame, joined: str = "") -> DataFrame:
 def redact_packages(
     packages: DataFrame, keep_exprs: DataFrame | None = None, **options
 ) -> tuple[DataFrame, PieceRedaction]:
-    """Redacted packages (O8) and the redaction behind them, for the reports."""
+    """Redacted packages (O8) and the redaction behind them, for the reports. `packages` is read
+    twice, to search it and to rewrite it."""
     job = redact_pieces(
         package_pieces(packages, joiners(keep_exprs)), ["doc_id"], keep_exprs=keep_exprs, **options
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from inkveil.operators import detect as detection
 from inkveil.operators import pseudonyms, reports, rewrite
 from inkveil.operators import people as persons
-from inkveil.session import checkpoint
+from inkveil.session import staged
 
 SCHEMES = ("listed", "lettered", "hash")
 
@@ -39,8 +39,8 @@ class Redaction:
     def _rows(self) -> DataFrame:
         """Replaced spans without their IDs. Ranking reads them several times, so they are
         written once."""
-        return checkpoint(
-            rewrite.edit_rows(rewrite.with_edits(self.found, "lettered"), self.keys)
+        return staged(
+            rewrite.edit_rows(rewrite.with_edits(self.found, "lettered"), self.keys), "edits"
         )
 
     @cached_property

@@ -1,8 +1,9 @@
-"""Session settings and the shared checkpoint folder."""
+"""Session settings, and tables written once in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,19 +28,31 @@ def constant(spark: SparkSession, **columns: list) -> DataFrame:
     return spark.createDataFrame(pa.table(columns))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder the cluster names in `spark.checkpoint.dir`."""
-    context = df.sparkSession.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get(
+def shared_folder(spark: SparkSession) -> str:
+    """A folder for this job's tables below `spark.checkpoint.dir`; Hadoop removes it when the
+    job ends. A local master without that setting, as in tests, gets a folder of its own."""
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
-    if folder:
-        context.setCheckpointDir(folder)
-    elif context.getCheckpointDir() is None:
+    if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="inkveil-"))
-    return df.checkpoint()
+        root = tempfile.mkdtemp(prefix="inkveil-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    folder = f"{root}/inkveil-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once as Parquet in the shared folder and read from there: later readers
+    read the columns they need, and nothing is worked out again for a lost executor."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -8,11 +8,16 @@ import uuid
 import xml.parsers.expat
 import zipfile
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 from inkveil.sources.packages import local_name
 
@@ -122,25 +127,87 @@ def result_table(packages: DataFrame) -> DataFrame:
     return named
 
 
-def write_packages(packages: DataFrame, folder: str) -> None:
-    """Write each package to a folder all executors share, as `<name>-result.docx` in the
-    same place below `folder` as it has below the folder that holds all packages.
+def store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder and the folder's path in it. A folder without a scheme is a
+    local one, which executors have to share."""
+    scheme, mark, rest = folder.partition("://")
+    if mark and scheme in ("s3a", "s3n"):
+        return fs.FileSystem.from_uri(f"s3://{rest}")
+    if folder.startswith("file:") or mark:
+        return fs.FileSystem.from_uri(folder)
+    return fs.LocalFileSystem(), os.path.abspath(folder)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """What a task has put aside: names of results, for the folder they belong to."""
+
+    results: list[str]
 
-    A file appears under its name only when complete, so a repeated task does no harm.
-    For stores that executors do not mount, write `result_table` itself to any path of
-    Spark's, e.g. as parquet.
-    """
 
-    def write(rows: Iterator[Row]) -> None:
-        for row in rows:
-            target = os.path.join(folder, row["result"])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            scratch = os.path.join(os.path.dirname(target), f".{uuid.uuid4().hex}")
-            with open(scratch, "wb") as out:
+class PackageWriter(DataSourceWriter):
+    """Results put aside in a folder of the job's own, and moved to their places when all tasks
+    are done. A job that fails leaves nothing, a task that is repeated writes the same file."""
+
+    def __init__(self, folder: str) -> None:
+        self.folder = folder
+        self.aside = f".writing-{uuid.uuid4().hex}"
+
+    def write(self, iterator: Iterator[Row]) -> Written:
+        store, folder = store_of(self.folder)
+        results = []
+        for row in iterator:
+            target = f"{folder}/{self.aside}/{row['result']}"
+            store.create_dir(os.path.dirname(target), recursive=True)
+            with store.open_output_stream(target) as out:
                 out.write(row["content"])
-            os.replace(scratch, target)
+            results.append(row["result"])
+        return Written(results)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        store, folder = store_of(self.folder)
+
+        def move(result: str) -> None:
+            store.create_dir(os.path.dirname(f"{folder}/{result}"), recursive=True)
+            store.move(f"{folder}/{self.aside}/{result}", f"{folder}/{result}")
+
+        with ThreadPoolExecutor(32) as pool:
+            for message in messages:
+                for _ in pool.map(move, message.results if message else ()):
+                    pass
+        self._clear(store, folder)
 
-    result_table(packages).foreachPartition(write)
+    def abort(self, messages: list[Written | None]) -> None:
+        self._clear(*store_of(self.folder))
+
+    def _clear(self, store: fs.FileSystem, folder: str) -> None:
+        aside = f"{folder}/{self.aside}"
+        if store.get_file_info(aside).type != fs.FileType.NotFound:
+            store.delete_dir(aside)
+
+
+class PackageSink(DataSource):
+    """`result, content` as files below the option `path`: format `packages`."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "packages"
+
+    def schema(self) -> str:
+        return "result string, content binary"
+
+    def writer(self, schema: StructType, overwrite: bool) -> PackageWriter:
+        return PackageWriter(self.options["path"])
+
+
+def write_packages(packages: DataFrame, folder: str) -> None:
+    """Write each package below `folder`, a path of any store that Arrow's file systems know,
+    as `<name>-result.docx` in the same place as it has below the folder that holds all
+    packages. No file appears under its name before all of them are written.
+    """
+    packages.sparkSession.dataSource.register(PackageSink)
+    rows = result_table(packages)
+    rows.write.format("packages").mode("append").option("path", folder).save()
 
 
 __all__ = ["local_name", "result_name", "result_table", "rewritten", "splice", "write_packages"]

@@ -2,6 +2,7 @@ import io
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from inkveil.plans import pieces
 from inkveil.sinks import packages as sink
@@ -181,3 +182,48 @@ def test_reports_as_text(spark, tmp_path):
     report_sink.write_report(report_sink.association_lines(told), str(tmp_path / "a"))
     got = "".join(p.read_text() for p in sorted((tmp_path / "a").glob("part-*")))
     assert got == "ASSOCIATIONS:\nKey: A\tValue: x\nKey: B\tValue: y\n"
+
+
+def test_failed_write_leaves_nothing(spark, tmp_path):
+    names = [(f"/in/f{k % 3}/d{k}.docx", bytes([k])) for k in range(40)]
+    files = spark.createDataFrame(names, "path string, content binary").repartition(4)
+    broken = files.withColumn(
+        "content", F.when(F.col("path") == "/in/f1/d7.docx", F.raise_error(F.lit("no"))).otherwise(F.col("content"))
+    )
+    out = tmp_path / "out"
+    with pytest.raises(Exception, match="no"):
+        sink.write_packages(broken.withColumn("content", F.col("content").cast("binary")), str(out))
+    assert [p for p in out.rglob("*") if p.is_file()] == []
+    sink.write_packages(files, out.as_uri())
+    back = packages.read_packages(spark, str(out))
+    assert back.count() == len(list(out.rglob("*.docx"))) == 40
+    assert not [p for p in out.iterdir() if p.name.startswith(".")]
+    assert {bytes(r.content) for r in back.collect()} == {c for _, c in names}
+
+
+def test_renamed_parts_in_two_folders(spark, lines, tmp_path):
+    rels = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    related = (
+        "<Relationships xmlns='http://schemas.openxmlformats.org/package/2006/relationships'>"
+        f"<Relationship Id='a' Type='{rels}/footnotes' Target='notes/own.xml'/></Relationships>"
+    ).encode()
+    parts = {
+        "word/document.xml": document(f"<w:p>{run('plain')}</w:p>"),
+        "word/_rels/document.xml.rels": related,
+        "word/notes/own.xml": document(f"<w:p>{run('Mario Rossi')}</w:p>", "footnotes"),
+    }
+    for name in ("one/a.docx", "two/a.docx"):
+        (tmp_path / "in" / name).parent.mkdir(parents=True)
+        (tmp_path / "in" / name).write_bytes(package(parts))
+    files = packages.read_packages(spark, str(tmp_path / "in"))
+    redacted, _ = pieces.redact_packages(files, people=lists.parse_people(lines("Mario;Rossi")))
+    sink.write_packages(redacted, str(tmp_path / "out"))
+    back = whole(pieces.package_pieces(packages.read_packages(spark, str(tmp_path / "out"))))
+    assert sorted(back.values()) == ["ID1", "ID1", "plain", "plain"]
+    assert {d.rsplit("/", 2)[1] for d, _ in back} == {"one", "two"}
+
+
+def test_packages_are_parsed_once(spark, folder):
+    files = packages.read_packages(spark, str(folder))
+    plan = pieces.package_pieces(files)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan
