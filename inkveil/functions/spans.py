@@ -39,10 +39,13 @@ def empty(kind: str) -> Column:
     return F.array().cast(kind)
 
 
+def marked(text: Column, pattern: Column) -> Column:
+    return F.regexp_replace(text, pattern, F.lit(f"{MARK}$0{MARK}"))
+
+
 def parts_of(text: Column, pattern: Column) -> Column:
     """The text as gaps and matches by turns, a gap first and last."""
-    marked = F.regexp_replace(text, pattern, F.lit(f"{MARK}$0{MARK}"))
-    return F.split(marked, MARK, -1)
+    return F.split(marked(text, pattern), MARK, -1)
 
 
 # Elements folded at a time: a fold copies what it has built at every step.
@@ -89,8 +92,13 @@ def running(values: Column) -> Column:
 
 
 def locate(text: Column, pattern: Column) -> Column:
-    """Offsets of all matches, leftmost first and not overlapping: the lengths of gaps and
-    matches added up."""
+    """Offsets of all matches, leftmost first and not overlapping."""
+    return offsets(parts_of(text, pattern))
+
+
+def offsets(all_parts: Column) -> Column:
+    """Offsets of the matches among `parts_of` a text: the lengths of gaps and matches added
+    up."""
 
     def span(begin: Column, end: Column) -> Column:
         return F.struct(begin.alias("start"), end.alias("end"))
@@ -113,7 +121,7 @@ def locate(text: Column, pattern: Column) -> Column:
             .otherwise(every(parts))
         )
 
-    return bind(parts_of(text, pattern), lay_out)
+    return bind(all_parts, lay_out)
 
 
 def locate_literals(text: Column, alternatives: Column) -> Column:
@@ -199,12 +207,13 @@ def resolve(
 
     def matches(some_text: Column, entry: Column) -> Column:
         if known:
+            # only the pattern of the entry in turn is tried
             chosen = F
             for row in known:
                 chosen = chosen.when(
-                    entry["ord"] == row["ord"], locate(some_text, F.lit(row["pattern"]))
+                    entry["ord"] == row["ord"], marked(some_text, F.lit(row["pattern"]))
                 )
-            return chosen
+            return offsets(F.split(chosen, MARK, -1))
         by_mark = locate(
             grammar.mark_name(some_text, entry["mark"]), F.lit(grammar.MARKED_NAME)
         )
