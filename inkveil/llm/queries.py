@@ -28,30 +28,37 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_simhash(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document: its fingerprint, and the least id its links lead to."""
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
 def op2_quality(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document: what is counted, whether the base rules fail, the verdict."""
     return quality.report(table(spark, d, "documents"))
 
 
 def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document taken into the mix, as often as it is taken."""
     return mixing.report(table(spark, d, "documents"))
 
 
 def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document: score and prediction, learnt from labels outside the fold."""
     return toxicity.scored(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
 def op5_language(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document: predicted language and score; `und` without a letter."""
     return language.identified(table(spark, d, "documents"))
 
 
 def op6_secrets(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document: numbers of base finds and the spans of all."""
     return secrets.report(table(spark, d, "documents"))
 
 
 def op7_lines(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document: its lines, how many go, the digest of what stays."""
     return lines.report(table(spark, d, "documents"))
 
 
@@ -62,10 +69,12 @@ def byte_bpe() -> str:
 
 
 def op8_token_files(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document, read back from the token files: place, number, checksum."""
     return tokenfiles.report(table(spark, d, "documents"), byte_bpe)
 
 
 def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document: words hit by benchmark windows, and the verdict."""
     return decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
@@ -76,6 +85,7 @@ def word_bpe() -> str:
 
 
 def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each document: bytes, tokens, and whether they exceed the limit."""
     return tokencount.counted(table(spark, d, "documents"), word_bpe)
 
 
