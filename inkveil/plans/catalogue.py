@@ -280,6 +280,16 @@ def validate_people(spark: SparkSession, d: str) -> DataFrame:
     return lists.check_lines(list_lines(spark, d))
 
 
+def validate_name_counts(spark: SparkSession, d: str) -> DataFrame:
+    """List lines of one to twelve names, one for each part: eleven are too many."""
+    first = F.initcap(F.split("p_name", " ")[0])
+    last = F.initcap(F.split("p_name", " ")[1])
+    count = (F.col("p_partkey") % 12 + 1).cast("int")
+    line = F.concat_ws(";", F.array_join(F.array_repeat(first, count), ":"), last)
+    lines = table(spark, d, "part").select(F.col("p_partkey").alias("line_no"), line.alias("line"))
+    return lists.check_lines(lines)
+
+
 def _people_columns(people: DataFrame) -> list[Column]:
     return [
         F.col("person_id"),
@@ -767,7 +777,7 @@ def package_files(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     listed = (
         line_blocks, gate_stats, list_spans, list_redact, document_frequencies,
-        validate_people, people_list, people_homonyms, people_variants,
+        validate_people, validate_name_counts, people_list, people_homonyms, people_variants,
         people_variants_homonym, person_forms, keep_expressions, name_dictionary,
         protected_spans, spans_after_keep, match_audit, match_audit_joined,
         match_statuses, match_statuses_joined, match_status_counts,

@@ -651,6 +651,10 @@ FROM lines l LEFT JOIN rebuilt r USING (doc_id, block_idx)""",
         "validate_people": _with(
             _LIST_LINES, "SELECT line_no, line, is_valid FROM checked"
         ),
+        "validate_name_counts": f"""
+SELECT p_partkey AS line_no, repeat({_FIRST} || ':', p_partkey % 12) || {_FIRST} || ';' || {_LAST}
+  AS line, p_partkey % 12 < 10 AS is_valid
+FROM part""",
         "people_list": _with(
             _LIST_LINES,
             "SELECT person_id, array_to_string(names, ':') AS names, surname, keep, "
