@@ -16,6 +16,7 @@ from inkveil.functions import grammar, spans
 from inkveil.functions import pseudonyms as ids
 from inkveil.operators import assembly, literals, protect, reports, rewrite
 from inkveil.operators import people as persons
+from inkveil.operators.pseudonyms import Registry
 from inkveil.plans.pieces import (
     PieceRedaction,
     package_pieces,
@@ -42,6 +43,7 @@ DOCUMENT_PEOPLE = (
 DOCUMENT_KEEP = ("Apache License", "Of Of")
 NOTE_KEEP = ("Al Sindaco", "De Anvil")
 SALT = 20260
+BATCH_FROM = "4"
 
 # --- lists drawn from the tables -----------------------------------------------------
 
@@ -392,6 +394,21 @@ def spans_after_keep(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+EDGE_KEEP = ("Economy", "De Anvil")
+
+
+def spans_after_keep_edge(spark: SparkSession, d: str) -> DataFrame:
+    """The same for spans that only start or end in a protected one: those around one stay."""
+    people = listed_people(spark, d)
+    found = redact(notes(spark, d), ["note_id"], people=people.filter(~F.col("keep")))
+    kept = protect.protected_spans(
+        notes(spark, d), ["note_id"], persons.entries(people), _keep(spark, EDGE_KEEP)
+    )
+    return protect.unprotected(found.spans(), kept, ["note_id"], rule="edge").select(
+        "note_id", "start", "end", "matched"
+    )
+
+
 def match_audit(spark: SparkSession, d: str) -> DataFrame:
     return note_job(spark, d).audit()
 
@@ -528,6 +545,29 @@ def lettered_ids(spark: SparkSession, d: str) -> DataFrame:
     return dictionary_job(spark, d).ids()
 
 
+def _batches(spark: SparkSession, d: str) -> tuple[Registry, list[Redaction]]:
+    """All notes in two batches, those of greater names first."""
+    registry = Registry(spark, f"{shared_folder(spark)}/registry-{uuid.uuid4().hex}")
+    dictionary, late = note_dictionary(spark, d), F.col("note_id") >= BATCH_FROM
+    jobs = [
+        redact(notes(spark, d).filter(part), ["note_id"], dictionary=dictionary)
+        for part in (late, ~late)
+    ]
+    return registry, [job.registered(registry, str(k)) for k, job in enumerate(jobs)]
+
+
+def lettered_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Lettered IDs given in two batches; those of the first are kept in the second."""
+    registry, _ = _batches(spark, d)
+    return registry.ids().drop("rank")
+
+
+def batches_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """The texts of both batches with these IDs."""
+    _, (one, two) = _batches(spark, d)
+    return one.texts().unionByName(two.texts())
+
+
 def dictionary_redacted(spark: SparkSession, d: str) -> DataFrame:
     return dictionary_job(spark, d).texts()
 
@@ -779,11 +819,11 @@ def queries() -> dict[str, Query]:
         line_blocks, gate_stats, list_spans, list_redact, document_frequencies,
         validate_people, validate_name_counts, people_list, people_homonyms, people_variants,
         people_variants_homonym, person_forms, keep_expressions, name_dictionary,
-        protected_spans, spans_after_keep, match_audit, match_audit_joined,
+        protected_spans, spans_after_keep, spans_after_keep_edge, match_audit, match_audit_joined,
         match_statuses, match_statuses_joined, match_status_counts,
         notes_redacted, name_frequencies, associations, protected_shift,
         dictionary_spans, dictionary_spans_joined, word_dictionary_size, word_dictionary_spans,
-        lettered_ids, dictionary_redacted,
+        lettered_ids, lettered_batches, batches_redacted, dictionary_redacted,
         name_keys, hash_ids, segment_stats, turn_blocks, segment_remap, segment_text,
         apostrophes, many_names, many_names_inline, many_names_joined, nested_keep_expressions,
         nested_keep_expressions_held, nested_keep_expressions_joined, word_keep_expressions,

@@ -348,6 +348,26 @@ lettered AS (
   FROM owner
 )"""
 
+# letters of the notes of greater names first; the others' new nominatives go on after them
+_BATCHES = f"""
+{_DICTIONARY},
+part_of AS (
+  SELECT name_key, entry_id, note_id, start, CASE WHEN note_id >= '4' THEN 0 ELSE 1 END AS batch
+  FROM keyed
+),
+first_seen AS (
+  SELECT name_key, arg_min(entry_id, (batch, note_id, start, entry_id)) AS dict_id,
+    min((batch, note_id, start)) AS first
+  FROM part_of GROUP BY name_key
+),
+batched AS (
+  SELECT name_key, dict_id, 'ID' || substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz',
+    least(row_number() OVER (PARTITION BY dict_id ORDER BY first, name_key), 52)::INTEGER, 1
+  ) || dict_id AS pseudonym
+  FROM first_seen
+)"""
+
 # all names are listed, so any nominative is found whole, by its name of least number
 _WORD_DICTIONARY = f"""
 {_NOTES},
@@ -715,6 +735,13 @@ FROM place WHERE kind = 6 AND l = 'Anvil'""",
             _NOTE_PEOPLE,
             'SELECT note_id, start, stop AS "end", matched FROM found WHERE status = \'replaced\'',
         ),
+        # a kept kind in the middle of a match protects it by one rule only
+        "spans_after_keep_edge": _with(
+            _NOTE_PEOPLE,
+            """SELECT note_id, start, stop AS "end", matched FROM found
+WHERE status = 'replaced' AND NOT starts_with(matched, 'Economy')
+  AND NOT ends_with(matched, 'Economy')""",
+        ),
         "match_audit": note_audit,
         "match_audit_joined": note_audit,
         "match_statuses": _with(_STATUSES, "SELECT * FROM status"),
@@ -796,6 +823,14 @@ FROM (
         "lettered_ids": _with(
             _DICTIONARY, "SELECT name_key, dict_id, pseudonym FROM lettered"
         ),
+        "lettered_batches": _with(_BATCHES, "SELECT name_key, dict_id, pseudonym FROM batched"),
+        "batches_redacted": _with(
+            _BATCHES
+            + """, one AS (
+  SELECT DISTINCT note_id, 0 AS skip, pseudonym AS id
+  FROM keyed JOIN batched USING (name_key))""",
+            _REDACTED_NOTE,
+        ),
         "dictionary_redacted": _with(
             _DICTIONARY
             + """, one AS (

@@ -49,6 +49,8 @@ class Redaction:
         return rewrite.lettered_rows(self._rows, self.keys, self._ids(self._rows))
 
     def _ids(self, rows: DataFrame) -> DataFrame:
+        if "_given" in self.__dict__:
+            return self.__dict__["_given"]
         return pseudonyms.lettered_ids(rows, [*self.order, "start"])
 
     @property
@@ -81,7 +83,19 @@ class Redaction:
 
     def ids(self) -> DataFrame:
         """Lettered IDs by nominative."""
-        return self._ids(self._rows).drop("n")
+        return self._ids(self._rows).drop("n", "rank")
+
+    def registered(self, registry: pseudonyms.Registry, batch: str) -> Redaction:
+        """The same redaction as a batch of many: nominatives of earlier batches keep their
+        lettered IDs, new ones are stored."""
+        if self.scheme != "lettered":
+            raise ValueError("only lettered IDs depend on other batches")
+        given = registry.add(batch, self._rows, [*self.order, "start"])
+        job = replace(self)
+        job.__dict__["_rows"] = self._rows
+        job.__dict__["_lettered"] = rewrite.lettered_rows(self._rows, self.keys, given)
+        job.__dict__["_given"] = given
+        return job
 
     def close(self) -> None:
         """Let go of the list that is kept in memory for the search."""

@@ -123,3 +123,64 @@ def test_four_statuses(spark, lines):
     assert told[("Anna Verdi", 19, 3)] == ("protected", None)
     assert told[("Anna Verdi", 31, 3)] == ("orphan", None)
     assert {s for s, _ in told.values()} == {"replaced", "shadowed", "protected", "orphan"}
+
+
+@pytest.mark.parametrize("rule", ["overlap", "edge"])
+def test_unprotected_equals_pairs(spark, rule):
+    rng = random.Random(5)
+
+    def some(n):
+        starts = [rng.randrange(400) for _ in range(n)]
+        return [(rng.choice([1, 2, None]), s, s + rng.choice([1, 3, 30, 200])) for s in starts]
+
+    found, kept = some(60) + [(1, 7, 7)] * 2, some(12) + [(2, 9, 9), (2, 63, 65)]
+    schema = "b int, start int, end int"
+    frames = [spark.createDataFrame(x, schema) for x in (found, kept)]
+    named = frames[0].withColumn("_k_b", F.lit("x"))
+    got = protect.unprotected(named, frames[1], ["b"], rule)
+    assert got.columns == named.columns
+
+    def touched(s, k):
+        if s[0] is None or s[0] != k[0] or s[1] == s[2] or k[1] == k[2]:
+            return False
+        if rule == "overlap":
+            return k[1] < s[2] and s[1] < k[2]
+        return k[1] <= s[1] < k[2] or k[1] < s[2] <= k[2]
+
+    rest = [s for s in found if not any(touched(s, k) for k in kept)]
+    assert Counter(tuple(r)[:3] for r in got.collect()) == Counter(rest)
+    assert protect.unprotected(frames[0], frames[1].limit(0), ["b"], rule).count() == len(found)
+
+
+def test_unprotected_hot_block(spark):
+    """Spans and protected spans of one block, 100,000 each: no row meets more than a few."""
+    n = 100_000
+    found = spark.range(n).select(F.lit(1).alias("b"), (F.col("id") * 8).alias("start"), (F.col("id") * 8 + 5).alias("end"))
+    kept = spark.range(n).select(F.lit(1).alias("b"), (F.col("id") * 16 + 4).alias("start"), (F.col("id") * 16 + 6).alias("end"))
+    assert protect.unprotected(found, kept, ["b"]).count() == n // 2
+
+
+def test_registry_keeps_letters(spark, tmp_path):
+    def rows(*names):
+        data = [(k, 0, 7, name) for k, name in enumerate(names)]
+        return spark.createDataFrame(data, "doc int, start int, entry_id long, name_key string")
+
+    def ids(frame):
+        return {r.name_key: r.pseudonym for r in frame.collect()}
+
+    folder = str(tmp_path / "registry")
+    registry = Registry(spark, folder)
+    order = ["doc", "start"]
+    assert ids(registry.add("0", rows(), order)) == {}
+    assert ids(registry.add("1", rows("b", "a", "b"), order)) == {"b": "IDA7", "a": "IDB7"}
+    # run again, as after a failure
+    assert ids(registry.add("1", rows("b", "a", "b"), order)) == {"b": "IDA7", "a": "IDB7"}
+    later = Registry(spark, folder)
+    assert ids(later.add("2", rows("c", "a"), order)) == {"a": "IDB7", "c": "IDC7"}
+    many = [f"n{k:03}" for k in range(80)]
+    full = ids(later.add("3", rows(*many), order))
+    assert (full["n000"], full["n048"], full["n079"]) == ("IDD7", "IDz7", "IDz7")
+    assert ids(later.ids())["b"] == "IDA7"
+    assert later.ids().count() == later.ids().select("name_key").distinct().count() == 83
+    with pytest.raises(ValueError):
+        registry.add("2", rows("x"), order)
