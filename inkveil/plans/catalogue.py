@@ -23,12 +23,13 @@ from inkveil.plans.pieces import (
     redact_packages,
     redact_pieces,
 )
-from inkveil.plans.redaction import Redaction, redact
+from inkveil.plans.redaction import Redaction, redact, search_entries
 from inkveil.session import constant, shared_folder, staged
 from inkveil.sinks import packages as package_sink
 from inkveil.sinks import reports as report_text
 from inkveil.sources import corpora, lists, packages
 from inkveil.sources.corpora import table
+from inkveil.streaming.live import redact_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,12 +147,13 @@ def dictionary_job(spark: SparkSession, d: str, plan: str | None = None) -> Reda
     )
 
 
-def transcript_job(spark: SparkSession, d: str) -> PieceRedaction:
+def transcript_job(spark: SparkSession, d: str, plan: str | None = None) -> PieceRedaction:
     return redact_pieces(
         transcript_blocks(spark, d),
         ["conv_id"],
         people=listed_people(spark, d),
         keep_exprs=_keep(spark, NOTE_KEEP),
+        plan=plan,
     )
 
 
@@ -223,21 +225,68 @@ def _package(role: str, text: str, name: str, cut: int) -> bytes:
         "word/header1.xml": f"<w:p>{_run('Signed ')}<w:sdt><w:sdtContent>{_run(name)}"
         "</w:sdtContent></w:sdt></w:p>",
     }
+    return _zipped({k: f'<w:part xmlns:w="{_W}">{body}</w:part>' for k, body in parts.items()})
+
+
+def _zipped(parts: dict[str, str]) -> bytes:
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as package:
         for path, body in parts.items():
-            package.writestr(path, f'<w:part xmlns:w="{_W}">{body}</w:part>')
+            package.writestr(path, body)
     return out.getvalue()
 
 
-def _packages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        content = [_package(*row[1:]) for row in batch.itertuples(index=False)]
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "path": batch["doc_id"], "content": content})
+_RELATIONS = "http://schemas.openxmlformats.org/package/2006/relationships"
+_TYPES = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+
+def _relations(*targets: tuple[str, str]) -> str:
+    rows = "".join(
+        f'<Relationship Id="r{k}" Type="{_TYPES}/{kind}" Target="{target}"/>'
+        for k, (kind, target) in enumerate(targets)
+    )
+    # not a part of the package
+    outside = f'<Relationship Id="x" Type="{_TYPES}/footer" Target="word/x.xml" TargetMode="External"/>'
+    return f'<Relationships xmlns="{_RELATIONS}">{rows}{outside}</Relationships>'
 
 
-def turn_packages(spark: SparkSession, d: str) -> DataFrame:
+def _story_package(role: str, text: str, name: str, cut: int) -> bytes:
+    """A package of all kinds of parts: the document and most others have names of their own
+    and are found by relationship, one footer by its usual name."""
+    stories = {
+        "word/main.xml": "<w:body>%s</w:body>" % "".join(
+            f"<w:p>{_run(line)}</w:p>" for line in text.split("\n")
+        ),
+        "word/notes/below.xml": f'<w:footnote><w:p>{_run(f"Note by {name}")}</w:p></w:footnote>',
+        "word/ends.xml": f"<w:endnote><w:p>{_run('Ends ' + name[:cut])}{_run(name[cut:])}"
+        f"{_run('.')}</w:p></w:endnote>",
+        "word/said.xml": f'<w:comment><w:p>{_run(f"Said of {name}")}</w:p></w:comment>',
+        "word/footer2.xml": f"<w:p>{_run(f'Signed {name}')}</w:p>",
+        "foot/f.xml": f"<w:p>{_run(f'Page of {name}')}</w:p>",
+        "word/heads.xml": f"<w:p>{_run(role)}</w:p>",
+    }
+    return _zipped({
+        "_rels/.rels": _relations(("officeDocument", "word/main.xml")),
+        "word/_rels/main.xml.rels": _relations(
+            ("header", "heads.xml"), ("footer", "../foot/f.xml"), ("endnotes", "ends.xml"),
+            ("footnotes", "/word/notes/below.xml"), ("comments", "said.xml"), ("styles", "s.xml"),
+        ),
+        **{k: f'<w:part xmlns:w="{_W}">{body}</w:part>' for k, body in stories.items()},
+    })
+
+
+def turn_packages(
+    spark: SparkSession, d: str, make: Callable[[str, str, str, int], bytes] = _package
+) -> DataFrame:
     """Every turn of a conversation as a package."""
+
+    def packages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            content = [make(*row[1:]) for row in batch.itertuples(index=False)]
+            yield pd.DataFrame(
+                {"doc_id": batch["doc_id"], "path": batch["doc_id"], "content": content}
+            )
+
     turns = corpora.spread(table(spark, d, "conversations"), "conv_id")
     name = F.initcap(F.coalesce("p_name", F.lit("nobody known")))
     return (
@@ -250,7 +299,7 @@ def turn_packages(spark: SparkSession, d: str) -> DataFrame:
             name.alias("name"),
             (F.col("turn") % 7 + 2).cast("int").alias("cut"),
         )
-        .mapInPandas(_packages, _PACKAGE)
+        .mapInPandas(packages, _PACKAGE)
     )
 
 
@@ -477,6 +526,26 @@ def associations(spark: SparkSession, d: str) -> DataFrame:
     return reports.by_key(note_job(spark, d).associations())
 
 
+def notes_streamed(spark: SparkSession, d: str) -> DataFrame:
+    """The same texts, from a stream of the notes that is read to its end."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    source = notes(spark, d)
+    source.write.parquet(f"{folder}/in")
+    entries, _ = search_entries(listed_people(spark, d), None, None)
+    stream = redact_stream(
+        spark.readStream.schema(source.schema).parquet(f"{folder}/in"),
+        ["note_id"],
+        entries,
+        _keep(spark, NOTE_KEEP),
+        scheme="hash",
+        salt=SALT,
+    )
+    stream.writeStream.format("parquet").option("path", f"{folder}/out").option(
+        "checkpointLocation", f"{folder}/state"
+    ).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(source.schema).parquet(f"{folder}/out")
+
+
 def protected_shift(spark: SparkSession, d: str) -> DataFrame:
     """Kept spans in the offsets of the redacted text."""
     blocks = note_job(spark, d).blocks
@@ -616,6 +685,13 @@ def segment_text(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def segment_text_joined(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the list joined to the pieces."""
+    return transcript_job(spark, d, "joined").segments().select(
+        "conv_id", "block_idx", "new_from", "new_to", "text"
+    )
+
+
 def page_nodes(spark: SparkSession, d: str) -> DataFrame:
     pages = corpora.spread(table(spark, d, "pages").select("page_id", "html"), "page_id")
     return pages.select(
@@ -689,6 +765,41 @@ def many_names_joined(spark: SparkSession, d: str) -> DataFrame:
     return _many_names(spark, d, "joined")
 
 
+def homonyms_many_names(spark: SparkSession, d: str) -> DataFrame:
+    """Orders signed with the names of people of four to ten names. For each set of names there
+    are two people, so all of them are asked for; every third order lacks one."""
+    people = many_named(spark, d)
+    key, c = F.col("o_orderkey"), F.col("c")
+    twins = people.select(
+        "c", "names", F.explode(F.array("surname", F.concat("surname", F.lit("i")))).alias("surname")
+    )
+    turn = (F.floor(key / 6) % c).cast("int")
+    turned = F.concat(F.slice("names", turn + 1, c), F.slice("names", 1, turn))
+    said = F.array_join(turned, " ")
+    last = F.when(F.floor(key / 3) % 2 == 0, F.col("surname")).otherwise(
+        F.concat("surname", F.lit("i"))
+    )
+    texts = (
+        table(spark, d, "orders")
+        .select("o_orderkey", (key % len(MANY_NAMES) + MANY_NAMES[0]).cast("int").alias("c"))
+        .join(F.broadcast(people), "c")
+        .select(
+            "o_orderkey",
+            F.when(key % 3 == 0, F.concat_ws(" ", F.lit("paid by"), said, last))
+            .when(key % 3 == 1, F.concat_ws(" ", F.lit("paid by"), last, said))
+            .otherwise(
+                F.concat_ws(" ", F.lit("paid by"), F.array_join(F.slice(turned, 2, c), " "), last)
+            )
+            .alias("text"),
+        )
+    )
+    number = 2 * c + F.col("surname").endswith("i").cast("int")
+    lines = twins.select(
+        number.alias("line_no"), F.concat_ws(";", F.array_join("names", ":"), "surname").alias("line")
+    )
+    return redact(texts, ["o_orderkey"], people=lists.parse_people(lines)).audit()
+
+
 def apostrophes(spark: SparkSession, d: str) -> DataFrame:
     """Parts signed with the name of their type and a surname with an apostrophe, which is
     spelt in four ways."""
@@ -785,8 +896,17 @@ def package_redacted(spark: SparkSession, d: str) -> DataFrame:
     return package_pieces(_redacted_packages(spark, d)).select("doc_id", "block_idx", "base", "text")
 
 
-def _redacted_packages(spark: SparkSession, d: str) -> DataFrame:
-    made = staged(turn_packages(spark, d), "packages")
+def package_stories(spark: SparkSession, d: str) -> DataFrame:
+    """Blocks of redacted packages of all kinds of parts, read back, with the part of each."""
+    pieces = package_pieces(_redacted_packages(spark, d, _story_package))
+    part = F.get("segments", 0)["part"]
+    return pieces.select("doc_id", "block_idx", "base", part.alias("part"), "text")
+
+
+def _redacted_packages(
+    spark: SparkSession, d: str, make: Callable[[str, str, str, int], bytes] = _package
+) -> DataFrame:
+    made = staged(turn_packages(spark, d, make), "packages")
     redacted, _ = redact_packages(
         made, _keep(spark, NOTE_KEEP), people=listed_people(spark, d)
     )
@@ -821,14 +941,15 @@ def queries() -> dict[str, Query]:
         people_variants_homonym, person_forms, keep_expressions, name_dictionary,
         protected_spans, spans_after_keep, spans_after_keep_edge, match_audit, match_audit_joined,
         match_statuses, match_statuses_joined, match_status_counts,
-        notes_redacted, name_frequencies, associations, protected_shift,
+        notes_redacted, notes_streamed, name_frequencies, associations, protected_shift,
         dictionary_spans, dictionary_spans_joined, word_dictionary_size, word_dictionary_spans,
         lettered_ids, lettered_batches, batches_redacted, dictionary_redacted,
         name_keys, hash_ids, segment_stats, turn_blocks, segment_remap, segment_text,
-        apostrophes, many_names, many_names_inline, many_names_joined, nested_keep_expressions,
+        segment_text_joined, homonyms_many_names, apostrophes, many_names, many_names_inline, many_names_joined, nested_keep_expressions,
         nested_keep_expressions_held, nested_keep_expressions_joined, word_keep_expressions,
         word_keep_expressions_joined, frequency_report, association_report,
         page_nodes, page_blocks, package_tags, package_blocks, package_redacted, package_files,
+        package_stories,
     )
     named = {query.__name__: query for query in listed}
     named["turn_segments"] = segment_table

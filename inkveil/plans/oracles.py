@@ -491,6 +491,26 @@ UNION ALL SELECT doc_id, CAST(len(parts) + 1 AS INTEGER), 0, 'Signed ' || coales
   FROM package"""
 
 
+def _story(after: int, part: str, head: str) -> str:
+    return f"""
+UNION ALL SELECT doc_id, CAST(len(parts) + {after} AS INTEGER), 0, '{part}', {head}"""
+
+
+# header, footers, endnotes, footnotes, comments: by kind, then by name
+_STORIES = (
+    f"SELECT doc_id, block_idx, base, 'word/main.xml' AS part, text FROM ({_PARAGRAPHS})"
+    + _story(0, "word/heads.xml", "role FROM package")
+    + _story(1, "foot/f.xml", "'Page of ' || coalesce(id, name) FROM package")
+    + _story(2, "word/footer2.xml", "'Signed ' || coalesce(id, name) FROM package")
+    + _story(3, "word/ends.xml", "'Ends ' || coalesce(id, name || '.') FROM package")
+    + """
+UNION ALL SELECT doc_id, CAST(len(parts) + 3 AS INTEGER), length('Ends ' || id), 'word/ends.xml', '.'
+FROM package WHERE id IS NOT NULL"""
+    + _story(4, "word/notes/below.xml", "'Note by ' || coalesce(id, name) FROM package")
+    + _story(5, "word/said.xml", "'Said of ' || coalesce(id, name) FROM package")
+)
+
+
 # --- pages ------------------------------------------------------------------------------
 
 _PAGE_TOKEN = (
@@ -562,6 +582,22 @@ _MANY_NAMES_AUDIT = """SELECT o_orderkey, CAST(start AS INTEGER) AS start,
   CAST(c - 3 AS BIGINT) AS entry_id, 'replaced' AS status
 FROM (SELECT *, CASE WHEN last_first THEN 8 ELSE length(text) - length(matched) END AS start
   FROM spelt)"""
+# a person is told by all names only, in any order
+_MANY_HOMONYMS = """
+twin AS (
+  SELECT o_orderkey, o_orderkey % 3 AS kind, p.c, (o_orderkey // 3) % 2 AS second,
+    names[1 + (o_orderkey // 6) % p.c :] || names[: (o_orderkey // 6) % p.c] AS turned,
+    surname || CASE WHEN (o_orderkey // 3) % 2 = 1 THEN 'i' ELSE '' END AS last
+  FROM orders JOIN person p ON p.c = 4 + o_orderkey % 7
+),
+whole AS (
+  SELECT *, CASE kind WHEN 0 THEN array_to_string(turned, ' ') || ' ' || last
+    ELSE last || ' ' || array_to_string(turned, ' ') END AS matched
+  FROM twin WHERE kind < 2
+)"""
+_MANY_HOMONYMS_AUDIT = """SELECT o_orderkey, CAST(8 AS INTEGER) AS start,
+  CAST(8 + length(matched) AS INTEGER) AS "end", matched,
+  CAST(2 * (c - 4) + second + 1 AS BIGINT) AS entry_id, 'replaced' AS status FROM whole"""
 NESTED_KEEP = ("The", "The of", "of the", "the", "e", "General Public License", "Public")
 _NESTED = f"""
 SELECT doc_id, block_idx, CAST(p AS INTEGER) AS start,
@@ -754,6 +790,12 @@ WHERE status = 'replaced' AND NOT starts_with(matched, 'Economy')
         "notes_redacted": _with(
             _NOTE_EDITS
             + """, one AS (
+  SELECT DISTINCT note_id, skip, pseudonym AS id FROM keyed JOIN pseudo USING (name_key))""",
+            _REDACTED_NOTE,
+        ),
+        "notes_streamed": _with(
+            _NOTE_EDITS
+            + """, one AS (
   SELECT DISTINCT note_id, skip, pseudonym AS id FROM keyed JOIN pseudo USING (name_key))""",
             _REDACTED_NOTE,
         ),
@@ -766,6 +808,7 @@ WHERE status = 'replaced' AND NOT starts_with(matched, 'Economy')
             _NOTE_EDITS, "SELECT name_key, pseudonym FROM pseudo ORDER BY name_key"
         ),
         "apostrophes": _APOSTROPHES,
+        "homonyms_many_names": _with(_MANY_NAMES + "," + _MANY_HOMONYMS, _MANY_HOMONYMS_AUDIT),
         "many_names": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
         "many_names_inline": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
         "many_names_joined": _with(_MANY_NAMES, _MANY_NAMES_AUDIT),
@@ -872,6 +915,10 @@ FROM (
         "segment_text": _with(
             _SIGNED, "SELECT conv_id, block_idx, new_from, new_to, new_text AS text FROM moved"
         ),
+        "segment_text_joined": _with(
+            _SIGNED, "SELECT conv_id, block_idx, new_from, new_to, new_text AS text FROM moved"
+        ),
+        "package_stories": _with(_PACKAGES, _STORIES),
         "package_tags": _with(
             _PACKAGES,
             """SELECT doc_id, part, tag, CAST(n AS BIGINT) AS n FROM (
