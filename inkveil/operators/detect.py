@@ -73,12 +73,15 @@ def measure(entries: DataFrame) -> Measure:
     return Measure(**{**row.asDict(), "widths": tuple(row["widths"])})
 
 
+def fits(size: Measure) -> bool:
+    """Is the list small enough to be a constant of the plan?"""
+    return size.keys <= INLINE_KEYS and size.chars <= INLINE_CHARS
+
+
 def choose(size: Measure) -> str:
     if size.entries <= DIRECT_ENTRIES and not size.marked:
         return "direct"
-    if size.keys <= INLINE_KEYS and size.chars <= INLINE_CHARS:
-        return "inline"
-    return "joined"
+    return "inline" if fits(size) else "joined"
 
 
 def gated_blocks(blocks: DataFrame, block_key: list[str]) -> DataFrame:
@@ -101,7 +104,8 @@ def detect(
 ) -> DataFrame:
     """Blocks (`keys`, unique, and `text`) with `found`; blocks that fail the gate have
     none. `gate` replaces the test of the text itself, e.g. for pieces of blocks.
-    `report_kept` also tells the spans of kept entries, `report_shadowed` those that an entry
+    `plan` asks for a way of searching; one that holds the list in the plan fails for a list
+    that is too long for it. `report_kept` also tells the spans of kept entries, `report_shadowed` those that an entry
     before took the text from; for these the list is looked for a second time, as if kept."""
 
     def resolve(
@@ -113,6 +117,8 @@ def detect(
     gate = grammar.is_name_like(text) if gate is None else gate
     size = measure(entries)
     plan = plan or choose(size)
+    if plan in ("direct", "inline") and size.entries > DIRECT_ENTRIES and not fits(size):
+        raise ValueError(f"{size.keys} keys are too many for plan {plan!r}; use 'joined'")
     if size.entries == 0:
         return blocks.withColumn("found", spans.empty(spans.FOUND))
 

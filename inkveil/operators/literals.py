@@ -158,9 +158,12 @@ def with_kept(
     gate: Column | None = None,
     plan: str | None = None,
 ) -> DataFrame:
-    """`blocks` with `kept`, spans of kept expressions in `text`; none where `gate` fails."""
+    """`blocks` with `kept`, spans of kept expressions in `text`; none where `gate` fails.
+    A `plan` that hands the list to the workers fails for a list that is too long for it."""
     chars = chars_of(exprs)
     plan = plan or choose(chars)
+    if plan in ("pattern", "held") and chars > HELD_CHARS:
+        raise ValueError(f"{chars} characters are too many for plan {plan!r}; use 'joined'")
     if plan == "pattern":
         found = by_pattern(text, alternatives(exprs))
         if gate is not None:

@@ -11,6 +11,8 @@ from inkveil.functions.grammar import DEFAULT_KEEP_EXPRESSIONS, LIST_LINE, WORD
 from inkveil.session import constant
 
 LINES_PER_CHUNK = 65536
+# malformed lines that an error names
+NAMED_LINES = 1000
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -97,8 +99,9 @@ def well_formed(lines: DataFrame) -> DataFrame:
 def require_well_formed(lines: DataFrame, report: str | None = None) -> DataFrame:
     """Fail if there are malformed lines.
 
-    The error names every one of them. With `report`, a path, they are written there as a
-    table (`line_no, line`), and the error says where and how many they are.
+    The error names the first `NAMED_LINES` of them and says if there are more. With `report`,
+    a path, all are written there as a table (`line_no, line`), and the error says where and
+    how many they are.
     """
     bad = check_lines(lines).filter(~F.col("is_valid")).select("line_no", "line")
     if bad.isEmpty():
@@ -107,8 +110,10 @@ def require_well_formed(lines: DataFrame, report: str | None = None) -> DataFram
         bad.write.mode("overwrite").parquet(report)
         count = lines.sparkSession.read.parquet(report).count()
         raise ValueError(f"{count} list lines are not well-formed; see {report}")
-    named = ", ".join(row["line"] for row in bad.orderBy("line_no").toLocalIterator())
-    raise ValueError(f"list lines {{{named}}} are not well-formed")
+    first = bad.orderBy("line_no").limit(NAMED_LINES + 1).collect()
+    named = ", ".join(row["line"] for row in first[:NAMED_LINES])
+    more = f" and {bad.count() - NAMED_LINES} more" if len(first) > NAMED_LINES else ""
+    raise ValueError(f"list lines {{{named}}}{more} are not well-formed")
 
 
 def read_people(

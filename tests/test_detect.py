@@ -374,3 +374,19 @@ def test_search_plans_do_not_shuffle(spark, lines, blocks):
     for plan in ("direct", "inline"):
         got = detect.detect(blocks("a"), ["doc_id"], persons.entries(people), plan=plan)
         assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lists_too_long_for_a_plan_fail(lines, blocks, monkeypatch):
+    people = persons.entries(lists.parse_people(lines(*PEOPLE)))
+    monkeypatch.setattr(detect, "INLINE_KEYS", 5)
+    for plan in ("direct", "inline"):
+        with pytest.raises(ValueError, match="too many"):
+            detect.detect(blocks("Anna Luca"), ["doc_id"], people, plan=plan)
+    found = detect.detect(blocks("Anna Luca"), ["doc_id"], people).collect()
+    assert [len(r.found) for r in found] == [1]
+    monkeypatch.setattr(literals, "HELD_CHARS", 5)
+    exprs = lines("Al Sindaco").withColumnRenamed("line", "expr")
+    for plan in ("pattern", "held"):
+        with pytest.raises(ValueError, match="too many"):
+            protect.expression_spans(blocks("a"), ["doc_id"], exprs, plan)
+    assert protect.expression_spans(blocks("Al Sindaco"), ["doc_id"], exprs, "joined").count() == 1

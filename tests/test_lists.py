@@ -49,6 +49,14 @@ def test_all_bad_lines_are_named(spark, lines, tmp_path):
     assert path in str(error.value) and spark.read.parquet(path).count() == 60
 
 
+def test_an_error_names_so_many_lines(lines, monkeypatch):
+    monkeypatch.setattr(lists, "NAMED_LINES", 3)
+    for count, told in ((3, "bad 2} are"), (5, "bad 2} and 2 more are")):
+        with pytest.raises(ValueError) as error:
+            lists.require_well_formed(lines("Carlo;Pluto", *[f"bad {k}" for k in range(count)]))
+        assert told in str(error.value) and "bad 3" not in str(error.value)
+
+
 def test_people_are_never_dropped_silently(lines):
     some = lines("Carlo;Pluto", "bad", ":".join(["Ab"] * 11) + ";X")
     with pytest.raises(Exception, match="not well-formed"):
