@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from inkveil.session import staged
 from inkveil.sources.packages import local_name
 
 RESULT_SUFFIX = "-result.docx"
@@ -203,10 +204,12 @@ class PackageSink(DataSource):
 def write_packages(packages: DataFrame, folder: str) -> None:
     """Write each package below `folder`, a path of any store that Arrow's file systems know,
     as `<name>-result.docx` in the same place as it has below the folder that holds all
-    packages. No file appears under its name before all of them are written.
+    packages. No file appears under its name before all of them are written. The packages are
+    staged first: their names are read twice before the contents are written, and `packages`,
+    mostly a rewriting of them, is worked out once.
     """
     packages.sparkSession.dataSource.register(PackageSink)
-    rows = result_table(packages)
+    rows = result_table(staged(packages.select("path", "content"), "results"))
     rows.write.format("packages").mode("append").option("path", folder).save()
 
 

@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +29,17 @@ NODE_SCHEMA = (
     "parent_id int, tag string, text string, "
     "ancestors array<struct<node_id:int,tag:string>>"
 )
+_NODE_COLUMNS = [
+    "doc_id", "part_rank", "part", "node_id", "edge", "pos", "parent_id", "tag", "text",
+    "ancestors",
+]
+_NODE_TYPES = [
+    pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int32(),
+    pa.string(), pa.string(),
+]
+# a batch of nodes ends with the part that fills it
+BATCH_NODES = 8_192
+BATCH_CHARS = 4_000_000
 
 
 def read_packages(spark: SparkSession, path: str, glob: str = "*.docx") -> DataFrame:
@@ -126,28 +137,62 @@ class PartReader:
             self._open[-1]["text"].append(data)
 
 
-def _flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [
-        "doc_id", "part_rank", "part", "node_id", "edge", "pos", "parent_id", "tag", "text",
-        "ancestors",
-    ]
+class NodeTable:
+    """Rows of NODE_SCHEMA of any packages, a list for each column, for one Arrow batch."""
+
+    def __init__(self) -> None:
+        self.columns: list[list] = [[] for _ in range(9)]
+        # ancestors of all rows one after the other, and how many each row has
+        self.nodes: list[int] = []
+        self.tags: list[str] = []
+        self.depths: list[int] = [0]
+        self.chars = 0
+
+    def add(self, doc_id: str, rank: int, part: str, base: int, rows: list[tuple]) -> None:
+        for node, edge, pos, parent, tag, text, path in rows:
+            row = (doc_id, rank, part, node, edge, base + pos, parent, tag, text)
+            for column, value in zip(self.columns, row, strict=True):
+                column.append(value)
+            for ancestor in path:
+                self.nodes.append(ancestor["node_id"])
+                self.tags.append(ancestor["tag"])
+            self.depths.append(len(self.nodes))
+            self.chars += len(text or "")
+
+    def full(self) -> bool:
+        return len(self.columns[0]) >= BATCH_NODES or self.chars >= BATCH_CHARS
+
+    def batch(self) -> pa.RecordBatch:
+        ancestors = pa.ListArray.from_arrays(
+            pa.array(self.depths, pa.int32()),
+            pa.StructArray.from_arrays(
+                [pa.array(self.nodes, pa.int32()), pa.array(self.tags, pa.string())],
+                ["node_id", "tag"],
+            ),
+        )
+        own = [pa.array(c, t) for c, t in zip(self.columns, _NODE_TYPES, strict=True)]
+        return pa.RecordBatch.from_arrays([*own, ancestors], _NODE_COLUMNS)
+
+
+def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = NodeTable()
     for batch in batches:
-        for doc_id, content in zip(batch["doc_id"], batch["content"], strict=True):
+        for doc_id, content in zip(*batch.to_pydict().values(), strict=True):
             with zipfile.ZipFile(io.BytesIO(content)) as package:
                 base = 0  # positions run on over the parts of a package
                 for rank, part in story_parts(package):
                     reader = PartReader()
                     reader.parser.Parse(package.read(part), True)
-                    rows = [
-                        (doc_id, rank, part, node, edge, base + pos, parent, tag, text, path)
-                        for node, edge, pos, parent, tag, text, path in reader.rows
-                    ]
-                    base += len(rows)
-                    yield pd.DataFrame(rows, columns=columns).astype({"parent_id": "Int32"})
+                    found.add(doc_id, rank, part, base, reader.rows)
+                    base += len(reader.rows)
+                    if found.full():
+                        yield found.batch()
+                        found = NodeTable()
+    yield found.batch()
 
 
 def nodes(packages: DataFrame, parts: tuple[str, ...] = STORY_PARTS) -> DataFrame:
     """O1, O2: one row per element (and per end of a cell or paragraph)."""
     ranks = [STORY_PARTS.index(p) for p in parts]
-    all_nodes = packages.select("doc_id", "content").mapInPandas(_flatten, NODE_SCHEMA)
+    all_nodes = packages.select("doc_id", "content").mapInArrow(_flatten, NODE_SCHEMA)
     return all_nodes.filter(F.col("part_rank").isin(ranks))

@@ -227,3 +227,36 @@ def test_packages_are_parsed_once(spark, folder):
     files = packages.read_packages(spark, str(folder))
     plan = pieces.package_pieces(files)._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" not in plan
+
+
+def test_small_packages_share_arrow_batches(monkeypatch):
+    import pyarrow as pa
+
+    one = package({"word/document.xml": document(BODY), "word/header1.xml": document(BODY, "hdr")})
+    given = pa.RecordBatch.from_pydict({"doc_id": [f"d{k}" for k in range(20)], "content": [one] * 20})
+    whole_ = pa.Table.from_batches(packages._flatten(iter([given, given])))
+    # 80 parts in one batch, and the same rows in a batch for each part
+    assert len(list(packages._flatten(iter([given, given])))) == 1
+    monkeypatch.setattr(packages, "BATCH_NODES", 1)
+    parts = list(packages._flatten(iter([given, given])))
+    assert len(parts) == 81 and pa.Table.from_batches(parts).equals(whole_)
+    first = whole_.slice(0, 60).to_pylist()
+    assert [r["pos"] for r in first] == list(range(60))
+    run_text = next(r for r in first if r["tag"] == "t")
+    assert [a["tag"] for a in run_text["ancestors"]] == ["document", "p", "r"]
+    assert run_text["parent_id"] == run_text["ancestors"][-1]["node_id"]
+
+
+def test_results_are_worked_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def slow(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    names = [(f"/in/d{k}.docx", bytes([k])) for k in range(8)]
+    files = spark.createDataFrame(names, "path string, content binary")
+    sink.write_packages(files.mapInPandas(slow, files.schema), str(tmp_path / "out"))
+    assert seen.value == 8
+    assert len(list((tmp_path / "out").rglob("*.docx"))) == 8
