@@ -106,7 +106,8 @@ def detect(
     none. `gate` replaces the test of the text itself, e.g. for pieces of blocks.
     `plan` asks for a way of searching; one that holds the list in the plan fails for a list
     that is too long for it. `report_kept` also tells the spans of kept entries, `report_shadowed` those that an entry
-    before took the text from; for these the list is looked for a second time, as if kept."""
+    before took the text from; for these the list is looked for a second time, as if kept; the
+    joined plan tries the candidates it has a second time."""
 
     def resolve(
         some_text: Column, some_entries: Column, kept_here: Column, known: list | None = None
@@ -138,11 +139,11 @@ def detect(
         found = _inline(text, entries, size, kept, resolve)
         out = blocks.withColumn("found", F.when(gate, found).otherwise(spans.empty(spans.FOUND)))
     elif plan == "joined":
-        out = _joined(blocks, keys, text, entries, size, kept, gate, resolve)
+        out = _joined(blocks, keys, text, entries, size, kept, gate, resolve, report_shadowed)
     else:
         raise ValueError(f"unknown plan {plan!r}")
     out = out.drop("kept")
-    if not report_shadowed:
+    if not report_shadowed or plan == "joined":
         return out
     listed = entries.filter(~F.col("keep")).withColumn("keep", F.lit(True))
     every = detect(
@@ -327,6 +328,7 @@ def _joined(
     kept: Column,
     gate: Column,
     resolve: Resolve,
+    shadowed: bool = False,
 ) -> DataFrame:
     gate = F.coalesce(gate, F.lit(False))
     gated = blocks.filter(gate)
@@ -372,5 +374,29 @@ def _joined(
     searched = gated.join(hits, keys, "left").withColumn(
         "found", F.when(F.col("hits").isNotNull(), found).otherwise(spans.empty(spans.FOUND))
     )
+    if shadowed:
+        # the same candidates as if kept, in columns of their own: one that holds both searches
+        # is nested too deep for Spark's analyzer
+        def as_kept(hit: Column) -> Column:
+            listed = F.filter(hit["entries"], lambda e: ~e["keep"])
+            return hit.withField(
+                "entries", F.transform(listed, lambda e: e.withField("keep", F.lit(True)))
+            )
+
+        def untouched(hit: Column) -> Column:
+            start, chars = hit["start"], hit["chars"]
+            none = spans.empty(spans.SPANS)
+            every = spans.resolve(
+                text.substr(start + 1, chars), hit["entries"], none, report_kept=True
+            )
+            return spans.shift(every, start)
+
+        every = F.coalesce(F.flatten(F.transform("hits", untouched)), spans.empty(spans.FOUND))
+        searched = (
+            searched.withColumn("hits", F.transform("hits", as_kept))
+            .withColumn("_every", every)
+            .withColumn("found", spans.with_shadowed(F.col("found"), F.col("_every")))
+            .drop("_every")
+        )
     passed = blocks.filter(~gate).withColumn("found", spans.empty(spans.FOUND))
     return searched.drop("hits").unionByName(passed)

@@ -186,3 +186,17 @@ def test_registry_keeps_letters(spark, tmp_path):
     assert later.ids().count() == later.ids().select("name_key").distinct().count() == 83
     with pytest.raises(ValueError):
         registry.add("2", rows("x"), order)
+
+
+def test_shadowed_matches_share_the_joined_search(lines, blocks):
+    entries = persons.entries(lists.parse_people(lines("Mario:Luca;Rossi", "Luca;Rossi")))
+
+    def steps(shadowed):
+        found = detect.detect(
+            blocks("Mario Luca Rossi", "Luca Rossi"), ["doc_id"], entries, plan="joined",
+            report_shadowed=shadowed,
+        )
+        shown = found._jdf.queryExecution().optimizedPlan().toString()
+        return [shown.count(x) for x in ("Generate ", "Join ")]
+
+    assert steps(True) == steps(False)
