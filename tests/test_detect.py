@@ -390,3 +390,16 @@ def test_lists_too_long_for_a_plan_fail(lines, blocks, monkeypatch):
         with pytest.raises(ValueError, match="too many"):
             protect.expression_spans(blocks("a"), ["doc_id"], exprs, plan)
     assert protect.expression_spans(blocks("Al Sindaco"), ["doc_id"], exprs, "joined").count() == 1
+
+
+def test_hashed_associations_hash_each_key_once(spark, lines, blocks):
+    df = blocks("Mario Rossi", "Rossi Mario", "Luca Verdi", "nobody")
+    people = lists.parse_people(lines("Mario;Rossi", "Luca;Verdi"))
+    job = redact(df, ["doc_id"], people=people, scheme="hash", salt=7)
+    told = job.associations()
+    assert sorted(map(tuple, told.collect())) == sorted(
+        {(r.name_key, r.replacement) for r in job.spans().collect()}
+    )
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    grouped, *below = plan[plan.index("Aggregate"):].split("\n")
+    assert "md5" in grouped + plan[:plan.index("Aggregate")] and "md5" not in "".join(below)

@@ -159,3 +159,23 @@ def test_many_matches_in_one_text(spark, blocks):
         assert [tuple(s) for s in row.found] == [m.span() for m in matches]
         assert row.cut == [m[0] for m in matches]
         assert row.new == re.sub("x[0-9]+|😀", lambda m: f"<{m.start()}>", row.text)
+
+
+def test_first_digits_of_short_and_long_numbers(spark):
+    df = spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("k"))
+    told = df.select(
+        pseudonyms.base36_md5(F.col("k")).alias("all"), pseudonyms.first_digits(F.col("k")).alias("h")
+    ).collect()
+    assert all(r.h == r["all"][:12] for r in told)
+    assert {len(r["all"]) for r in told} >= {23, 24, 25}
+
+
+def test_name_key_of_plain_and_other_letters(blocks):
+    some = ["Bolt  Hot", "Bolt1 Ho-t", "Ñandú Øre", "Жук Bolt", "", "A B C", "Ĳs’ Al"]
+    old = F.upper(
+        F.regexp_replace(
+            F.array_join(F.sort_array(F.split("text", "\\s+", -1)), " "), f"[^{grammar.LETTERS} ]", ""
+        )
+    )
+    for row in blocks(*some).select(old.alias("a"), pseudonyms.name_key(F.col("text")).alias("b")).collect():
+        assert row.a == row.b
