@@ -202,6 +202,38 @@ def test_hundred_thousand_expressions(spark, blocks):
     assert literals.candidates(some, ["doc_id"], table).count() < 2 * len(want)
 
 
+def test_joined_windows_are_shuffled_once(spark, blocks, monkeypatch):
+    # every window of a text is an expression or passes a filter that has all its bits set
+    monkeypatch.setattr(
+        literals, "window_filter",
+        lambda exprs: windows.WindowFilter((2, 3), np.full(64, (1 << 64) - 1, np.uint64)),
+    )
+    table = spark.createDataFrame([("aba",), ("ab",), ("ba",), ("ab",), ("",), (None,)], "expr string")
+    some = blocks("ababab xb", "xxx", None, "", "ab").unionByName(
+        spark.createDataFrame([(0, "xxaba"), (None, "ab"), (None, "aba")], "doc_id long, text string")
+    )
+    want = [
+        (None, [(0, 3), (1, 3)]),
+        (0, [(0, 3), (1, 3), (2, 5), (3, 5), (4, 6)]),
+        (4, [(0, 2)]),
+    ]
+
+    def found():
+        rows = literals.by_join(some, ["doc_id"], table).collect()
+        told = [(r.doc_id, [(s.start, s.end) for s in r.kept]) for r in rows]
+        return sorted(told, key=lambda r: (r[0] is not None, r[0] or 0))
+
+    kept = literals.by_join(some, ["doc_id"], table)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 1
+    assert found() == want
+    # too many wrong windows to hold: each window is joined
+    monkeypatch.setattr(literals, "HELD_CHARS", 1)
+    plan = literals.by_join(some, ["doc_id"], table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan
+    assert found() == want
+
+
 def test_held_list_does_not_shuffle(spark, blocks):
     table = spark.createDataFrame([(e,) for e in NESTED], "expr string")
     kept = literals.with_kept(blocks("a"), ["doc_id"], F.col("text"), table, plan="held")
