@@ -200,3 +200,33 @@ def test_shadowed_matches_share_the_joined_search(lines, blocks):
         return [shown.count(x) for x in ("Generate ", "Join ")]
 
     assert steps(True) == steps(False)
+
+
+def test_a_stretch_is_searched_once(lines, blocks):
+    people = lists.parse_people(lines("Mario:Luca;Rossi", "Luca;Rossi", "Anna;Neri"))
+    for plan in ("inline", "joined"):
+        found = detect.detect(
+            blocks("Mario Luca Rossi, Luca Rossi", "Anna Neri", None), ["doc_id"],
+            persons.entries(people), plan=plan, report_shadowed=True,
+        )
+        shown = found._jdf.queryExecution().optimizedPlan().toString()
+        # shadowed matches come from the same candidates, and entries of a text are grouped once
+        assert "aggregate(" not in shown
+        assert shown.count("ArrowEvalPython") <= (1 if plan == "inline" else 2)
+        assert shown.count("Aggregate ") == (0 if plan == "inline" else 1)
+        told = {r.doc_id: [(s.start, s.end, s.ord, s.status) for s in r.found] for r in found.collect()}
+        assert told == {
+            0: [(0, 16, 1, "replaced"), (6, 16, 2, "shadowed"), (18, 28, 2, "replaced")],
+            1: [(0, 9, 3, "replaced")],
+            2: [],
+        }
+
+
+@pytest.mark.parametrize("plan", ["inline", "joined"])
+def test_expressions_of_candidates_are_not_compiled(lines, blocks, plan):
+    # a person's names are compared, whatever the pattern says
+    entries = persons.entries(lists.parse_people(lines("Mario:Luca;Rossi"))).withColumn(
+        "pattern", F.lit("(")
+    )
+    found = detect.detect(blocks("see Rossi LUCA"), ["doc_id"], entries, plan=plan).first().found
+    assert [(s.start, s.end) for s in found] == [(4, 14)]
