@@ -230,3 +230,15 @@ def test_expressions_of_candidates_are_not_compiled(lines, blocks, plan):
     )
     found = detect.detect(blocks("see Rossi LUCA"), ["doc_id"], entries, plan=plan).first().found
     assert [(s.start, s.end) for s in found] == [(4, 14)]
+
+
+def test_joined_search_reads_the_blocks_once(spark, lines, blocks):
+    people = lists.parse_people(lines("Mario;Rossi"))
+    some = blocks("see Mario Rossi", "nothing", None).repartition(2)
+    job = redact(some, ["doc_id"], people=people, plan="joined")
+    for told in (job.audit(), job.spans()):
+        shown = told._jdf.queryExecution().optimizedPlan().toString()
+        # the blocks were written when they passed the gate; the others are not read
+        assert "Repartition" not in shown and "Union" not in shown
+    assert [tuple(r) for r in job.audit().collect()] == [(0, 4, 15, "Mario Rossi", 1, "replaced")]
+    assert sorted(r.doc_id for r in job.texts().collect()) == [0, 1, 2]
