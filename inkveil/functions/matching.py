@@ -18,8 +18,8 @@ from inkveil.functions import grammar, spans
 _L = grammar.LETTERS
 _WORDS = re.compile(f"([{_L}]+)([^{_L}]*)")
 _WORD = re.compile(f"[{_L}]+")
-_GLUE = re.compile(grammar.GLUE, re.ASCII)
-_PARTICLE = re.compile(f"(?i:{grammar.PARTICLES})", re.ASCII)
+_GLUE = re.compile(f"{grammar.GLUE}\\Z", re.ASCII)
+_PARTICLE = re.compile(f"(?i:{grammar.PARTICLES})\\Z", re.ASCII)
 # where a name or surname can begin
 _BEGINS = re.compile(f"(?<![{_L}]).", re.DOTALL)
 _LETTER = frozenset(c for c in map(chr, range(0x1E9F)) if re.match(f"[{_L}]", c))
@@ -42,12 +42,12 @@ _MARKED = translated(grammar.MARKED_NAME)
 
 @lru_cache(1 << 16)
 def _fits_capital(word: str) -> bool:
-    return "A" <= word[0] <= "Z" or _PARTICLE.fullmatch(word) is not None
+    return "A" <= word[0] <= "Z" or _PARTICLE.match(word) is not None
 
 
 @lru_cache(1 << 14)
 def _is_glue(gap: str) -> bool:
-    return _GLUE.fullmatch(gap) is not None
+    return _GLUE.match(gap) is not None
 
 
 def ascii_lower(text: str) -> str:
