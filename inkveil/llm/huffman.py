@@ -53,16 +53,19 @@ class Code:
         ends = np.cumsum(size)
         self.codes = np.zeros(len(lengths), np.uint64)
         self.codes[self.order] = (ends - size) >> (self.limit - self.lengths[self.order])
-        # what the next `limit` bits stand for; the rest of the table is never reached
-        self.symbol_of = np.zeros(1 << self.limit, np.uint32)
-        self.length_of = np.ones(1 << self.limit, np.int64)
+        # what the next `limit` bits stand for, symbol and length; the rest is never reached
+        self.next = np.ones(1 << self.limit, np.int64)
         filled = int(ends[-1]) if len(ends) else 0
-        self.symbol_of[:filled] = np.repeat(self.order, size)
-        self.length_of[:filled] = np.repeat(self.lengths[self.order], size)
+        self.next[:filled] = np.repeat(self.order << 5 | self.lengths[self.order], size)
 
     def pack(self, ids: np.ndarray, step: int) -> tuple[bytes, np.ndarray]:
         """The codes of some ids, first bit highest, and the bit offset of every `step`-th id."""
         sizes, codes = self.lengths[ids], self.codes[ids]
+        if step % 2 == 0:  # two codes fit a word
+            if len(ids) % 2:
+                sizes, codes = np.append(sizes, 0), np.append(codes, np.uint64(0))
+            codes = codes[::2] << sizes[1::2].astype(np.uint64) | codes[1::2]
+            sizes, step = sizes[::2] + sizes[1::2], step // 2
         ends = np.cumsum(sizes)
         starts = ends - sizes
         n_bits = int(ends[-1]) if len(ends) else 0
@@ -87,17 +90,18 @@ class Code:
         The last row of a payload goes on into zeros; the caller knows where ids end.
         """
         base = np.cumsum([0, *map(len, payloads)][:-1])
-        buffer = b"".join([*payloads, bytes(8)])
+        # the last row ends less than `step` codes behind the payloads
+        buffer = b"".join([*payloads, bytes(step * self.limit // 8 + 8)])
         ahead = np.ndarray(len(buffer) - 4, ">u4", buffer, strides=(1,))
         at = np.concatenate(
             [8 * b + c for b, c in zip(base, checkpoints, strict=True)] or [np.zeros(0, np.int64)]
         ).astype(np.int64)
-        last = 8 * (len(buffer) - 5)
         out = np.empty((step, len(at)), np.uint32)
         shift = 32 - self.limit
         for k in range(step):
             bits = ahead[at >> 3].astype(np.uint32)
             bits = (bits << (at & 7).astype(np.uint32)) >> np.uint32(shift)
-            out[k] = self.symbol_of[bits]
-            at = np.minimum(at + self.length_of[bits], last)
+            found = self.next[bits]
+            out[k] = found >> 5
+            at += found & 31
         return out.T

@@ -29,17 +29,63 @@ from inkveil.session import constant
 
 BLOCK = 1 << 16
 STEP = 1 << 8
-#: Characters encoded at a time, cut between words; pieces that a worker remembers, some
-#: 200 bytes each.
-SEGMENT = 1 << 19
-REMEMBERED = 350_000
+#: Characters encoded at a time, longer texts cut between words; pieces that a worker
+#: remembers, twice as many at most, some 200 bytes each.
+SEGMENT = 1 << 20
+REMEMBERED = 300_000
+LEARNT = 1 << 12
 END = 2
 
 _GAP = re.compile(r"(?<=\S) ")
-# words of plain letters, and runs of signs (but apostrophes), with one line break at most,
-# that the splitter sets apart from them
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
-_SIGNS = re.compile(r"([!-&(-/:-@\[-`{-~]*\n|[!-&(-/:-@\[-`{-~]+)")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+
+# kinds of characters: blanks, other white space, white space that is not cut at, letters,
+# digits, signs, apostrophes, all else
+_BLANK, _BREAK, _SPACE, _LETTER, _DIGIT, _SIGN, _QUOTE, _OTHER = range(8)
+#: White space that is not cut at; stands between texts.
+_BETWEEN = "\x1c"
+
+
+def _kinds() -> np.ndarray:
+    """The kind of every code point."""
+    kinds = np.full(0x110000, _OTHER, np.uint8)
+    for point in range(0x3100):
+        if chr(point).isspace():
+            kinds[point] = _SPACE
+        elif re.match(f"[{_LETTERS}]", chr(point)):
+            kinds[point] = _LETTER
+    kinds[0x21:0x7F] = np.where(kinds[0x21:0x7F] == _LETTER, _LETTER, _SIGN)
+    kinds[ord("0") : ord("9") + 1] = _DIGIT
+    kinds[ord("'")] = _QUOTE
+    kinds[9:14] = _BREAK
+    kinds[ord(" ")] = _BLANK
+    return kinds
+
+
+_ALWAYS, _AMONG_SPACE = 1, 2
+
+
+def _between() -> np.ndarray:
+    """Whether the splitter always cuts between two kinds, whatever stands around them."""
+    cuts = np.zeros((8, 8), np.uint8)
+    full = [_LETTER, _DIGIT, _SIGN, _QUOTE, _OTHER]
+    cuts[np.ix_(full, [_BLANK, _BREAK])] = _ALWAYS
+    cuts[_BREAK, full] = _ALWAYS
+    cuts[_LETTER, [_DIGIT, _SIGN, _QUOTE]] = _ALWAYS
+    cuts[_DIGIT, [_LETTER, _SIGN, _QUOTE]] = _ALWAYS
+    cuts[_SIGN, [_LETTER, _DIGIT]] = _ALWAYS
+    cuts[_QUOTE, _DIGIT] = _ALWAYS  # but not before letters: 's is one piece
+    cuts[: _BREAK + 1, : _BREAK + 1] = _AMONG_SPACE
+    return cuts.ravel()
+
+
+def _byte_letters() -> np.ndarray:
+    """The letter (UTF-16) that a byte-level vocabulary writes for each byte."""
+    letters = np.arange(256, dtype="<u2")
+    rest = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+    letters[rest] = 256 + np.arange(len(rest))
+    return letters
 
 
 def _kind(library) -> np.dtype:
@@ -49,11 +95,11 @@ def _kind(library) -> np.dtype:
 class Encoder:
     """Ids of texts by the tokenizers library, as little-endian numbers of `kind`.
 
-    A byte-level tokenizer without a normaliser never joins what stands before a blank after a
-    non-blank with what follows, so text is encoded piece by piece, and pieces are remembered.
-    Letters with signs or a line break behind them are further taken apart, as the splitter
-    does. Unseen words go to the library as one list. Stretches with runs of white
-    space or special strings go there as they are.
+    A byte-level tokenizer without a normaliser cuts texts by a splitter and codes each piece
+    for itself. Texts are cut, some together, where the splitter surely does; every different
+    piece is looked up once, and pieces are remembered. Unseen words of letters, one piece for
+    the splitter, go to the library's model; others, with what may be cut further, go to the
+    library. Texts with special strings go there as they are.
     """
 
     def __init__(self, path: str) -> None:
@@ -61,106 +107,101 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.kind = _kind(self.library)
-        line_break = self.plain(["\n"])[0]
-        # words in a list stand behind a blank, which the library joins with each, or a line
-        # break, which is an id of its own
-        vocabulary = self.library.get_vocab()
-        self.opens = np.zeros(self.library.get_vocab_size(), bool)
-        self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
-        self.breaks = np.zeros_like(self.opens)
-        self.breaks[np.frombuffer(line_break, self.kind)] = True
-        # full tables are set aside; what is met again is taken over from there
+        self.kinds, self.cuts, self.letters = _kinds(), _between(), _byte_letters()
+        # a full table is set aside; what is met again is taken over from there
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def _listed(self, words: list[str], mark: str, at_mark: np.ndarray) -> list[bytes]:
-        """The ids of words of letters, each behind `mark`, of which no word is a part."""
-        ids = self.library.encode_batch_fast([mark + mark.join(words)], add_special_tokens=False)
-        ids = np.array(ids[0].ids, self.kind)
-        begins = np.flatnonzero(at_mark[ids])
-        if len(begins) != len(words):
-            return self.plain([w if mark == "\n" else mark + w for w in words])
-        skipped = int(mark == "\n")
-        data, size = ids.tobytes(), self.kind.itemsize
-        ends = [*(begins[1:] * size).tolist(), len(data)]
-        return [data[b:e] for b, e in zip(((begins + skipped) * size).tolist(), ends, strict=True)]
-
-    def learn(self, pieces: set[str]) -> None:
-        """Remember the ids of pieces that stand behind a blank.
-
-        Pieces that are empty or end in white space would join the blank behind them and are
-        never remembered.
-        """
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters, with or without a blank before them."""
+        written = self.letters[np.frombuffer("\n".join(words).encode(), np.uint8)]
+        written = written.tobytes().decode("utf-16-le").split(chr(self.letters[ord("\n")]))
+        found = [self.model.tokenize(w) for w in written]
+        data = np.array([t.id for tokens in found for t in tokens], self.kind).tobytes()
+        ends = (np.cumsum([len(tokens) for tokens in found]) * self.kind.itemsize).tolist()
+        return [data[b:e] for b, e in zip([0, *ends], ends, strict=False)]
+
+    def learn(self, pieces: list[str]) -> None:
+        """Remember the ids of pieces."""
         if len(self.pieces) > REMEMBERED:
             self.pieces, self.older = {}, self.pieces
-        if len(self.words) > REMEMBERED:
-            self.words = {}
-        known, words, older = self.pieces, self.words, self.older
-        again = older.keys() & pieces
-        known.update(zip(again, map(older.__getitem__, again), strict=True))
-        pieces = pieces - again
-        fresh = {p for p in pieces if p.isalpha() and (p.isascii() or _LETTERS.fullmatch(p))}
-        first, signs, composed, others = set(), set(), [], []
-        for piece in pieces - fresh:
-            if not piece or piece[-1].isspace():
-                continue
-            parts = _SIGNS.split(piece)
-            if not all(map(_LETTERS.fullmatch, parts[::2] if parts[-1] else parts[:-1:2])):
-                others.append(piece)
-                continue
-            composed.append((piece, parts))
-            if parts[0] not in known:
-                fresh.add(parts[0])
-            signs.update(w for w in parts[1::2] if w not in words)
-            first.update(w for w in parts[2::2] if w and w not in words)
-        # the first word of a piece has the blank before it, the others a sign or line break
-        if fresh:
-            ordered = list(fresh)
-            known.update(zip(ordered, self._listed(ordered, " ", self.opens), strict=True))
-        if first:
-            ordered = list(first)
-            words.update(zip(ordered, self._listed(ordered, "\n", self.breaks), strict=True))
-        if signs:
-            ordered = list(signs)
-            words.update(zip(ordered, self.plain(ordered), strict=True))
-        for piece, (head, *rest) in composed:
-            known[piece] = known[head] + b"".join([words[w] for w in rest if w])
-        if others:
-            known.update(zip(others, self.plain([" " + p for p in others]), strict=True))
-
-    def head(self, word: str) -> bytes:
-        """The ids of what stands before the first blank."""
-        found = self.words.get(word)
-        if found is None:
-            found = self.plain([word])[0]
-            if _LETTERS.fullmatch(word):
-                self.words[word] = found
-        return found
+        known, older = self.pieces, self.older
+        unseen = [p for p in pieces if p not in known]
+        known.update((p, older[p]) for p in unseen if p in older)
+        unseen = [p for p in unseen if p not in older]
+        words, others = [], []
+        for piece in unseen:
+            (words if _WORD.fullmatch(piece) else others).append(piece)
+        for run, own in ((self._words, words), (self.plain, others)):
+            for begin in range(0, len(own), LEARNT):
+                some = own[begin : begin + LEARNT]
+                known.update(zip(some, run(some), strict=True))
+
+    def _cut(self, text: str, starts: np.ndarray, data: bytes) -> np.ndarray:
+        """Byte offsets of pieces of `text`, cut at the characters `starts` in any case."""
+        kinds = self.kinds[np.frombuffer(text.encode("utf-32-le"), "<u4")]
+        found = self.cuts[(kinds[:-1] << 3) | kinds[1:]]
+        cut = np.zeros(len(kinds) + 1, bool)
+        cut[1:-1] = found == _ALWAYS
+        # the last of several, before what is no white space, is apart from those before it
+        among = 1 + np.flatnonzero(found[:-1] == _AMONG_SPACE)
+        cut[among[kinds[among + 1] >= _LETTER]] = True
+        cut[starts] = True
+        at = np.flatnonzero(cut)
+        if len(data) == len(kinds):
+            return at
+        begins = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)
+        return np.append(begins[at[:-1]], len(data))
+
+    def _coded(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts without special strings; their pieces are looked up together."""
+        text = _BETWEEN.join(["", *texts, ""])
+        data = text.encode()
+        ends = np.cumsum([0, *(1 + len(t) for t in texts)])
+        offsets = self._cut(text, np.concatenate([ends, ends + 1]), data).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(
+            len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data)
+        ).dictionary_encode()
+        different = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn(different)
+        ids = pa.array(list(map(self.pieces.__getitem__, different)), pa.binary())
+        ids = ids.take(pieces.indices)
+        # what stands between texts is a piece of its own, left out here
+        marks = np.cumsum([0, *(1 + len(t.encode()) for t in texts)])
+        first = np.searchsorted(offsets, marks)
+        at = np.frombuffer(ids.buffers()[1], np.int32)[: len(ids) + 1]
+        coded = memoryview(ids.buffers()[2])
+        begins, stops = at[first[:-1] + 1].tolist(), at[first[1:]].tolist()
+        return [bytes(coded[b:e]) for b, e in zip(begins, stops, strict=True)]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; unseen pieces of all of them are learnt together."""
-        cut = [list(_segments(text)) for text in texts]
-        parts = [[segment.split(" ") for segment in own] for own in cut]
-        needed = {p for own in parts for pieces in own for p in pieces[1:]}
-        self.learn(needed.difference(self.pieces))
-        out, known = [], self.pieces.__getitem__
-        for own, whole in zip(parts, cut, strict=True):
-            ids = []
-            for pieces, segment in zip(own, whole, strict=True):
-                try:
-                    if any(s in segment for s in self.special):
-                        raise KeyError(segment)
-                    ids += [self.head(pieces[0]), *map(known, pieces[1:])]
-                except KeyError:  # special strings or runs of white space
-                    ids.append(self.plain([segment])[0])
-            out.append(b"".join(ids))
+        """The ids of each text; pieces of all of them are looked up together."""
+        out: list[bytes] = [b""] * len(texts)
+        held: list[tuple[int, str]] = []
+        size = 0
+
+        def flush() -> None:
+            for (k, _), ids in zip(held, self._coded([s for _, s in held]), strict=True):
+                out[k] = out[k] + ids if out[k] else ids
+
+        for k, text in enumerate(texts):
+            if any(s in text for s in self.special):
+                out[k] = b"".join(self.plain(list(_segments(text))))
+                continue
+            for segment in _segments(text):
+                held.append((k, segment))
+                size += len(segment)
+                if size >= SEGMENT:
+                    flush()
+                    held, size = [], 0
+        flush()
         return out
 
     def encode(self, text: str | None) -> bytes:

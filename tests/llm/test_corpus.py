@@ -148,6 +148,32 @@ def test_encoder_equals_the_library():
         assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == expected, text
 
 
+def test_encoder_learns_each_word_once():
+    encoder = tokenfiles.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    words = [a + b for a in ("the", "er", "ñe", "ou", "ble") for b in ("in", "st", "é", "ly", "on")]
+    texts = [" ".join(f"{a}{sign}{b}" for b in words) for a in words for sign in (",", ".\n", "-")]
+    expected = [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+    found = encoder.encode_all(texts)
+    assert [np.frombuffer(ids, encoder.kind).tolist() for ids in found] == expected
+    # words with and without a blank before them, signs, line breaks; not their combinations
+    assert len(encoder.pieces) <= 2 * len(words) + 10
+
+
+def test_encoder_keeps_texts_apart(monkeypatch):
+    encoder = tokenfiles.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(3)
+    pieces = ["a", "'", "s", " ", "\n", "\t", "\x1c", "\x85", "\u3000", "7", "²", "×", "ж", "日", "e\u0301", ".,"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(4000)]
+    texts[7] = texts[2000] = "b <|endoftext|>\n a"
+    expected = [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+    for segment, remembered in ((tokenfiles.SEGMENT, tokenfiles.REMEMBERED), (5, 20)):
+        monkeypatch.setattr(tokenfiles, "SEGMENT", segment)
+        monkeypatch.setattr(tokenfiles, "REMEMBERED", remembered)
+        found = encoder.encode_all(texts)
+        assert [np.frombuffer(ids, encoder.kind).tolist() for ids in found] == expected
+    assert encoder.encode_all([]) == [] and encoder.encode(None) == b""
+
+
 def token_rows(rows):
     """(doc_id, ids) by the library, ids of documents ascending, null last."""
     from tokenizers import Tokenizer
