@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkveil.llm.common import staged
+from inkveil.llm.common import merged, staged
 
 LOW, HIGH = "low", "high"
 
@@ -28,13 +28,13 @@ def _large_star(links: DataFrame) -> DataFrame:
         links.select(F.col(HIGH).alias("u"), F.col(LOW).alias("v"))
     )
     least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    return both.filter("v > u").join(least, "u").select(*_ordered("v", "m")).distinct()
+    return merged(both.filter("v > u"), least, "u").select(*_ordered("v", "m")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are linked to the least of them."""
     least = links.groupBy(F.col(HIGH).alias("u")).agg(F.min(LOW).alias("m"))
-    towards = links.select(F.col(HIGH).alias("u"), F.col(LOW).alias("v")).join(least, "u")
+    towards = merged(links.select(F.col(HIGH).alias("u"), F.col(LOW).alias("v")), least, "u")
     return (
         towards.filter("v > m")
         .select(*_ordered("v", "m"))

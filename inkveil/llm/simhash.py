@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkveil.llm.common import free_name, raw, resident, staged, word_blocks
+from inkveil.llm.common import free_name, merged, raw, resident, staged, word_blocks
 from inkveil.llm.components import HIGH, LOW, components
 
 SHINGLE = 3
@@ -92,7 +92,7 @@ def near_links(values: DataFrame, value: str, crowded: int = CROWDED) -> DataFra
     """
     placed = values.select(F.col(value).alias("v"), F.explode(_cells(F.col(value))).alias("cell"))
     sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = staged(placed.join(sizes, "cell"), "cells")
+    shared = staged(merged(placed, sizes, "cell"), "cells")
     near = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= 2
     pairs = (
         shared.filter(F.col("n") <= crowded)
@@ -117,7 +117,7 @@ def near_links(values: DataFrame, value: str, crowded: int = CROWDED) -> DataFra
         .select("v", F.explode(F.concat(F.array("v"), flips)).alias("at"))
     )
     hubs = met.groupBy("at").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("at")
-    stars = met.join(hubs, "at").select(
+    stars = merged(met, hubs, "at").select(
         F.least("v", "at").alias(LOW), F.greatest("v", "at").alias(HIGH)
     )
     return pairs.unionAll(stars.filter(f"{LOW} < {HIGH}")).distinct()
@@ -133,7 +133,7 @@ def classes(marked: DataFrame, fp: str, doc_id: str, crowded: int = CROWDED) ->
         marked.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("least_id")), "values"
     )
     roots = staged(components(near_links(values, "fp", crowded)), "roots")
-    linked = values.join(roots, F.col("fp") == F.col("node"), "left").select(
+    linked = merged(values, roots, F.col("fp") == F.col("node"), how="left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root")
     )
     least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))

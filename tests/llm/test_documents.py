@@ -11,6 +11,7 @@ from llm.conftest import LONG, TEXTS, plain, sentence
 from pyspark.sql import functions as F
 
 from inkveil.llm import (
+    components,
     decontaminate,
     language,
     lines,
@@ -89,6 +90,21 @@ def test_links_of_near_values(spark, crowded):
     assert got == least_reachable(rows)
 
 
+def test_no_links_are_broadcast(spark, monkeypatch):
+    plans, write = [], simhash.staged
+
+    def told(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "staged", told)
+    monkeypatch.setattr(components, "staged", told)
+    marked = spark.createDataFrame([(v, v) for v in range(200)], "fp long, doc_id long")
+    for crowded in (2, 64):
+        assert simhash.classes(marked, "fp", "doc_id", crowded).count() == 200
+    assert plans and not [p for p in plans if "Broadcast" in p]
+
+
 def test_keep_one(edge, nothing):
     kept = simhash.keep_one(edge)
     assert kept.columns == edge.columns
