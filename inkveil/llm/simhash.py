@@ -187,6 +187,6 @@ def class_roots(marked: DataFrame, fp: str, crowded: int = CROWDED) -> DataFrame
     """(fp, root): a fingerprint that names the class, for each distinct one of `marked`."""
     values = staged(marked.select(F.col(fp).alias("fp")).distinct(), "values")
     roots = staged(components(near_links(values, "fp", crowded)), "roots")
-    return values.join(roots, F.col("fp") == F.col("node"), "left").select(
+    return merged(values, roots, F.col("fp") == F.col("node"), how="left").select(
         "fp", F.coalesce("root", "fp").alias("root")
     )

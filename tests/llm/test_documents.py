@@ -102,6 +102,7 @@ def test_no_links_are_broadcast(spark, monkeypatch):
     marked = spark.createDataFrame([(v, v) for v in range(200)], "fp long, doc_id long")
     for crowded in (2, 64):
         assert simhash.classes(marked, "fp", "doc_id", crowded).count() == 200
+        assert simhash.class_roots(marked.select("fp"), "fp", crowded).count() == 200
     assert plans and not [p for p in plans if "Broadcast" in p]
 
 
