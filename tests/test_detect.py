@@ -234,6 +234,53 @@ def test_joined_windows_are_shuffled_once(spark, blocks, monkeypatch):
     assert found() == want
 
 
+def test_packed_spans():
+    rng = random.Random(5)
+    rows = [[], [(0, 1)], [(127, 255), (128, 129), (20_000, 40_000), (3_000_000, 2_000_000_000)], []]
+    for _ in range(50):
+        starts = sorted(rng.sample(range(100_000), rng.randint(0, 40)))
+        rows.append([(s, s + rng.choice([1, 5, 127, 128, 9000])) for s in starts])
+    offsets = np.cumsum([0, *map(len, rows)])
+    flat = np.array([s for row in rows for s in row], np.int64)
+    data, places = windows.packed(offsets, flat[:, 0], flat[:, 1])
+    for k, row in enumerate(rows):
+        starts, ends = windows.unpacked(data[places[k] : places[k + 1]].tobytes())
+        assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == row
+    # some two bytes a span, where a number for each took eight
+    near = np.arange(0, 40_000, 20)
+    assert len(windows.packed(np.array([0, len(near)]), near, near + 9)[0]) == 2 * len(near)
+
+
+@pytest.mark.parametrize("least", [0, 1, 2])
+def test_filters_tell_what_cannot_be_held(spark, blocks, monkeypatch, least):
+    # a filter that lets every window of a length through leaves more wrong ones than can be held
+    rng = random.Random(33)
+    words = sorted({"".join(rng.choices("abcdef", k=rng.randint(4, 6))) for _ in range(1500)})
+    some = blocks(*["".join(rng.choices("abcdef", k=60)) + rng.choice(words) for _ in range(400)], None)
+    table = spark.createDataFrame([(e,) for e in words], "expr string")
+    monkeypatch.setattr(
+        literals, "window_filter",
+        lambda exprs: windows.WindowFilter((4, 5, 6), np.full(64, (1 << 64) - 1, np.uint64)),
+    )
+    levels, tell = [], literals._told
+    monkeypatch.setattr(literals, "_told", lambda *x: levels.append(tell(*x)) or levels[-1])
+    monkeypatch.setattr(literals, "FILTER_BYTES", 1 << 12)
+    monkeypatch.setattr(literals, "HELD_CHARS", (1 << 24, 3000, 300)[least])
+    # small filters let many of the others through
+    monkeypatch.setattr(windows, "BITS_EACH", 3)
+    kept = literals.by_join(some, ["doc_id"], table)
+    assert "Join" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert levels and len(levels[0].filters) >= least
+    got = {r.doc_id: {(s.start, s.end) for s in r.kept} for r in kept.collect()}
+    known = set(words)
+    for row in some.collect():
+        text, want = row.text or "", set()
+        for i in range(len(text)):
+            fit = [n for n in (4, 5, 6) if i + n <= len(text) and text[i : i + n] in known]
+            want |= {(i, i + n) for n in fit[-1:]}
+        assert got.get(row.doc_id, set()) == want
+
+
 def test_held_list_does_not_shuffle(spark, blocks):
     table = spark.createDataFrame([(e,) for e in NESTED], "expr string")
     kept = literals.with_kept(blocks("a"), ["doc_id"], F.col("text"), table, plan="held")
