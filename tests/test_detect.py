@@ -344,6 +344,33 @@ def test_search_once_for_all_outputs(spark, lines, blocks, tmp_path):
     assert read and all("/job/" in f for f in read)
 
 
+def test_broadcast_list_is_searched_in_one_stage(spark, lines, blocks):
+    people = persons.entries(lists.parse_people(lines(*PEOPLE))).persist()
+    exprs = spark.createDataFrame([(e,) for e in KEEP], "expr string")
+    # the first text has the candidates of several batches
+    long = " ".join(texts(60, 31))
+    some = blocks(long, None, "", "nobody at all", *texts(200, 32), long).withColumn(
+        "more", F.struct(F.col("doc_id").alias("id"), F.array("text").alias("ts"))
+    )
+    some = some.withColumn("doc_id", F.when(F.col("doc_id") != 7, F.col("doc_id")))
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        searched, _ = detect.detect_open(some, ["doc_id"], people, exprs, plan="joined")
+        plan = searched._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        got = {r.doc_id: r for r in detect.detect(some, ["doc_id"], people, exprs, plan="joined").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    want = detect.detect(some, ["doc_id"], people, exprs, plan="inline").collect()
+    assert len(got) == len(want) and max(len(r.found) for r in want) > 5
+    for row in want:
+        # a text without a key is not searched by joins
+        expected = [] if row.doc_id is None else as_tuples(row.found)
+        assert as_tuples(got[row.doc_id].found) == expected, row.text
+        assert got[row.doc_id][:3] == row[:3]
+
+
 def test_salted_join(spark, lines, blocks, monkeypatch):
     monkeypatch.setattr(detect, "BROADCAST_CHARS", 0)
     people = lists.parse_people(lines(*PEOPLE))
