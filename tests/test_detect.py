@@ -410,6 +410,17 @@ def test_block_without_two_capitals_is_left_alone(spark, lines, blocks):
     ]
 
 
+def test_gate_reads_the_text_once(spark, lines, blocks, monkeypatch):
+    # a filter works its input out for each time it is named
+    gates, joined = [], detect._joined
+    monkeypatch.setattr(detect, "_joined", lambda *x: gates.append(str(x[6])) or joined(*x))
+    entries = persons.entries(lists.parse_people(lines(*PEOPLE)))
+    some = blocks("see Anna Luca", "Anna\ufdd2Luca here", "Anna\ufdd3 Luca", "by \ufdd4Anna Luca")
+    found = detect.detect(some, ["doc_id"], entries, plan="joined").collect()
+    assert {r.doc_id: len(r.found) for r in found} == {0: 1, 1: 0, 2: 0, 3: 1}
+    assert len(gates) == 1 and gates[0].count("text") == 1
+
+
 def test_marks_in_the_text_do_no_harm(spark, lines, blocks):
     people = lists.parse_people(lines("Mario;Rossi"))
     text = "﷒﷓ Mario Rossi ﷔x"
