@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import os
 import uuid
 import xml.parsers.expat
@@ -141,9 +142,10 @@ def store_of(folder: str) -> tuple[fs.FileSystem, str]:
 
 @dataclass
 class Written(WriterCommitMessage):
-    """What a task has put aside: names of results, for the folder they belong to."""
+    """Where a task has written the names of the results it has put aside, below the folder of
+    all that is put aside: the driver holds the names of one task at a time."""
 
-    results: list[str]
+    names: str
 
 
 class PackageWriter(DataSourceWriter):
@@ -156,14 +158,16 @@ class PackageWriter(DataSourceWriter):
 
     def write(self, iterator: Iterator[Row]) -> Written:
         store, folder = store_of(self.folder)
-        results = []
-        for row in iterator:
-            target = f"{folder}/{self.aside}/{row['result']}"
-            store.create_dir(os.path.dirname(target), recursive=True)
-            with store.open_output_stream(target) as out:
-                out.write(row["content"])
-            results.append(row["result"])
-        return Written(results)
+        names = f".names-{uuid.uuid4().hex}"
+        store.create_dir(f"{folder}/{self.aside}", recursive=True)
+        with store.open_output_stream(f"{folder}/{self.aside}/{names}") as told:
+            for row in iterator:
+                target = f"{folder}/{self.aside}/{row['result']}"
+                store.create_dir(os.path.dirname(target), recursive=True)
+                with store.open_output_stream(target) as out:
+                    out.write(row["content"])
+                told.write(json.dumps(row["result"]).encode() + b"\n")
+        return Written(names)
 
     def commit(self, messages: list[Written | None]) -> None:
         store, folder = store_of(self.folder)
@@ -173,8 +177,10 @@ class PackageWriter(DataSourceWriter):
             store.move(f"{folder}/{self.aside}/{result}", f"{folder}/{result}")
 
         with ThreadPoolExecutor(32) as pool:
-            for message in messages:
-                for _ in pool.map(move, message.results if message else ()):
+            for message in filter(None, messages):
+                with store.open_input_stream(f"{folder}/{self.aside}/{message.names}") as told:
+                    results = [json.loads(line) for line in told.read().splitlines()]
+                for _ in pool.map(move, results):
                     pass
         self._clear(store, folder)
 

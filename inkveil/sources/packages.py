@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import fnmatch
 import io
+import os
 import posixpath
+import re
 import xml.parsers.expat
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkveil.session import staged
+
 # --- fixed values -------------------------------------------------------------------
 WORD_NAMESPACES = (
     "http://schemas.openxmlformats.org/wordprocessingml/2006/main",
@@ -40,10 +46,18 @@ _NODE_TYPES = [
 # a batch of nodes ends with the part that fills it
 BATCH_NODES = 8_192
 BATCH_CHARS = 4_000_000
+FILES_PER_TASK = 1_000
 
 
 def read_packages(spark: SparkSession, path: str, glob: str = "*.docx") -> DataFrame:
-    """`doc_id, path, content` from any path Spark can read; the path is the key."""
+    """`doc_id, path, content` from any path Spark can read; the path is the key.
+
+    A local folder, which executors have to share, is listed by a task and its files are read by
+    tasks: the driver holds no list of them. Of other stores Spark's driver holds one.
+    """
+    folder = _local_folder(spark, path)
+    if folder is not None and not set(glob) & set("{}[]\\"):
+        return _read_folder(spark, folder, glob)
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -53,6 +67,72 @@ def read_packages(spark: SparkSession, path: str, glob: str = "*.docx") -> DataF
     return files.select(F.col("path").alias("doc_id"), "path", "content")
 
 
+def _local_folder(spark: SparkSession, path: str) -> str | None:
+    """The absolute path of a local folder; None for all else, patterns of paths too."""
+    if set(path) & set("*?{}[]\\%"):
+        return None
+    if path.startswith("file:"):
+        path = re.sub("^file:/+", "/", path)
+    elif "://" in path or not _is_local(spark):
+        return None
+    path = os.path.abspath(path)
+    return path if os.path.isdir(path) else None
+
+
+def _is_local(spark: SparkSession) -> bool:
+    store = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    return store is None or store.startswith("file:")
+
+
+def _hidden(name: str) -> bool:
+    """What Spark's readers pass over."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith(
+        "._COPYING_"
+    )
+
+
+def _files_below(folder: str, glob: str) -> Iterator[str]:
+    open_ = [folder]
+    while open_:
+        with os.scandir(open_.pop()) as found:
+            for entry in found:
+                if _hidden(entry.name):
+                    continue
+                if entry.is_dir():
+                    open_.append(entry.path)
+                elif fnmatch.fnmatchcase(entry.name, glob):
+                    yield entry.path
+
+
+def _read_folder(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    def listed(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = _files_below(folder, glob)
+        while some := list(islice(names, BATCH_NODES)):
+            yield pa.RecordBatch.from_pydict({"path": pa.array(some, pa.string())})
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with open(path, "rb") as file:
+                    rows.append((f"file:{path}", file.read()))
+                size += len(rows[-1][1])
+                if size >= BATCH_CHARS or len(rows) >= BATCH_NODES:
+                    yield _packages(rows)
+                    rows, size = [], 0
+        yield _packages(rows)
+
+    names = staged(spark.range(0, 1, 1, 1).mapInArrow(listed, "path string"), "listed")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-names.count() // FILES_PER_TASK))
+    return names.repartition(tasks).mapInArrow(read, "doc_id string, path string, content binary")
+
+
+def _packages(rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
+    path = pa.array([p for p, _ in rows], pa.string())
+    content = pa.array([c for _, c in rows], pa.binary())
+    return pa.RecordBatch.from_arrays([path, path, content], ["doc_id", "path", "content"])
+
+
 def related(package: zipfile.ZipFile, part: str) -> list[tuple[str, str]]:
     """(last word of the type, name) of the parts that `part` ("" is the package) relates to."""
     folder, base = posixpath.split(part)

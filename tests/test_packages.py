@@ -201,6 +201,35 @@ def test_failed_write_leaves_nothing(spark, tmp_path):
     assert {bytes(r.content) for r in back.collect()} == {c for _, c in names}
 
 
+def test_local_folders_are_not_listed_on_the_driver(spark, tmp_path):
+    names = ["a.docx", "x/b.docx", "x/y z/c.docx", "d.txt", ".e.docx", "_f.docx", "_g/h.docx", ".i/j.docx", "_k=1/l.docx"]
+    for k, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(bytes([k]))
+    by_spark = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").option(
+        "recursiveFileLookup", "true"
+    )
+    want = {(r.path, bytes(r.content)) for r in by_spark.load(str(tmp_path)).collect()}
+    for path in (str(tmp_path), tmp_path.as_uri(), f"file:{tmp_path}/"):
+        files = packages.read_packages(spark, path)
+        assert files._jdf.queryExecution().optimizedPlan().toString().count("binaryFile") == 0
+        got = files.collect()
+        assert {(r.path, bytes(r.content)) for r in got} == want and len(got) == len(want) == 4
+        assert all(r.doc_id == r.path for r in got)
+    assert packages.read_packages(spark, f"{tmp_path}/x*").count() == 2
+    assert packages.read_packages(spark, str(tmp_path), "[a].docx").count() == 1
+
+
+def test_commit_messages_hold_no_list_of_results(tmp_path):
+    writer = sink.PackageWriter(str(tmp_path))
+    rows = [{"result": f"p{k}/d\n{k}.docx", "content": bytes([k % 256])} for k in range(500)]
+    said = [writer.write(iter(rows[:300])), writer.write(iter(rows[300:])), writer.write(iter([]))]
+    assert all(len(repr(m)) < 100 for m in said)
+    writer.commit([*said, None])
+    assert all((tmp_path / r["result"]).read_bytes() == r["content"] for r in rows)
+    assert len([p for p in tmp_path.rglob("*") if p.is_file()]) == 500
+
+
 def test_renamed_parts_in_two_folders(spark, lines, tmp_path):
     rels = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     related = (
